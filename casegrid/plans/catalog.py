@@ -244,6 +244,97 @@ LEFT JOIN (SELECT title, string_agg(tag, ', ' ORDER BY tag) AS tags FROM (
   ON tg.title = h.title"""))(lambda spark, sf: I.case_view(star(spark, sf)))
 
 
+# ---------------------------------------------------------------------------
+# Q1–Q8 search endpoints (parameter sets of the registered queries)
+# ---------------------------------------------------------------------------
+
+from casegrid.plans import search as SR  # noqa: E402
+
+register("search_courts", with_star(
+    "SELECT court_id, court_name FROM court WHERE court_name ILIKE '%n_1%' "
+    "ORDER BY court_name, court_id LIMIT 100"))(
+    lambda spark, sf: SR.courts(star(spark, sf), search="n_1"))
+register("search_judges", with_star(
+    "SELECT judge_name FROM judge WHERE judge_name ILIKE '%000001%' ORDER BY judge_name LIMIT 100"))(
+    lambda spark, sf: SR.judges(star(spark, sf), search="000001"))
+register("search_lawyers", with_star(
+    "SELECT l.lawyer_name, f.law_firm_name FROM lawyer l LEFT JOIN law_firm f "
+    "ON f.law_firm_id = l.law_firm_id WHERE l.lawyer_name ILIKE '%promo%'"))(
+    lambda spark, sf: SR.lawyers(star(spark, sf), lawyer="promo", limit=-1, nested=False))
+register("search_lawyers_by_firm", with_star(
+    "SELECT l.lawyer_name, f.law_firm_name FROM lawyer l JOIN law_firm f "
+    "ON f.law_firm_id = l.law_firm_id WHERE f.law_firm_name ILIKE '%#1%' "
+    "ORDER BY l.lawyer_name, l.lawyer_id LIMIT 100"))(
+    lambda spark, sf: SR.lawyers(star(spark, sf), law_firm="#1", nested=False))
+register("search_law_firms", with_star(
+    "SELECT law_firm_name FROM law_firm WHERE law_firm_name ILIKE '%brand#2%'"))(
+    lambda spark, sf: SR.law_firms(star(spark, sf), search="brand#2", limit=-1))
+register("search_tags", with_star(
+    "SELECT tag_name FROM tag WHERE tag_name ILIKE '%%' ORDER BY tag_name LIMIT 100"))(
+    lambda spark, sf: SR.tags(star(spark, sf), search=""))
+register("search_verdicts", with_star("SELECT verdict FROM verdict"))(
+    lambda spark, sf: SR.verdicts(star(spark, sf)))
+register("search_participants", with_star("""
+SELECT pa.court_case_id, pa.is_defendant, p.participant_name, l.lawyer_name, f.law_firm_name
+FROM participant_assignment pa
+LEFT JOIN participant p ON p.participant_id = pa.participant_id
+LEFT JOIN lawyer l ON l.lawyer_id = pa.lawyer_id
+LEFT JOIN law_firm f ON f.law_firm_id = l.law_firm_id
+WHERE p.participant_name ILIKE '%customer#00000001%' AND l.lawyer_name ILIKE '%a%'
+ORDER BY pa.court_case_id, pa.participant_id LIMIT 100"""))(
+    lambda spark, sf: SR.participants(star(spark, sf), participant="customer#00000001", lawyer="a"))
+
+_CASE_DOC_SQL = """
+SELECT f.court_case_id, f.summary, f.title, f.court_date, f.case_number, f.case_url,
+       f.verdict_summary, c.court_name, v.verdict,
+       coalesce((SELECT string_agg(t.tag_name, '; ' ORDER BY t.tag_name) FROM tag_assignment ta
+                 JOIN tag t ON t.tag_id = ta.tag_id WHERE ta.court_case_id = f.court_case_id), '') AS tags,
+       coalesce((SELECT string_agg(j.judge_name, '; ' ORDER BY j.judge_name) FROM judge_assignment ja
+                 JOIN judge j ON j.judge_id = ja.judge_id WHERE ja.court_case_id = f.court_case_id), '') AS judges,
+       coalesce((SELECT string_agg(concat_ws(':', CAST(pa.is_defendant AS VARCHAR),
+                     coalesce(p.participant_name, ''), coalesce(l.lawyer_name, ''), coalesce(lf.law_firm_name, '')),
+                     '; ' ORDER BY pa.is_defendant, p.participant_name, l.lawyer_name, lf.law_firm_name)
+                 FROM participant_assignment pa
+                 LEFT JOIN participant p ON p.participant_id = pa.participant_id
+                 LEFT JOIN lawyer l ON l.lawyer_id = pa.lawyer_id
+                 LEFT JOIN law_firm lf ON lf.law_firm_id = l.law_firm_id
+                 WHERE pa.court_case_id = f.court_case_id), '') AS parties
+FROM f LEFT JOIN court c ON c.court_id = f.court_id LEFT JOIN verdict v ON v.verdict_id = f.verdict_id"""
+
+register("search_cases_tag_judge_dates", with_star(_CASE_DOC_SQL, ctes="""
+f AS (SELECT * FROM court_case cc
+      WHERE cc.court_date >= DATE '1996-01-01' AND cc.court_date <= DATE '1997-12-31'
+        AND cc.court_case_id IN (SELECT ta.court_case_id FROM tag_assignment ta
+                                 JOIN tag t ON t.tag_id = ta.tag_id WHERE t.tag_name ILIKE '%red%')
+        AND cc.court_case_id IN (SELECT ja.court_case_id FROM judge_assignment ja
+                                 JOIN judge j ON j.judge_id = ja.judge_id WHERE j.judge_name ILIKE '%00000002%')
+      ORDER BY cc.court_case_id LIMIT 100)"""))(
+    lambda spark, sf: SR.court_cases(star(spark, sf), nested=False, tag="red", judge="00000002",
+                                     start_date="1996-01-01", end_date="1997-12-31"))
+
+register("search_cases_parties", with_star(_CASE_DOC_SQL, ctes="""
+f AS (SELECT * FROM court_case cc
+      WHERE cc.court_case_id IN (
+        SELECT pa.court_case_id FROM participant_assignment pa
+        JOIN participant p ON p.participant_id = pa.participant_id
+        JOIN lawyer l ON l.lawyer_id = pa.lawyer_id
+        JOIN law_firm lf ON lf.law_firm_id = l.law_firm_id
+        WHERE lower(p.participant_name) = 'customer#000000042'
+          AND l.lawyer_name ILIKE '%promo%' AND lf.law_firm_name ILIKE '%brand#1%'))"""))(
+    lambda spark, sf: SR.court_cases(star(spark, sf), nested=False, limit=-1,
+                                     participant="CUSTOMER#000000042", lawyer="promo",
+                                     law_firm="brand#1"))
+
+register("search_cases_verdict_court_title", with_star(_CASE_DOC_SQL, ctes="""
+f AS (SELECT * FROM court_case cc
+      WHERE cc.title ILIKE '%00000012%' AND cc.case_number ILIKE '%no. %'
+        AND cc.verdict_id IN (SELECT verdict_id FROM verdict WHERE verdict ILIKE '%urgent%')
+        AND cc.court_id IN (SELECT court_id FROM court WHERE court_name ILIKE '%nation%')
+      ORDER BY cc.court_case_id LIMIT 50)"""))(
+    lambda spark, sf: SR.court_cases(star(spark, sf), nested=False, limit=50, title="00000012",
+                                     citation="no. ", verdict="urgent", court="nation", tag=""))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v.build for k, v in REGISTRY.items()}
 
