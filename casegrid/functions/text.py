@@ -59,7 +59,7 @@ def month_label(month_num: Column | str) -> Column:
 def parse_listing_date(c: Column | str) -> Column:
     """'5 Feb 2022' or '5 Feb 2022, midnight' -> DATE; blank/NULL/bad -> NULL."""
     c = F.trim(F.regexp_replace(_c(c), ", midnight", ""))
-    return F.when(c == "", F.lit(None).cast("date")).otherwise(F.try_to_date(c, F.lit("d MMM yyyy")))
+    return F.when(c == "", F.lit(None).cast("date")).otherwise(F.try_to_date(c, "d MMM yyyy"))
 
 
 def format_ddmmyyyy(c: Column | str) -> Column:
@@ -67,7 +67,7 @@ def format_ddmmyyyy(c: Column | str) -> Column:
 
 
 def parse_ddmmyyyy(c: Column | str) -> Column:
-    return F.try_to_date(_c(c), F.lit("dd-MM-yyyy"))
+    return F.try_to_date(_c(c), "dd-MM-yyyy")
 
 
 def topic_name(court: Column | str, prefix: str = S.TOPIC_PREFIX) -> Column:

@@ -335,6 +335,111 @@ f AS (SELECT * FROM court_case cc
                                      citation="no. ", verdict="urgent", court="nation", tag=""))
 
 
+# ---------------------------------------------------------------------------
+# Text functions: judge-name rules, truncation + requests, dates, cost
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from casegrid import schemas as S  # noqa: E402
+from casegrid.functions import text as TX  # noqa: E402
+from casegrid.plans import enrich as EN  # noqa: E402
+from casegrid.sources.tables import read_table  # noqa: E402
+
+# Planted title prefixes for the judge-name query (built from supplier rows).
+_TITLE_PREFIXES = ["Judge", "His Honour Judge", "The Hon. Mr Justice",
+                   "Deputy District Judge (MC)", "  lord  JUSTICE  of  appeal"]
+_STOP_SQL = "[" + ", ".join("'" + t.replace("'", "''") + "'" for t in S.JUDGE_STOP_TOKENS) + "]"
+
+
+def _raw_judges(spark, sf):
+    sup = read_table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    prefixes = F.array(*[F.lit(p) for p in _TITLE_PREFIXES])
+    raw = F.concat(F.element_at(prefixes, (F.col("s_nationkey") % len(_TITLE_PREFIXES) + 1).cast("int")),
+                   F.lit(" "), F.col("s_name"), F.lit(" CBE"))
+    return sup.select(F.col("s_suppkey").cast("int").alias("judge_id"), raw.alias("raw"))
+
+
+def _judge_names(spark, sf):
+    raw = _raw_judges(spark, sf)
+    return raw.select("judge_id", "raw", TX.capwords("raw").alias("capworded"),
+                      TX.strip_judge_titles("raw").alias("stripped"),
+                      TX.strip_judge_titles(TX.capwords("raw")).alias("standardised"))
+
+
+_CAPWORDS_SQL = "array_to_string(list_transform(string_split_regex(trim({c}), '\\s+'), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+_STRIP_SQL = ("array_to_string(list_filter(string_split({c}, ' '), lambda t: NOT list_contains(" + _STOP_SQL +
+              ", t) AND regexp_matches(t, '^\\p{{L}}')), ' ')")
+_PREFIX_SQL = "[" + ", ".join("'" + p + "'" for p in _TITLE_PREFIXES) + "]"
+
+register("judge_names_standardise", f"""
+WITH r AS (SELECT CAST(s_suppkey AS INT) AS judge_id,
+                  {_PREFIX_SQL}[CAST(s_nationkey % {len(_TITLE_PREFIXES)} + 1 AS INT)] || ' ' || s_name || ' CBE' AS raw
+           FROM supplier)
+SELECT judge_id, raw, {_CAPWORDS_SQL.format(c='raw')} AS capworded,
+       {_STRIP_SQL.format(c='raw')} AS stripped,
+       {_STRIP_SQL.format(c=_CAPWORDS_SQL.format(c='raw'))} AS standardised
+FROM r""")(_judge_names)
+
+
+def _requests(head, tail):
+    def build(spark, sf):
+        docs = read_table(spark, sf, "documents").select("doc_id", "text")
+        return EN.build_requests(docs, head=head, tail=tail)
+    return build
+
+
+def _requests_sql(head, tail):
+    system = EN.SYSTEM_INSTRUCTIONS.replace("'", "''")
+    return f"""
+WITH d AS (SELECT doc_id, text, regexp_extract_all(text, '(\\s*\\S+|\\s+$)', 1) AS toks FROM documents)
+SELECT doc_id, '{system}' AS system,
+       'Court transcript:' || chr(10) || CASE WHEN len(toks) <= {head + tail} THEN text
+            ELSE array_to_string(toks[1:{head}], '') || '{S.TRUNCATE_PLACEHOLDER}'
+                 || array_to_string(toks[len(toks) - {tail} + 1:], '') END AS "user",
+       CAST(len(toks) AS INT) AS n_tokens, len(toks) > {head + tail} AS truncated
+FROM d"""
+
+
+register("build_requests", _requests_sql(S.TRUNCATE_HEAD_TOKENS, S.TRUNCATE_TAIL_TOKENS))(
+    _requests(S.TRUNCATE_HEAD_TOKENS, S.TRUNCATE_TAIL_TOKENS))
+register("build_requests_small_budget", _requests_sql(100, 50))(_requests(100, 50))
+
+
+def _dates(spark, sf):
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    raw = F.concat(F.date_format("o_orderdate", "d MMM yyyy"),
+                   F.when(F.col("o_orderkey") % 2 == 0, F.lit(", midnight")).otherwise(F.lit("")))
+    parsed = o.select(F.col("o_orderkey").cast("string").alias("court_case_id"), raw.alias("raw")) \
+        .withColumn("court_date", TX.parse_listing_date("raw"))
+    return parsed.select("court_case_id", "raw", "court_date",
+                         TX.format_ddmmyyyy("court_date").alias("log_date"),
+                         TX.parse_ddmmyyyy(TX.format_ddmmyyyy("court_date")).alias("log_date_parsed"))
+
+
+register("parse_dates", """
+WITH r AS (SELECT CAST(o_orderkey AS VARCHAR) AS court_case_id,
+                  strftime(o_orderdate, '%-d %b %Y') || CASE WHEN o_orderkey % 2 = 0 THEN ', midnight' ELSE '' END AS raw
+           FROM orders),
+p AS (SELECT *, CAST(try_strptime(trim(replace(raw, ', midnight', '')), '%d %b %Y') AS DATE) AS court_date FROM r)
+SELECT court_case_id, raw, court_date, strftime(court_date, '%d-%m-%Y') AS log_date,
+       CAST(try_strptime(strftime(court_date, '%d-%m-%Y'), '%d-%m-%Y') AS DATE) AS log_date_parsed
+FROM p""")(_dates)
+
+register("usage_cost", """
+WITH per AS (SELECT conv_id,
+                    sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS c,
+                    sum(CASE WHEN role = 'assistant' THEN 0 ELSE length(text) END) AS p
+             FROM conversations GROUP BY conv_id),
+t AS (SELECT CAST(sum(c) AS BIGINT) AS completion_tokens, CAST(sum(p) AS BIGINT) AS prompt_tokens FROM per)
+SELECT completion_tokens, prompt_tokens,
+       printf('$%.2f', completion_tokens / 1e6 * 0.60) AS output_cost,
+       printf('$%.2f', prompt_tokens / 1e6 * 0.15) AS input_cost,
+       printf('$%.2f', completion_tokens / 1e6 * 0.60 + prompt_tokens / 1e6 * 0.15) AS total_cost
+FROM t""")(lambda spark, sf: EN.usage_cost(
+    EN.usage_lines_from_conversations(read_table(spark, sf, "conversations"))))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v.build for k, v in REGISTRY.items()}
 
