@@ -440,6 +440,62 @@ FROM t""")(lambda spark, sf: EN.usage_cost(
     EN.usage_lines_from_conversations(read_table(spark, sf, "conversations"))))
 
 
+# ---------------------------------------------------------------------------
+# HTML sources over the pages table
+# ---------------------------------------------------------------------------
+
+from casegrid.sources import html as HT  # noqa: E402
+
+
+def _unescape_sql(x: str) -> str:
+    out = x
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        out = f"replace({out}, '{ent}', '{ch}')"
+    return out
+
+
+def _text_sql(x: str) -> str:
+    return _unescape_sql(f"regexp_replace({x}, '<[^>]*>', '', 'g')")
+
+
+register("article_text", f"""
+SELECT page_id, url,
+       CASE WHEN html LIKE '%<article%' THEN
+            {_text_sql("regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1)")} END AS text_raw
+FROM pages""")(lambda spark, sf: HT.article_text(read_table(spark, sf, "pages")))
+
+register("page_extent", """
+SELECT page_id, url, CASE WHEN html LIKE '%aria-label="Results pagination"%' THEN NULL ELSE 0 END AS max_page
+FROM pages""")(lambda spark, sf: HT.page_extent(read_table(spark, sf, "pages")))
+
+_CELLS_SQL = f"""
+c AS (SELECT page_id, regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1) AS cells FROM pages),
+cells AS (SELECT page_id, CAST(pos AS INT) AS pos, {_text_sql("cell")} AS text
+          FROM (SELECT page_id, unnest(range(len(cells))) AS pos, unnest(cells) AS cell FROM c))"""
+
+register("table_cells", f"WITH {_CELLS_SQL.strip()} SELECT page_id, pos, text FROM cells")(
+    lambda spark, sf: HT.table_cells(read_table(spark, sf, "pages"), cell_tag="li",
+                                     cell_container_class=None))
+
+
+def _selector_sql(name):
+    mod, rem, excluded, first_alpha, drop_last = HT.SELECTORS[name]
+    cond = [f"pos % {mod} = {rem}", "length(text) > 0",
+            "text NOT IN (" + ", ".join(f"'{e}'" for e in excluded) + ")"]
+    if first_alpha:
+        cond.append("regexp_matches(text, '^\\p{L}')")
+    name_expr = ("CASE WHEN NOT regexp_matches(text, '\\p{L}$') THEN substring(text, 1, length(text) - 1) "
+                 "ELSE text END") if drop_last else "text"
+    return (f"SELECT page_id, pos, {name_expr} AS judge_name, '{name}' AS selector FROM cells "
+            f"WHERE {' AND '.join(cond)}")
+
+
+register("judges_from_cells",
+         f"WITH {_CELLS_SQL.strip()} " + " UNION ALL ".join(_selector_sql(n) for n in HT.SELECTORS))(
+    lambda spark, sf: HT.gather_judges(HT.table_cells(read_table(spark, sf, "pages"), cell_tag="li",
+                                                      cell_container_class=None)))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v.build for k, v in REGISTRY.items()}
 
