@@ -113,4 +113,5 @@ def truncate_middle(c: Column | str, head: int = S.TRUNCATE_HEAD_TOKENS,
 
 def standardise_verdict(c: Column | str) -> Column:
     c = _c(c)
-    return F.when(c.isin(*S.ALLOWED_VERDICTS), c).otherwise(F.lit("Other"))
+    """Exact match against the closed vocabulary, else 'Other' (NULL stays NULL)."""
+    return F.when(c.isNull(), c).when(c.isin(*S.ALLOWED_VERDICTS), c).otherwise(F.lit("Other"))

@@ -496,6 +496,87 @@ register("judges_from_cells",
                                                       cell_container_class=None)))
 
 
+# ---------------------------------------------------------------------------
+# Reply parsing, validation, merge and party flattening
+# ---------------------------------------------------------------------------
+
+from casegrid.operators import reply as RP  # noqa: E402
+from casegrid.sources import fixtures as FX  # noqa: E402
+
+
+def _assembled(spark, sf):
+    st = star(spark, sf)
+    return RP.assemble(FX.listing_rows(st), FX.synthetic_replies(st))
+
+
+def _party_str(col):
+    return F.array_join(F.transform(col, lambda p: F.concat_ws(
+        "|", F.coalesce(p["participant"], F.lit("")), F.coalesce(p["lawyer"], F.lit("")),
+        F.coalesce(p["law_firm"], F.lit("")))), "; ")
+
+
+def _parse_replies(spark, sf):
+    a = _assembled(spark, sf)
+    return a.select("court_case_id", "reason", "verdict", "title", "court_name", "court_date",
+                    "case_number", "summary",
+                    F.array_join("judges", "; ").alias("judges"),
+                    F.array_join("tags", "; ").alias("tags"),
+                    _party_str(F.col("first_side")).alias("first_side"),
+                    _party_str(F.col("second_side")).alias("second_side"))
+
+
+_REPLY_SRC_SQL = """
+src AS (SELECT CAST(o_orderkey AS VARCHAR) AS court_case_id, o_orderkey % 10 AS k,
+               ['Guilty', 'Dismissed', 'Claimant Wins', 'Undecided', 'Appeal Allowed'][CAST(substring(o_orderpriority, 1, 1) AS INT)] AS v,
+               o.*, c.*
+        FROM orders o JOIN customer c ON o_custkey = c_custkey),
+chk AS (SELECT *, CASE k WHEN 3 THEN 'empty:tags' WHEN 5 THEN 'unparseable' WHEN 7 THEN 'missing:summary'
+                         WHEN 9 THEN 'side:second_side' END AS reason FROM src)"""
+
+register("parse_replies", with_star("""
+SELECT chk.court_case_id, reason,
+       CASE WHEN reason IS NULL THEN CASE WHEN v IN ('Guilty', 'Not Guilty', 'Dismissed', 'Acquitted', 'Hung Jury',
+            'Claimant Wins', 'Defendant Wins', 'Settlement', 'Struck Out', 'Appeal Dismissed', 'Appeal Allowed', 'Other')
+            THEN v ELSE 'Other' END END AS verdict,
+       cc.title, ct.court_name, cc.court_date,
+       CASE WHEN reason IS NULL THEN 'No. ' || chk.court_case_id END AS case_number,
+       CASE WHEN reason IS NULL THEN 'Order ' || chk.court_case_id || ' for ' || c_name END AS summary,
+       CASE WHEN reason IS NULL THEN 'Judge ' || c_name || '; The Hon. ' || c_name END AS judges,
+       CASE WHEN reason IS NULL THEN upper(substring(c_mktsegment, 1, 1)) || lower(substring(c_mktsegment, 2))
+            || '; Status ' || lower(o_orderstatus) END AS tags,
+       CASE WHEN reason IS NULL THEN c_name || '|Counsel ' || CAST(c_custkey AS VARCHAR) || '|Firm '
+            || CAST(c_nationkey AS VARCHAR) END AS first_side,
+       CASE WHEN reason IS NULL THEN '||' END AS second_side
+FROM chk JOIN court_case cc ON cc.court_case_id = chk.court_case_id
+LEFT JOIN court ct ON ct.court_id = cc.court_id""", ctes=_REPLY_SRC_SQL))(_parse_replies)
+
+
+def _party_rows(spark, sf):
+    good, _ = RP.split(_assembled(spark, sf))
+    return RP.party_rows(good)
+
+
+register("party_rows", with_star("""
+SELECT court_case_id, 1 AS side, CAST(0 AS INT) AS ord, c_name AS participant_name,
+       'Counsel ' || CAST(c_custkey AS VARCHAR) AS lawyer_name,
+       'Firm ' || CAST(c_nationkey AS VARCHAR) AS law_firm_name, false AS is_defendant
+FROM chk WHERE reason IS NULL
+UNION ALL
+SELECT court_case_id, 2, CAST(0 AS INT), NULL, NULL, NULL, true FROM chk WHERE reason IS NULL""",
+    ctes=_REPLY_SRC_SQL))(_party_rows)
+
+
+def _quarantine(spark, sf):
+    _, bad = RP.split(_assembled(spark, sf))
+    return bad.select("citation", "reason", "scope_id")
+
+
+register("quarantine", with_star("""
+SELECT chk.court_case_id AS citation, reason, strftime(cc.court_date, '%Y-%m-%d') AS scope_id
+FROM chk JOIN court_case cc ON cc.court_case_id = chk.court_case_id WHERE reason IS NOT NULL""",
+    ctes=_REPLY_SRC_SQL))(_quarantine)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v.build for k, v in REGISTRY.items()}
 
