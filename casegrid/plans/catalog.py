@@ -577,6 +577,56 @@ FROM chk JOIN court_case cc ON cc.court_case_id = chk.court_case_id WHERE reason
     ctes=_REPLY_SRC_SQL))(_quarantine)
 
 
+# ---------------------------------------------------------------------------
+# Entity resolution: fuzzy judge match, scoped tag merging
+# ---------------------------------------------------------------------------
+
+from casegrid.operators import resolve as RS  # noqa: E402
+
+
+def incoming_judge_names(spark, sf):
+    """Raw judge strings as replies would carry them: titled supplier names,
+    supplier names with a trailing character, titled customer names."""
+    sup = read_table(spark, sf, "supplier").select("s_name")
+    cust = read_table(spark, sf, "customer").select("c_name")
+    return (sup.select(F.concat(F.lit("Judge "), "s_name", F.lit(" KC")).alias("name"))
+            .unionByName(sup.select(F.concat("s_name", F.lit("1")).alias("name")))
+            .unionByName(cust.select(F.concat(F.lit("His Honour "), "c_name").alias("name"))))
+
+
+register("fuzzy_match_judges", None)(
+    lambda spark, sf: RS.match_judges(incoming_judge_names(spark, sf), star(spark, sf).judge))
+
+
+def scoped_tags(spark, sf):
+    """Tags per case with scope = case date, ordered by case then tag id."""
+    st = star(spark, sf)
+    cc = st.court_case.select("court_case_id", F.date_format("court_date", "yyyy-MM-dd").alias("scope_id"),
+                              F.col("court_case_id").cast("long").alias("case_ord"))
+    return (st.tag_assignment.join(st.tag, "tag_id").join(cc, "court_case_id")
+            .select("scope_id", "court_case_id", "case_ord", F.col("tag_id").cast("long").alias("tag_ord"),
+                    TX.capitalize("tag_name").alias("tag")))
+
+
+def _distinct_scoped_tags(spark, sf):
+    return scoped_tags(spark, sf).select("scope_id", "tag").distinct()
+
+
+register("tag_similar_pairs", with_star("""
+SELECT a.scope_id, a.tag, b.tag AS similar_tag, jaro_winkler_similarity(a.tag, b.tag) AS jw
+FROM t a JOIN t b ON a.scope_id = b.scope_id AND a.tag <> b.tag
+WHERE jaro_winkler_similarity(a.tag, b.tag) > 0.9""", ctes="""
+t AS (SELECT DISTINCT strftime(cc.court_date, '%Y-%m-%d') AS scope_id,
+             upper(substring(tg.tag_name, 1, 1)) || lower(substring(tg.tag_name, 2)) AS tag
+      FROM tag_assignment ta JOIN tag tg ON tg.tag_id = ta.tag_id
+      JOIN court_case cc ON cc.court_case_id = ta.court_case_id)"""))(
+    lambda spark, sf: RS.similar_tag_pairs(_distinct_scoped_tags(spark, sf)))
+
+register("tag_canonical", None)(
+    lambda spark, sf: RS.canonical_tags(scoped_tags(spark, sf)).select(
+        "scope_id", "court_case_id", "tag", "canonical"))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v.build for k, v in REGISTRY.items()}
 
