@@ -690,6 +690,114 @@ def _load_batch_cases(spark, sf):
 register("load_batch_cases", None)(_load_batch_cases)
 
 
+# ---------------------------------------------------------------------------
+# Incremental runs: unseen rows, subscriptions, outbox, streaming
+# ---------------------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from casegrid.session import shared_dir  # noqa: E402
+from casegrid.streaming import incremental as INC  # noqa: E402
+
+
+def _seen(spark, sf):
+    o = read_table(spark, sf, "orders")
+    return o.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").cast("string").alias("citation"))
+
+
+def _incremental_new(compat):
+    def build(spark, sf):
+        rows = INC.new_listing_rows(FX.listing_rows(star(spark, sf)), _seen(spark, sf),
+                                    log_date="1997-06-01", compat=compat)
+        return rows.select("citation", "title", "court", "date")
+    return build
+
+
+_NEW_SQL = """
+SELECT cc.court_case_id AS citation, cc.title, c.court_name AS court,
+       strftime(cc.court_date, '%-d %b %Y') || ', midnight' AS date
+FROM court_case cc LEFT JOIN court c ON c.court_id = cc.court_id
+WHERE cc.court_case_id NOT IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F')"""
+
+register("incremental_new", with_star(_NEW_SQL))(_incremental_new(False))
+register("incremental_new_compat", with_star(_NEW_SQL + " AND cc.court_date >= DATE '1997-06-01'"))(
+    _incremental_new(True))
+
+
+def _subscription_requests(spark, sf):
+    cust = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    nation = read_table(spark, sf, "nation").select("n_nationkey", "n_name")
+    email = F.when(F.col("c_custkey") % 5 == 0, F.lit("no email given")).otherwise(F.concat(
+        F.lit("Contact "), F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@mail.example.org today")))
+    courts = F.when(F.col("c_acctbal") > 0, F.array("n_name")).otherwise(F.array().cast("array<string>"))
+    return cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey).select(
+        email.alias("email_input"), courts.alias("courts"))
+
+
+register("subscriptions", """
+SELECT DISTINCT 'c12-courts-' || regexp_replace(replace(n_name, ' ', '-'), '[^\\p{L}-]', '', 'g') AS topic,
+       lower(replace(c_name, '#', '.')) || '@mail.example.org' AS email
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE c_custkey % 5 <> 0 AND c_acctbal > 0""")(
+    lambda spark, sf: INC.subscribe(_subscription_requests(spark, sf)))
+
+
+def _outbox(spark, sf):
+    new = _incremental_new(False)(spark, sf)
+    topics = INC.subscribe(_subscription_requests(spark, sf))
+    return INC.notify_outbox(new, topics, 0)
+
+
+register("notify_outbox", with_star("""
+SELECT DISTINCT t.topic, substring(replace(t.topic, '-', ' '), 12) AS court_display, CAST(0 AS BIGINT) AS batch_id,
+       'New case(s) uploaded' AS subject,
+       'A new case has been uploaded from the ' || substring(replace(t.topic, '-', ' '), 12) AS message
+FROM n JOIN subs t ON t.topic = 'c12-courts-' || regexp_replace(replace(n.court, ' ', '-'), '[^\\p{L}-]', '', 'g')""",
+    ctes=f"""n AS ({_NEW_SQL}),
+subs AS (SELECT DISTINCT 'c12-courts-' || regexp_replace(replace(n_name, ' ', '-'), '[^\\p{{L}}-]', '', 'g') AS topic
+         FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 5 <> 0 AND c_acctbal > 0)"""))(
+    _outbox)
+
+
+def _event_dedup_stream(spark, sf):
+    """Events replayed as a file stream (one file per day), de-duplicated per
+    user within a one-day event-time watermark; returns the kept events."""
+    root = shared_dir(spark, f"casegrid-runs/{uuid.uuid4().hex}")
+    ev = read_table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    ev.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(f"{root}/events")
+    stream = (spark.readStream.schema("event_id long, ts timestamp, user_id long, event_type string")
+              .option("maxFilesPerTrigger", 10).parquet(f"{root}/events"))
+    kept = INC.dedup_stream(stream, "user_id", "ts", "1 day")
+    q = (kept.writeStream.format("parquet").option("path", f"{root}/kept")
+         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/kept")
+
+
+register("event_dedup_stream", None)(_event_dedup_stream)
+
+
+def _incremental_stream(spark, sf):
+    """T1 end to end: listing rows land as files (one per year), a file-source
+    stream processes them with foreachBatch into a fresh warehouse."""
+    import datetime as _dt
+    from casegrid.operators import reply as _rp  # noqa: F401
+    root = shared_dir(spark, f"casegrid-runs/{uuid.uuid4().hex}")
+    st = star(spark, sf)
+    listing = FX.listing_rows(st).withColumn("year", F.substring("scope_id", 1, 4))
+    listing.write.partitionBy("year").parquet(f"{root}/listing")
+    replies = FX.synthetic_replies(st)
+    schema = "title string, url string, court string, citation string, date string, text_raw string, scope_id string"
+    INC.run_incremental(spark, f"{root}/listing", schema, f"{root}/wh", f"{root}/ckpt",
+                        lambda valid: replies.join(valid.select("citation"), "citation", "left_semi"),
+                        _dt.date(2024, 1, 1), max_files_per_trigger=4)
+    wh = UP.Warehouse(spark, f"{root}/wh")
+    return wh.read("court_case").select("court_case_id", "title", "court_date", "case_number")
+
+
+register("incremental_stream", None)(_incremental_stream)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v.build for k, v in REGISTRY.items()}
 

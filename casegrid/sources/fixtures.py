@@ -18,12 +18,13 @@ REPLY_VERDICTS = ["Guilty", "Dismissed", "Claimant Wins", "Undecided", "Appeal A
 
 
 def listing_rows(star: Star) -> DataFrame:
-    """Listing rows (title, url, court, citation, date text, scope_id)."""
+    """Listing rows (title, url, court, citation, date text, text_raw, scope_id)."""
     cc = star.court_case.select("court_case_id", "title", "case_url", "court_id", "court_date")
     return cc.join(F.broadcast(star.court), "court_id", "left").select(
         "title", F.col("case_url").alias("url"), F.col("court_name").alias("court"),
         F.col("court_case_id").alias("citation"),
         F.concat(F.date_format("court_date", "d MMM yyyy"), F.lit(", midnight")).alias("date"),
+        F.concat(F.lit("Judgment of "), F.col("title")).alias("text_raw"),
         F.date_format("court_date", "yyyy-MM-dd").alias("scope_id"))
 
 
