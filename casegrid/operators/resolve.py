@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from casegrid import schemas as S
 from casegrid.functions import similarity as SIM
 from casegrid.functions import text as TX
+from casegrid.session import spread_for_python
 
 _WS = r"(?U)\s+"
 
@@ -97,8 +98,43 @@ def judge_candidates(names: DataFrame, judges: DataFrame) -> DataFrame:
     c3 = bprobe.where(F.col("side") == "n").select(F.col("s").alias("name"), "ch", "occ").join(
         bprobe.where(F.col("side") == "j").select(F.col("s").alias("judge_name"), "ch", "occ"),
         ["ch", "occ"])
-    return (c1.select("name", "judge_name").unionByName(c2.select("name", "judge_name"))
+    cand = (c1.select("name", "judge_name").unionByName(c2.select("name", "judge_name"))
             .unionByName(c3.select("name", "judge_name")).distinct())
+    # per-string character-count maps (distinct tokens, spaces excluded) for
+    # the native score bound; built once per string, not per pair
+    counts = bag.groupBy("side", "s", "ch").agg(F.max("occ").alias("cnt")).groupBy("side", "s").agg(
+        F.map_from_entries(F.collect_list(F.struct("ch", "cnt"))).alias("bag"))
+    nb = counts.where(F.col("side") == "n").select(F.col("s").alias("name"), F.col("bag").alias("bag_n"))
+    jb = counts.where(F.col("side") == "j").select(F.col("s").alias("judge_name"), F.col("bag").alias("bag_j"))
+    return cand.join(nb, "name", "left").join(jb, "judge_name", "left")
+
+
+def token_set_upper_bound(a: str, b: str, bag_a: str, bag_b: str) -> Column:
+    """Native upper bound of the token-set score. The subset rule and both
+    ``sect`` ratios are exact; for the ``A`` vs ``B`` ratio the LCS is bounded
+    by the character-multiset overlap of A and B (= overlap of the two whole
+    token bags minus the shared tokens' characters) plus the spaces."""
+    ta = F.array_remove(F.array_distinct(F.split(F.trim(F.col(a)), _WS)), "")
+    tb = F.array_remove(F.array_distinct(F.split(F.trim(F.col(b)), _WS)), "")
+    inter = F.array_intersect(ta, tb)
+    da, db = F.array_except(ta, tb), F.array_except(tb, ta)
+    ab_len = F.length(F.array_join(F.array_sort(da), " "))
+    ba_len = F.length(F.array_join(F.array_sort(db), " "))
+    sect_len = F.length(F.array_join(F.array_sort(inter), " "))
+    sep = F.when(sect_len > 0, 1).otherwise(0)
+    sect_ab, sect_ba = sect_len + sep + ab_len, sect_len + sep + ba_len
+    both = F.map_zip_with(bag_a, bag_b, lambda k, x, y: F.least(F.coalesce(x, F.lit(0)), F.coalesce(y, F.lit(0))))
+    overlap = F.aggregate(F.map_values(both), F.lit(0).cast("long"), lambda acc, v: acc + v)
+    lcs_ub = overlap - F.length(F.array_join(inter, "")) + F.greatest(
+        F.least(F.size(da), F.size(db)) - 1, F.lit(0))
+    lcs_ub = F.least(lcs_ub, F.least(ab_len, ba_len))
+    r3 = 100.0 * (1.0 - (ab_len + ba_len - 2 * lcs_ub) / (sect_ab + sect_ba))
+    r1 = 100.0 * (1.0 - (sep + ab_len) / (sect_len + sect_ab))
+    r2 = 100.0 * (1.0 - (sep + ba_len) / (sect_len + sect_ba))
+    partial = F.when(sect_len > 0, F.greatest(r3, r1, r2)).otherwise(r3)
+    return (F.when((F.size(ta) == 0) | (F.size(tb) == 0), F.lit(0.0))
+            .when((F.size(inter) > 0) & ((F.size(da) == 0) | (F.size(db) == 0)), F.lit(100.0))
+            .otherwise(partial))
 
 
 def match_judges(raw_names: DataFrame, judges: DataFrame, name_col: str = "name",
@@ -112,8 +148,10 @@ def match_judges(raw_names: DataFrame, judges: DataFrame, name_col: str = "name"
     names = raw_names.select(F.col(name_col).alias("name")).where(F.col("name").isNotNull()).distinct()
     known = judges.select("judge_name").where(F.col("judge_name").isNotNull()).distinct()
     cand = judge_candidates(names, known)
-    scored = cand.withColumn("score", SIM.token_set_ratio_udf("name", "judge_name")) \
-        .where(F.col("score") >= threshold)
+    cand = cand.where(token_set_upper_bound("name", "judge_name", "bag_n", "bag_j") >= threshold) \
+        .select("name", "judge_name")
+    scored = spread_for_python(cand, "name", always=True).withColumn(
+        "score", SIM.token_set_ratio_udf("name", "judge_name")).where(F.col("score") >= threshold)
     best = scored.groupBy("name").agg(F.min(F.struct(-F.col("score"), F.col("judge_name"))).alias("b"))
     best = best.select("name", F.col("b.judge_name").alias("best"), (-F.col("b.col1")).alias("score"))
     return names.join(best, "name", "left").select(
@@ -160,8 +198,24 @@ def similar_tag_pairs(distinct_tags: DataFrame, threshold: float = S.TAG_SIMILAR
     b = probe.select("scope_id", F.col("tag").alias("similar_tag"), "ch", "occ", F.col("total").alias("lb"))
     cand = a.join(b, ["scope_id", "ch", "occ"]).where(F.col("tag") != F.col("similar_tag")) \
         .where(F.least("la", "lb") * 2 > F.greatest("la", "lb")) \
-        .select("scope_id", "tag", "similar_tag").distinct()
-    scored = cand.withColumn("jw", SIM.jaro_winkler_udf("tag", "similar_tag"))
+        .select("scope_id", "tag", "similar_tag", "la", "lb").distinct()
+    # native upper bound before the Python scorer: matches <= multiset overlap
+    arrs = bag.groupBy("scope_id", "tag").agg(
+        F.collect_list(F.concat_ws("\u0001", "ch", F.col("occ").cast("string"))).alias("bag"))
+    cand = (cand.join(arrs, ["scope_id", "tag"])
+            .join(arrs.select("scope_id", F.col("tag").alias("similar_tag"), F.col("bag").alias("bag2")),
+                  ["scope_id", "similar_tag"]))
+    ov = F.size(F.array_intersect("bag", "bag2"))
+    j_up = (ov / F.col("la") + ov / F.col("lb") + F.lit(1.0)) / 3.0
+    prefix = F.lit(0)
+    for k in range(4, 0, -1):
+        prefix = F.when(prefix > 0, prefix).when(
+            (F.length("tag") >= k) & (F.length("similar_tag") >= k)
+            & (F.substring("tag", 1, k) == F.substring("similar_tag", 1, k)), F.lit(k)).otherwise(prefix)
+    jw_up = F.when(j_up > 0.7, j_up + prefix * 0.1 * (1.0 - j_up)).otherwise(j_up)
+    cand = cand.where(jw_up > threshold).select("scope_id", "tag", "similar_tag")
+    scored = spread_for_python(cand, "scope_id", always=True).withColumn(
+        "jw", SIM.jaro_winkler_udf("tag", "similar_tag"))
     return scored.where(F.col("jw") > threshold)
 
 

@@ -12,7 +12,7 @@ parquet tables under a shared folder, dimensions first.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -117,13 +117,16 @@ def empty_tables(spark: SparkSession, seeded: bool = True) -> Tables:
 
 
 def load_batch(cases: DataFrame, tables: Tables, synonyms: DataFrame | None = None,
-               order_col: str = "court_case_id") -> dict[str, DataFrame]:
+               order_col: str = "court_case_id",
+               materialize: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
     """New rows per table for one batch of validated case rows.
 
     ``cases`` has the columns produced by ``operators.reply.assemble`` (valid
     rows). Judges are matched against the pre-insert judge snapshot (R3); tags
     are merged within each ``scope_id`` (R5); lawyers resolve by the null-safe
-    (name, firm) pair.
+    (name, firm) pair. ``materialize`` is applied to intermediates that feed
+    several tables (judge matches, merged tags, party rows); pass a
+    checkpointing function when the deltas are written one by one.
     """
     new: dict[str, DataFrame] = {}
     cases = cases.withColumn("_ord", F.col(order_col))
@@ -137,7 +140,7 @@ def load_batch(cases: DataFrame, tables: Tables, synonyms: DataFrame | None = No
     # judges: fuzzy match against the snapshot, then insert-if-absent
     judge_rows = cases.select("court_case_id", F.posexplode("judges").alias("pos", "name"))
     matched = RS.match_judges(judge_rows, tables["judge"])
-    judge_rows = judge_rows.join(matched.select("name", "matched_name"), "name", "left")
+    judge_rows = materialize(judge_rows.join(matched.select("name", "matched_name"), "name", "left"))
     judge_names = judge_rows.select(F.col("matched_name").alias("judge_name")).where(
         F.col("judge_name").isNotNull())
     new["judge"] = _names_to_dim("judge", judge_names, tables["judge"])
@@ -145,12 +148,12 @@ def load_batch(cases: DataFrame, tables: Tables, synonyms: DataFrame | None = No
     # tags: merge within scope (R5/R6), then insert-if-absent
     tag_rows = cases.select("scope_id", "court_case_id", F.col("_ord").alias("case_ord"),
                             F.posexplode("tags").alias("tag_ord", "tag"))
-    tag_rows = RS.canonical_tags(
-        tag_rows.withColumn("case_ord", F.col("case_ord").cast("string")), synonyms)
+    tag_rows = materialize(RS.canonical_tags(
+        tag_rows.withColumn("case_ord", F.col("case_ord").cast("string")), synonyms))
     new["tag"] = _names_to_dim("tag", tag_rows.select(F.col("canonical").alias("tag_name")), tables["tag"])
 
     # parties: firms, participants, lawyers
-    parties = RP.party_rows(cases)
+    parties = materialize(RP.party_rows(cases))
     new["law_firm"] = _names_to_dim("law_firm", parties.select("law_firm_name"), tables["law_firm"])
     new["participant"] = _names_to_dim(
         "participant", parties.select("participant_name"), tables["participant"])
@@ -239,7 +242,7 @@ def load_into(warehouse: Warehouse, cases: DataFrame, synonyms: DataFrame | None
     warehouse.initialise()
     snapshot = warehouse.tables()
     staged = cases.checkpoint(eager=True)
-    new = load_batch(staged, snapshot, synonyms)
+    new = load_batch(staged, snapshot, synonyms, materialize=lambda df: df.checkpoint(eager=True))
     # materialise every delta before the first append, so no delta is
     # recomputed against a table that already holds part of the batch
     new = {k: v.checkpoint(eager=True) for k, v in new.items()}

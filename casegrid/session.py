@@ -60,3 +60,24 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint location for written tables / stream state."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def spread_for_python(df, *keys: str, always: bool = False, small_bytes: int = 1 << 30):
+    """Give a Python (Arrow UDF) stage at least one partition per core.
+
+    Small or single-file inputs arrive as one partition and would run the UDF
+    serially. The decision uses Catalyst's size estimate (no job is run):
+    inputs estimated below ``small_bytes`` are hash-spread over the default
+    parallelism; large inputs already come in many scan partitions. Use
+    ``always`` for post-shuffle candidate sets that AQE may have coalesced.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if not always:
+        try:
+            size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        except Exception:  # noqa: BLE001 - estimate unavailable: spread to be safe
+            size = 0
+        if size >= small_bytes:
+            return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casegrid.session import spread_for_python
+
 # Fixed values of the listing site's markup.
 LISTING_UL_CLASS = "judgment-listing__list"
 TITLE_CLASS = "judgment-listing__title"
@@ -265,7 +267,7 @@ def parse_pages(pages: DataFrame, listing_ul_class: str | None = LISTING_UL_CLAS
                 html_col: str = "html") -> DataFrame:
     """Add a ``parsed`` struct column; the UDF runs once per page."""
     udf = page_parser(listing_ul_class, cell_tag, cell_container_class)
-    return pages.withColumn("parsed", udf(F.col(html_col)))
+    return spread_for_python(pages).withColumn("parsed", udf(F.col(html_col)))
 
 
 def article_text(pages: DataFrame) -> DataFrame:
