@@ -95,9 +95,12 @@ def judge_candidates(names: DataFrame, judges: DataFrame) -> DataFrame:
     bag = bag.join(bmass, ["side", "s"])
     keep = F.col("rank") <= F.col("total") - F.floor(F.col("total") * 0.81) + 1
     bprobe = _prefix(bag, ["side", "s"], ["ch", "occ"], keep)
-    c3 = bprobe.where(F.col("side") == "n").select(F.col("s").alias("name"), "ch", "occ").join(
-        bprobe.where(F.col("side") == "j").select(F.col("s").alias("judge_name"), "ch", "occ"),
-        ["ch", "occ"])
+    # overlap >= 0.45 (ma + mb) also bounds the mass ratio: max <= (0.55 / 0.45) min
+    c3 = bprobe.where(F.col("side") == "n").select(
+        F.col("s").alias("name"), "ch", "occ", F.col("total").alias("mn")).join(
+        bprobe.where(F.col("side") == "j").select(
+            F.col("s").alias("judge_name"), "ch", "occ", F.col("total").alias("mj")),
+        ["ch", "occ"]).where(F.greatest("mn", "mj") * 0.45 <= F.least("mn", "mj") * 0.55 + 1e-9)
     cand = (c1.select("name", "judge_name").unionByName(c2.select("name", "judge_name"))
             .unionByName(c3.select("name", "judge_name")).distinct())
     # per-string character-count maps (distinct tokens, spaces excluded) for
