@@ -113,9 +113,11 @@ class Star:
     # ---- bridges ----------------------------------------------------------
     @property
     def judge_assignment(self) -> DataFrame:
+        # hash-partition on the case key before de-duplicating: the distinct
+        # and every later join on court_case_id reuse this one shuffle
         return self._memo("judge_assignment", lambda: self.raw("lineitem").select(
             F.col("l_orderkey").cast("string").alias("court_case_id"),
-            _int("l_suppkey").alias("judge_id")).distinct())
+            _int("l_suppkey").alias("judge_id")).repartition("court_case_id").distinct())
 
     @property
     def part_tag(self) -> DataFrame:
@@ -131,7 +133,8 @@ class Star:
         def build():
             li = self.raw("lineitem").select("l_orderkey", "l_partkey")
             return li.join(self.part_tag, li.l_partkey == self.part_tag.p_partkey).select(
-                F.col("l_orderkey").cast("string").alias("court_case_id"), "tag_id").distinct()
+                F.col("l_orderkey").cast("string").alias("court_case_id"), "tag_id"
+            ).repartition("court_case_id").distinct()
         return self._memo("tag_assignment", build)
 
     @property
