@@ -8,6 +8,7 @@ helpers here only fill in what is unset, so a cluster's
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,15 +45,21 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    """The folder of ``spark.checkpoint.dir``, which all executors and the driver share.
+
+    A session that runs within one machine (``local``) gets a scratch folder where
+    none is set; on a cluster a missing setting is an error, since a folder of the
+    driver's machine is out of the executors' sight.
+    """
+    context = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not current:
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="casegrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(current)
     return current
 
 
