@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -41,9 +43,28 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a Spark context.
+
+    Functions of the package travel by name, so workers must be able to import it,
+    wherever they run and whatever their working folder is.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_casegrid_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="casegrid-code-")) / "casegrid.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._casegrid_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which all executors and the driver share.
 
