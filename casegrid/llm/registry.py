@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrid.llm import decontaminate, line_dedup, mixing, quality, simhash
+from casegrid.llm import decontaminate, line_dedup, mixing, quality, robust_rules, simhash, url_filter, warc
 from casegrid.llm.common import doc_remainder, table
 
 #: Weights of the mix, relative to siblings; every source has weight 1.
@@ -29,6 +29,22 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_robust_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = robust_rules.judge(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "distance", "kept")
+
+
+#: Host, path and action.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    found = url_filter.judge_urls(pages, url_filter.rules_table(spark, URL_RULES))
+    return found.select("row.page_id", "host", "path", "rule", "verdict")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -44,6 +60,23 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    chunks = warc.read_archives(manifest).where("last")
+    return chunks.select("page_id", F.col("bytes_so_far").alias("payload_bytes"), base32(F.hex("sha1_so_far")).alias("payload_digest"),
+                         "record_type", "refers_to")
+
+
+def base32(sha1: Column) -> Column:
+    """Upper-case base32 of a SHA-1 in hexadecimal digits: five of them make four letters."""
+    letters = []
+    for i in range(0, 40, 5):
+        bits = F.conv(F.substring(sha1, i + 1, 5), 16, 10).cast("int")
+        letters += [F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), F.shiftright(bits, s).bitwiseAND(F.lit(31)) + 1, F.lit(1))
+                    for s in (15, 10, 5, 0)]
+    return F.concat(*letters)
+
+
 def domain_of(source: Column) -> Column:
     """The domain of a source by its number: web, reference or forum; other without a number."""
     number = F.regexp_extract(F.coalesce(source, F.lit("")), r"([0-9]+)$", 1)
@@ -62,6 +95,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op3_simhash, op6_decontamination, op7_line_dedup, op10_mixing)}
+    f.__name__: f for f in (
+        op1_quality_classifier, op3_simhash, op4_robust_rules, op5_url_filter, op6_decontamination, op7_line_dedup, op8_warc, op10_mixing)}
 
 ORACLES: dict[str, str] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from casegrid.llm import decontaminate, line_dedup, quality, registry, simhash
 from casegrid.llm.common import doc_remainder, table
-from casegrid.session import ensure_checkpoint_dir
+from casegrid.session import ensure_checkpoint_dir, ship_package
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,13 +43,22 @@ def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.select(*[f"row.`{c}`" for c in docs.columns if c not in ("domain", "epoch")], "domain", "epoch")
 
 
-STAGES = [
+def _shipped(stage):
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(name, _shipped(stage)) for name, stage in (
     ("quality_classifier", quality_classifier),
     ("line_dedup", line_dedup_stage),
     ("simhash_near_dedup", simhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
     ("mixing_to_weights", mixing_to_weights),
-]
+)]
 
 #: Fingerprints need XXH64 and the classifier a fit, which SQL can't express.
 ORACLE_SQL = None
