@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrid.llm import decontaminate, line_dedup, mixing, quality, robust_rules, simhash, url_filter, warc
+from casegrid.llm import decontaminate, language_model, line_dedup, mixing, quality, robust_rules, simhash, url_filter, warc, wrappers
 from casegrid.llm.common import doc_remainder, table
 
 #: Weights of the mix, relative to siblings; every source has weight 1.
@@ -24,6 +24,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrappers.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("row.page_id", "row.url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
@@ -77,6 +82,12 @@ def base32(sha1: Column) -> Column:
     return F.concat(*letters)
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_model.score_texts(table(spark, sf_dir, "documents"), doc_remainder(F.col("id"), 7) != 2)
+    return found.select(F.col("id").alias("doc_id"), (~F.col("learns")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                        "base_score", "score")
+
+
 def domain_of(source: Column) -> Column:
     """The domain of a source by its number: web, reference or forum; other without a number."""
     number = F.regexp_extract(F.coalesce(source, F.lit("")), r"([0-9]+)$", 1)
@@ -96,6 +107,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_classifier, op3_simhash, op4_robust_rules, op5_url_filter, op6_decontamination, op7_line_dedup, op8_warc, op10_mixing)}
+        op1_quality_classifier, op2_html_extraction, op3_simhash, op4_robust_rules, op5_url_filter, op6_decontamination, op7_line_dedup, op8_warc, op9_language_model, op10_mixing)}
 
 ORACLES: dict[str, str] = {}
