@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from casegrid.llm import decontaminate, language_model, line_dedup, mixing, quality, robust_rules, simhash, url_filter, warc, wrappers
 from casegrid.llm.common import doc_remainder, table
+from casegrid.llm.oracles import ORACLES as ORACLES
 
 #: Weights of the mix, relative to siblings; every source has weight 1.
 MIX_WEIGHTS = {"domain": {"web": 50, "reference": 30, "forum": 20}, "lang": {"en": 55, "de": 20, "fr": 15, "es": 10}}
@@ -108,5 +109,3 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_classifier, op2_html_extraction, op3_simhash, op4_robust_rules, op5_url_filter, op6_decontamination, op7_line_dedup, op8_warc, op9_language_model, op10_mixing)}
-
-ORACLES: dict[str, str] = {}
