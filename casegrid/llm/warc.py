@@ -66,13 +66,13 @@ def record_table(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
             .select("id", "url", "refers_to", "length", "sha1", "chunk", "chunks", data.alias("data")))
 
 
-def _headers(row: dict) -> bytes:
+def _headers(row: dict, record: str) -> bytes:
     """The WARC header and the HTTP header of one record."""
     revisit, digest = row["refers_to"] is not None, base64.b32encode(bytes.fromhex(row["sha1"])).decode()
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {row['length']}\r\n\r\n".encode()
     url = _line(row["url"])
     page = "" if row["id"] is None else str(row["id"])
-    lines = [VERSION, f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_urn(f'{page} {url}')}", f"WARC-Date: {DATE}",
+    lines = [VERSION, f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_urn(record)}", f"WARC-Date: {DATE}",
              f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Page-Id: {page}"]
     if revisit:
         lines += [f"WARC-Profile: {REVISIT}", f"X-Refers-To-Page-Id: {row['refers_to']}"]
@@ -96,7 +96,7 @@ def _write(folder: str):
                     out = system.open_output_stream(f"{base}/{name}", compression=None)
                 if row["chunk"] == 0:
                     member, records = zlib.compressobj(1, zlib.DEFLATED, 31), records + 1
-                    out.write(member.compress(_headers(row)))
+                    out.write(member.compress(_headers(row, f"{name}#{records}")))
                 if data[i].is_valid:
                     out.write(member.compress(data[i].as_buffer()))
                 if row["chunk"] + 1 == row["chunks"]:
