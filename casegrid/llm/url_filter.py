@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import ascii_lower
+from casegrid.llm.common import ascii_lower, staged
 
 #: Hexadecimal digits of the digest that are joined on.
 SHORT = 8
@@ -70,6 +70,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     rule = known.select("short", F.col("digest").alias("full"), "host_length", "action", F.col("expression").alias("rule"))
     fits = asked.join(rule, "short").where(F.col("digest") == F.col("full"))
     order = F.struct(F.length("rule"), "host_length", F.col("action") == "block")
-    best = fits.groupBy("host", "start").agg(F.max_by(F.struct("rule", "action"), order).alias("best"))
+    # written, so that the join below has an exchange of its own and AQE can split a host with very many pages
+    best = staged(fits.groupBy("host", "start").agg(F.max_by(F.struct("rule", "action"), order).alias("best")), "verdicts")
     return placed.join(best, ["host", "start"], "left").select(
         "row", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict"))
