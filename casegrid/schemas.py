@@ -93,37 +93,6 @@ REPLY_SIDE_KEYS = ["first_side", "second_side"]
 # Spark schemas
 # ---------------------------------------------------------------------------
 
-PARTY = T.StructType([
-    T.StructField("participant", T.StringType()),
-    T.StructField("lawyer", T.StringType()),
-    T.StructField("law_firm", T.StringType()),
-])
-
-REPLY = T.StructType([
-    T.StructField("verdict", T.StringType()),
-    T.StructField("summary", T.StringType()),
-    T.StructField("case_number", T.StringType()),
-    T.StructField("verdict_summary", T.StringType()),
-    T.StructField("judge", T.ArrayType(T.StringType())),
-    T.StructField("tags", T.ArrayType(T.StringType())),
-    T.StructField("first_side", T.ArrayType(PARTY)),
-    T.StructField("second_side", T.ArrayType(PARTY)),
-])
-
-PARSED_REPLY = T.StructType([
-    T.StructField("reply", REPLY),
-    T.StructField("reason", T.StringType()),
-])
-
-LISTING_ROW = T.StructType([
-    T.StructField("title", T.StringType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("court", T.StringType()),
-    T.StructField("citation", T.StringType()),
-    T.StructField("date", T.StringType()),
-    T.StructField("text_raw", T.StringType()),
-])
-
 COURT_CASE = T.StructType([
     T.StructField("court_case_id", T.StringType(), False),
     T.StructField("summary", T.StringType()),
@@ -135,10 +104,3 @@ COURT_CASE = T.StructType([
     T.StructField("court_id", T.LongType()),
     T.StructField("verdict_summary", T.StringType()),
 ])
-
-QUARANTINE = T.StructType([
-    T.StructField("citation", T.StringType()),
-    T.StructField("raw", T.StringType()),
-    T.StructField("reason", T.StringType()),
-    T.StructField("scope_id", T.StringType()),
-])

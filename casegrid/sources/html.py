@@ -1,7 +1,7 @@
 """HTML page sources: article text, listing items, pagination extent, table cells.
 
 Input is a ``pages(page_id, url, html)`` table (crawling is out of scope).
-Each page is parsed once, inside an Arrow-batched pandas UDF using the
+A page is parsed once a query, inside an Arrow-batched pandas UDF using the
 standard-library ``html.parser`` (no HTML parser exists among Spark
 built-ins). Everything downstream — exploding items, selecting cells,
 validation, de-duplication, quarantine — is native DataFrame work.
@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casegrid.session import spread_for_python
-
 # Fixed values of the listing site's markup.
 LISTING_UL_CLASS = "judgment-listing__list"
 TITLE_CLASS = "judgment-listing__title"
@@ -40,7 +38,8 @@ ITEM = T.StructType([
 PARSED_PAGE = T.StructType([
     T.StructField("article", T.StringType()),
     T.StructField("items", T.ArrayType(ITEM)),
-    T.StructField("max_page", T.IntegerType()),
+    T.StructField("has_pagination", T.BooleanType()),
+    T.StructField("page_links", T.ArrayType(T.StringType())),
     T.StructField("cells", T.ArrayType(T.StringType())),
 ])
 
@@ -76,7 +75,7 @@ class _PageParser(HTMLParser):
         self.nav_found = False
         self.in_pagination = 0
         self.page_link = None
-        self.page_numbers: list[int] = []
+        self.page_links: list[str] = []
         # cells
         self.container_found = cell_container_class is None
         self.in_container = 1 if cell_container_class is None else 0
@@ -181,12 +180,7 @@ class _PageParser(HTMLParser):
         if tag == "ul" and self.in_listing:
             self.in_listing -= 1
         if tag == "a" and self.page_link is not None:
-            text = "".join(self.page_link)
-            if text.startswith("Page"):
-                try:
-                    self.page_numbers.append(int(text.replace("Page", "").strip()))
-                except ValueError:
-                    pass
+            self.page_links.append("".join(self.page_link))
             self.page_link = None
         if tag == "nav" and self.in_pagination:
             self.in_pagination -= 1
@@ -224,16 +218,11 @@ class _PageParser(HTMLParser):
     def result(self) -> dict:
         if self.item is not None:
             self._finish_item()
-        if not self.nav_found:
-            max_page = 0
-        elif not self.page_numbers:
-            max_page = 1
-        else:
-            max_page = max(self.page_numbers)
         return {
             "article": "".join(self.article_parts) if (self.article_done or self.article_depth) else None,
             "items": self.items,
-            "max_page": max_page,
+            "has_pagination": self.nav_found,
+            "page_links": self.page_links,
             "cells": self.cells,
         }
 
@@ -256,10 +245,10 @@ def page_parser(listing_ul_class: str | None = LISTING_UL_CLASS, cell_tag: str =
     @F.pandas_udf(PARSED_PAGE)
     def _parse(htmls: pd.Series) -> pd.DataFrame:
         rows = [parse_html(h, listing_ul_class, cell_tag, cell_container_class) or
-                {"article": None, "items": None, "max_page": None, "cells": None} for h in htmls]
-        return pd.DataFrame(rows, columns=["article", "items", "max_page", "cells"])
+                dict.fromkeys(PARSED_PAGE.names) for h in htmls]
+        return pd.DataFrame(rows, columns=PARSED_PAGE.names)
 
-    return _parse
+    return _parse.asNondeterministic()  # else a filter on its result makes Spark parse again
 
 
 def parse_pages(pages: DataFrame, listing_ul_class: str | None = LISTING_UL_CLASS,
@@ -267,7 +256,7 @@ def parse_pages(pages: DataFrame, listing_ul_class: str | None = LISTING_UL_CLAS
                 html_col: str = "html") -> DataFrame:
     """Add a ``parsed`` struct column; the UDF runs once per page."""
     udf = page_parser(listing_ul_class, cell_tag, cell_container_class)
-    return spread_for_python(pages).withColumn("parsed", udf(F.col(html_col)))
+    return pages.withColumn("parsed", udf(F.col(html_col)))
 
 
 def article_text(pages: DataFrame) -> DataFrame:
@@ -277,9 +266,12 @@ def article_text(pages: DataFrame) -> DataFrame:
 
 
 def page_extent(pages: DataFrame) -> DataFrame:
-    """Pagination extent per listing page (0 without pagination nav)."""
+    """Pagination extent per listing page: 0 without pagination, 1 where no link names a page."""
     p = parse_pages(pages.select("page_id", "url", "html"))
-    return p.select("page_id", "url", F.col("parsed.max_page").alias("max_page"))
+    numbers = F.transform("parsed.page_links", lambda x: F.regexp_extract(x, r"^Page\s*([0-9]+)\s*$", 1).try_cast("int"))
+    extent = F.when(F.col("parsed.has_pagination"), F.coalesce(F.array_max(numbers), F.lit(1))).when(
+        ~F.col("parsed.has_pagination"), F.lit(0))
+    return p.select("page_id", "url", extent.alias("max_page"))
 
 
 def listing_items(pages: DataFrame, base_url: str = BASE_URL,
@@ -318,36 +310,34 @@ SELECTORS = {
 }
 
 
-def select_cells(cells: DataFrame, selector: str) -> DataFrame:
-    """P3a–e: pick judge names from flattened table cells by position.
-
-    Blank cells are skipped (the original would fail on them).
-    """
+def _selected(selector: str) -> tuple[Column, Column]:
+    """(which cells, the name) of one selector, over ``pos`` and ``text``."""
     mod, rem, excluded, first_alpha, drop_last = SELECTORS[selector]
     t = F.col("text")
     cond = (F.pmod(F.col("pos"), F.lit(mod)) == rem) & ~t.isin(*excluded) & (F.length(t) > 0)
     if first_alpha:
         cond = cond & _first_alpha(t)
-    name = t
-    if drop_last:
-        name = F.when(~t.rlike(r"\p{L}$"), F.expr("substring(text, 1, length(text) - 1)")).otherwise(t)
+    name = F.when(~t.rlike(r"\p{L}$"), F.expr("substring(text, 1, length(text) - 1)")).otherwise(t) if drop_last else t
+    return cond, name
+
+
+def select_cells(cells: DataFrame, selector: str) -> DataFrame:
+    """P3a–e: pick judge names from flattened table cells by position.
+
+    Blank cells are skipped (the original would fail on them).
+    """
+    cond, name = _selected(selector)
     return cells.where(cond).select("page_id", "pos", name.alias("judge_name"))
 
 
 def gather_judges(cells: DataFrame, page_selectors: DataFrame | None = None) -> DataFrame:
-    """Union-all of selector outputs.
+    """What the selectors pick, in one pass over the cells.
 
     ``page_selectors(page_id, selector)`` says which selector applies to which
     page (a small config table); without it every selector runs on every page.
     """
-    parts = []
-    for name in SELECTORS:
-        sel = select_cells(cells, name).withColumn("selector", F.lit(name))
-        if page_selectors is not None:
-            keys = page_selectors.where(F.col("selector") == name).select("page_id")
-            sel = sel.join(keys, "page_id", "left_semi")
-        parts.append(sel)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    picks = [F.when(cond, F.struct(F.lit(n).alias("selector"), name.alias("judge_name")))
+             for n in SELECTORS for cond, name in [_selected(n)]]
+    found = cells.select("page_id", "pos", F.explode(F.array(*picks)).alias("p")).where(F.col("p").isNotNull()).select(
+        "page_id", "pos", "p.judge_name", "p.selector")
+    return found if page_selectors is None else found.join(page_selectors, ["page_id", "selector"], "left_semi").select(found.columns)
