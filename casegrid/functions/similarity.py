@@ -109,10 +109,15 @@ def jaro_winkler(s1: str, s2: str, prefix_weight: float = 0.1) -> float:
 
 
 @F.pandas_udf(T.DoubleType())
-def token_set_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+def _token_set_ratios(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 @F.pandas_udf(T.DoubleType())
-def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+def _jaro_winklers(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")
+
+
+# Filters on a score must not make Spark compute it twice.
+token_set_ratio_udf = _token_set_ratios.asNondeterministic()
+jaro_winkler_udf = _jaro_winklers.asNondeterministic()

@@ -19,15 +19,14 @@ def _c(c: Column | str) -> Column:
 def capitalize(c: Column | str) -> Column:
     """Python ``str.capitalize``: first character upper, the rest lower."""
     c = _c(c)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, F.lit(2), F.length(c))))
 
 
 def capwords(c: Column | str) -> Column:
     """``string.capwords``: whitespace runs collapsed, each word capitalised."""
     c = _c(c)
-    words = F.split(F.trim(F.regexp_replace(c, r"\s+", " ")), " ")
-    return F.when(F.trim(c) == "", F.lit("")).otherwise(
-        F.array_join(F.transform(words, lambda w: capitalize(w)), " "))
+    words = F.filter(F.split(c, r"(?U)\s+"), lambda w: w != "")
+    return F.array_join(F.transform(words, lambda w: capitalize(w)), " ")
 
 
 def title_case(c: Column | str) -> Column:
@@ -53,7 +52,8 @@ def strip_judge_titles(c: Column | str) -> Column:
 def month_label(month_num: Column | str) -> Column:
     """Month number 1..12 -> 'Jan'..'Dec' (NULL stays NULL)."""
     labels = F.array(*[F.lit(m) for m in S.MONTH_LABELS])
-    return F.element_at(labels, _c(month_num).cast("int"))
+    number = _c(month_num).cast("int")
+    return F.when(number.isNotNull(), F.element_at(labels, F.coalesce(number, F.lit(1))))
 
 
 def parse_listing_date(c: Column | str) -> Column:
@@ -78,7 +78,7 @@ def topic_name(court: Column | str, prefix: str = S.TOPIC_PREFIX) -> Column:
 
 def topic_display(topic: Column | str, prefix: str = S.TOPIC_PREFIX) -> Column:
     """Topic -> display name: '-' -> ' ', then drop the prefix length (lossy by design)."""
-    return F.substring(F.replace(_c(topic), F.lit("-"), F.lit(" ")), len(prefix) + 1, 1 << 30)
+    return F.substring(F.replace(_c(topic), F.lit("-"), F.lit(" ")), F.lit(len(prefix) + 1), F.length(_c(topic)))
 
 
 def extract_email(c: Column | str) -> Column:

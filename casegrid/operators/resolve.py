@@ -1,164 +1,173 @@
 """Entity resolution: fuzzy judge matching and scoped tag merging.
 
-Both are similarity joins. Neither compares all pairs: candidates come from
-*prefix filtering* — every string is indexed by its globally rarest tokens
-(or characters), and only strings sharing an indexed element meet. The prefix
-sizes below are derived from the score thresholds so that the candidate set
-provably contains every pair that can reach the threshold; the exact score is
-then computed on candidates only (Arrow UDF), and best matches are picked with
-a hash aggregate. Global rarity statistics are ordinary ``groupBy`` counts.
+Both are similarity joins that don't compare all pairs. Candidates come from
+equality joins on parts that any pair above the threshold must share; every
+bound below is worked out from the threshold that the caller gives, so the
+candidates hold every match at any threshold. The exact score is then computed
+once for each candidate pair (Arrow UDF).
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import math
+from itertools import combinations
+
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from casegrid import schemas as S
 from casegrid.functions import similarity as SIM
 from casegrid.functions import text as TX
-from casegrid.session import spread_for_python
+from casegrid.session import stage_table
 
 _WS = r"(?U)\s+"
+# Most deletion keys that one string may have; strings beyond it go by their rarest characters.
+MAX_KEYS = 4096
 
 
 # ---------------------------------------------------------------------------
-# shared prefix-filter helpers
+# shared helpers
 # ---------------------------------------------------------------------------
 
-def _rarity(elements: DataFrame, key: list[str]) -> DataFrame:
-    """Global document frequency of each element (one row per element)."""
-    return elements.groupBy(*key).agg(F.count(F.lit(1)).alias("freq"))
-
-
-def _prefix(elements: DataFrame, owner: list[str], key: list[str], keep: Column) -> DataFrame:
-    """Rows of ``elements`` (owner..., key..., weight, total) that fall in the
-    owner's rarest-first prefix; ``keep`` may use ``cum_before``, ``rank``,
-    ``total`` (sum of weights) and ``n`` (element count)."""
-    freq = _rarity(elements.select(*key), key)
-    e = elements.join(freq, key)
-    w = Window.partitionBy(*owner).orderBy("freq", *key)
-    e = (e.withColumn("rank", F.row_number().over(w))
-          .withColumn("cum_before", F.coalesce(
-              F.sum("weight").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
-    return e.where(keep).drop("freq", "rank", "cum_before")
+def _char_bag(text: Column) -> Column:
+    """Characters of a string with their occurrence number, as an array made within the row."""
+    chars = F.filter(F.split(text, ""), lambda c: c != "")
+    return F.transform(chars, lambda c, i: F.concat(
+        c, F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c)).cast("string")))
 
 
-def _char_bag(strings: DataFrame, owner: list[str], text: Column) -> DataFrame:
-    """Multiset of characters as (ch, occ) elements, one row each."""
-    chars = strings.select(*owner, F.explode(F.split(text, "")).alias("ch")).where(F.col("ch") != "")
-    w = Window.partitionBy(*owner, "ch").orderBy(F.lit(1))
-    return chars.withColumn("occ", F.row_number().over(w)).withColumn("weight", F.lit(1))
+def _rarest(elements: DataFrame, owner: list[str], keep: Column) -> DataFrame:
+    """Rows of ``elements`` (owner, el, weight, total) in the owner's rarest-first prefix. ``keep`` may use
+    ``before`` (the weight of rarer elements), ``rank`` and ``total``."""
+    freq = elements.groupBy("el").agg(F.count(F.lit(1)).alias("freq"))
+    order = Window.partitionBy(*owner).orderBy("freq", "el")
+    ranked = elements.join(freq, "el").select(
+        "*", F.row_number().over(order).alias("rank"),
+        F.coalesce(F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return ranked.where(keep).select(*owner, "el")
 
 
 # ---------------------------------------------------------------------------
 # Fuzzy judge matching
 # ---------------------------------------------------------------------------
 
-def _tokens(df: DataFrame, col: str, side: str) -> DataFrame:
-    toks = F.array_distinct(F.split(F.trim(F.col(col)), _WS))
-    return df.select(F.lit(side).alias("side"), F.col(col).alias("s"),
-                     F.explode(toks).alias("tok")).where(F.col("tok") != "") \
-        .withColumn("weight", F.length("tok"))
-
-
-def judge_candidates(names: DataFrame, judges: DataFrame) -> DataFrame:
-    """(name, judge_name) pairs that may score >= 95 on token-set similarity.
-
-    Complete by construction (distinct tokens I shared, A/B the rest):
-    * score 100 (one side's tokens a subset of the other's) or a high
-      ``sect`` vs ``sect + A`` ratio require the shared tokens to carry > 79%
-      of one side's token mass, so that side's rarest tokens holding over 22%
-      of its mass contain a shared token: probe those against all tokens of
-      the other side (both directions).
-    * a high ``sect + A`` vs ``sect + B`` ratio bounds the character-bag
-      distance, giving a character overlap >= 0.818 of each side's mass:
-      index each side's rarest ``m - floor(0.81 m) + 1`` characters.
+def _deletion_keys(tokens: list[str], needs: list[dict]) -> dict:
+    """Keys under which one string meets others: for every split of its tokens into shared ones and a rest, and for
+    every other length, the shared tokens with the rest after ``n`` deletions. ``keys`` is None beyond MAX_KEYS."""
+    splits = []
+    for k in range(1 << len(tokens)) if len(tokens) <= 12 else ():
+        rest = " ".join(t for i, t in enumerate(tokens) if not k >> i & 1)
+        splits.append(("\0".join(t for i, t in enumerate(tokens) if k >> i & 1), rest))
+    if not splits or sum(math.comb(len(r), min(n["n"], len(r))) for _, r in splits for n in needs) > MAX_KEYS:
+        return {"keys": None}
+    found = set()
+    for shared, rest in splits:
+        for need in needs:
+            n = min(need["n"], len(rest))
+            for gone in combinations(range(len(rest)), n):
+                kept = "".join(c for i, c in enumerate(rest) if i not in gone)
+                found.add((need["other"], xxhash.xxh3_64_intdigest(f"{shared}\1{kept}".encode()) - (1 << 63)))
+    return {"keys": [{"other": o, "key": k} for o, k in found]}
+
+
+_KEYS = pa.struct([("keys", pa.list_(pa.struct([("other", pa.int32()), ("key", pa.int64())])))])
+
+
+@F.arrow_udf(from_arrow_type(_KEYS))
+def _key_udf(tokens: pa.Array, needs: pa.Array) -> pa.Array:
+    return pa.array([_deletion_keys(t, n or []) for t, n in zip(tokens.to_pylist(), needs.to_pylist(), strict=True)], _KEYS)
+
+
+_deletion_key_udf = _key_udf.asNondeterministic()
+
+
+def _needs(sides: DataFrame, slack: float) -> DataFrame:
+    """(side, length, needs): the lengths on the other side that may match one of ``length``, with the deletions it
+    takes on this side. At most ``slack * (sum of lengths)`` insertions and deletions are allowed in all."""
+    lengths = sides.select("side", "length").distinct()
+    low, high = F.ceil(F.col("length") * (1 - slack) / (1 + slack) - 1e-9), F.floor(F.col("length") * (1 + slack) / (1 - slack) + 1e-9)
+    wanted = lengths.select("side", "length", F.explode(F.sequence(low, high)).alias("other"))
+    there = lengths.select(F.when(F.col("side") == "n", "j").otherwise("n").alias("side"), F.col("length").alias("other"))
+    allowed = F.floor((F.col("length") + F.col("other")) * slack + 1e-9)
+    n = F.floor((allowed + F.col("length") - F.col("other")) / 2).cast("int")
+    return (wanted.join(there, ["side", "other"]).where(n >= 0).groupBy("side", "length")
+            .agg(F.collect_list(F.struct(F.col("other").cast("int").alias("other"), n.alias("n"))).alias("needs")))
+
+
+def judge_candidates(names: DataFrame, judges: DataFrame, threshold: float) -> DataFrame:
+    """(name, judge_name) pairs that may reach ``threshold`` on token-set similarity.
+
+    With I the shared tokens, A and B the rest of each side and d = 1 - threshold/100:
+
+    * one side's rest is empty, or I against I + A reaches the threshold: then A has at most
+      2c/(1+2c) of its side's characters, c = 2d/(1-d). So among a side's rarest tokens, up to
+      the first beyond that share, one is shared: these are looked up among the other's tokens.
+    * I + A against I + B reaches it: then A and B are at most d * (sum of lengths) insertions
+      and deletions apart, so both have a common rest after as many deletions as the lengths
+      leave open; they meet under the key (I, that rest).
+    * strings with too many such keys meet by characters: without spaces, at least
+      (m - d * length) / (1 + 2d) of a string's m characters are in both, so the rarest
+      m - that + 1 of each side have one in common.
     """
-    tn = _tokens(names, "name", "n")
-    tj = _tokens(judges, "judge_name", "j")
-    toks = tn.unionByName(tj)
-    mass = toks.groupBy("side", "s").agg(F.sum("weight").alias("total"))
-    toks = toks.join(mass, ["side", "s"])
-    probe = _prefix(toks, ["side", "s"], ["tok"], F.col("cum_before") <= F.col("total") * 0.22)
-    c1 = probe.where(F.col("side") == "n").select(F.col("s").alias("name"), "tok").join(
-        tj.select(F.col("s").alias("judge_name"), "tok"), "tok")
-    c2 = probe.where(F.col("side") == "j").select(F.col("s").alias("judge_name"), "tok").join(
-        tn.select(F.col("s").alias("name"), "tok"), "tok")
-
-    # character bags over the distinct tokens (spaces excluded)
-    joined = toks.groupBy("side", "s").agg(F.array_join(F.array_sort(F.collect_set("tok")), "").alias("cat"))
-    bag = _char_bag(joined, ["side", "s"], F.col("cat"))
-    bmass = bag.groupBy("side", "s").agg(F.count(F.lit(1)).alias("total"))
-    bag = bag.join(bmass, ["side", "s"])
-    keep = F.col("rank") <= F.col("total") - F.floor(F.col("total") * 0.81) + 1
-    bprobe = _prefix(bag, ["side", "s"], ["ch", "occ"], keep)
-    # overlap >= 0.45 (ma + mb) also bounds the mass ratio: max <= (0.55 / 0.45) min
-    c3 = bprobe.where(F.col("side") == "n").select(
-        F.col("s").alias("name"), "ch", "occ", F.col("total").alias("mn")).join(
-        bprobe.where(F.col("side") == "j").select(
-            F.col("s").alias("judge_name"), "ch", "occ", F.col("total").alias("mj")),
-        ["ch", "occ"]).where(F.greatest("mn", "mj") * 0.45 <= F.least("mn", "mj") * 0.55 + 1e-9)
-    cand = (c1.select("name", "judge_name").unionByName(c2.select("name", "judge_name"))
-            .unionByName(c3.select("name", "judge_name")).distinct())
-    # per-string character-count maps (distinct tokens, spaces excluded) for
-    # the native score bound; built once per string, not per pair
-    counts = bag.groupBy("side", "s", "ch").agg(F.max("occ").alias("cnt")).groupBy("side", "s").agg(
-        F.map_from_entries(F.collect_list(F.struct("ch", "cnt"))).alias("bag"))
-    nb = counts.where(F.col("side") == "n").select(F.col("s").alias("name"), F.col("bag").alias("bag_n"))
-    jb = counts.where(F.col("side") == "j").select(F.col("s").alias("judge_name"), F.col("bag").alias("bag_j"))
-    return cand.join(nb, "name", "left").join(jb, "judge_name", "left")
-
-
-def token_set_upper_bound(a: str, b: str, bag_a: str, bag_b: str) -> Column:
-    """Native upper bound of the token-set score. The subset rule and both
-    ``sect`` ratios are exact; for the ``A`` vs ``B`` ratio the LCS is bounded
-    by the character-multiset overlap of A and B (= overlap of the two whole
-    token bags minus the shared tokens' characters) plus the spaces."""
-    ta = F.array_remove(F.array_distinct(F.split(F.trim(F.col(a)), _WS)), "")
-    tb = F.array_remove(F.array_distinct(F.split(F.trim(F.col(b)), _WS)), "")
-    inter = F.array_intersect(ta, tb)
-    da, db = F.array_except(ta, tb), F.array_except(tb, ta)
-    ab_len = F.length(F.array_join(F.array_sort(da), " "))
-    ba_len = F.length(F.array_join(F.array_sort(db), " "))
-    sect_len = F.length(F.array_join(F.array_sort(inter), " "))
-    sep = F.when(sect_len > 0, 1).otherwise(0)
-    sect_ab, sect_ba = sect_len + sep + ab_len, sect_len + sep + ba_len
-    both = F.map_zip_with(bag_a, bag_b, lambda k, x, y: F.least(F.coalesce(x, F.lit(0)), F.coalesce(y, F.lit(0))))
-    overlap = F.aggregate(F.map_values(both), F.lit(0).cast("long"), lambda acc, v: acc + v)
-    lcs_ub = overlap - F.length(F.array_join(inter, "")) + F.greatest(
-        F.least(F.size(da), F.size(db)) - 1, F.lit(0))
-    lcs_ub = F.least(lcs_ub, F.least(ab_len, ba_len))
-    r3 = 100.0 * (1.0 - (ab_len + ba_len - 2 * lcs_ub) / (sect_ab + sect_ba))
-    r1 = 100.0 * (1.0 - (sep + ab_len) / (sect_len + sect_ab))
-    r2 = 100.0 * (1.0 - (sep + ba_len) / (sect_len + sect_ba))
-    partial = F.when(sect_len > 0, F.greatest(r3, r1, r2)).otherwise(r3)
-    return (F.when((F.size(ta) == 0) | (F.size(tb) == 0), F.lit(0.0))
-            .when((F.size(inter) > 0) & ((F.size(da) == 0) | (F.size(db) == 0)), F.lit(100.0))
-            .otherwise(partial))
+    if not 50 <= threshold <= 100:
+        raise ValueError(f"a threshold between 50 and 100 is needed, not {threshold}")
+    slack = 1 - threshold / 100
+    part = 2 * slack / (1 - slack)
+    share = 2 * part / (1 + 2 * part)
+    tokens = F.array_sort(F.filter(F.array_distinct(F.split(F.col("s"), _WS)), lambda t: t != ""))
+    sides = names.select(F.lit("n").alias("side"), F.col("name").alias("s")).unionByName(
+        judges.select(F.lit("j").alias("side"), F.col("judge_name").alias("s")))
+    sides = sides.withColumn("tokens", tokens).where(F.size("tokens") > 0).withColumn("length", F.length(F.array_join("tokens", " ")))
+    sides = sides.withColumn("mass", F.length(F.array_join("tokens", "")))
+    needs = _needs(sides, slack)
+    sides = stage_table(sides.join(needs, ["side", "length"], "left").withColumn("keys", _deletion_key_udf("tokens", "needs")["keys"]), "judge-strings")
+
+    def side(df: DataFrame, which: str, name: str, *more) -> DataFrame:
+        return df.where(F.col("side") == which).select(F.col("s").alias(name), *more)
+
+    single = sides.select("side", "s", F.col("mass").alias("total"), F.explode("tokens").alias("el")).withColumn("weight", F.length("el"))
+    probe = _rarest(single, ["side", "s"], F.col("before") <= F.col("total") * share + 1e-9)
+    by_token = side(probe, "n", "name", "el").join(side(single, "j", "judge_name", "el"), "el").select("name", "judge_name").unionByName(
+        side(single, "n", "name", "el").join(side(probe, "j", "judge_name", "el"), "el").select("name", "judge_name"))
+    keyed = sides.select("side", "s", "length", F.explode("keys").alias("k")).select("side", "s", "length", "k.other", "k.key")
+    by_key = side(keyed, "n", "name", "length", "other", "key").join(
+        side(keyed, "j", "judge_name", F.col("other").alias("length"), F.col("length").alias("other"), "key"),
+        ["length", "other", "key"]).select("name", "judge_name")
+    found = by_token.unionByName(by_key)
+    crowded = F.col("keys").isNull() & F.col("needs").isNotNull()
+    if not sides.where(crowded).isEmpty():
+        overlap = F.greatest(F.lit(0), F.ceil((F.col("total") - F.col("length") * slack) / (1 + 2 * slack) - 1e-9))
+        bags = sides.select("side", "s", "length", F.col("mass").alias("total"), crowded.alias("crowded"),
+                            F.explode(_char_bag(F.array_join("tokens", ""))).alias("el")).withColumn("weight", F.lit(1))
+        rare = _rarest(bags, ["side", "s", "length", "crowded"], F.col("rank") <= F.col("total") - overlap + 1)
+        a = side(rare, "n", "name", "el", F.col("length").alias("la"), F.col("crowded").alias("ca"))
+        b = side(rare, "j", "judge_name", "el", F.col("length").alias("lb"), F.col("crowded").alias("cb"))
+        close = F.abs(F.col("la") - F.col("lb")) <= (F.col("la") + F.col("lb")) * slack + 1e-9
+        found = found.unionByName(a.join(b, "el").where((F.col("ca") | F.col("cb")) & close).select("name", "judge_name"))
+    return found.distinct()
 
 
 def match_judges(raw_names: DataFrame, judges: DataFrame, name_col: str = "name",
                  threshold: float = S.JUDGE_MATCH_THRESHOLD) -> DataFrame:
     """(name, matched_name, score) per distinct incoming name.
 
-    Best known judge with token-set score >= threshold (ties: smallest name),
-    else the name with titles stripped (R1). ``judges`` is the pre-insert
-    snapshot, so names within one batch are not matched to each other.
+    The known judge of that very name; else the best with token-set score >=
+    threshold (ties: smallest name); else the name with titles stripped (R1).
+    ``judges`` is the pre-insert snapshot, so names within one batch are not
+    matched to each other.
     """
     names = raw_names.select(F.col(name_col).alias("name")).where(F.col("name").isNotNull()).distinct()
     known = judges.select("judge_name").where(F.col("judge_name").isNotNull()).distinct()
-    cand = judge_candidates(names, known)
-    cand = cand.where(token_set_upper_bound("name", "judge_name", "bag_n", "bag_j") >= threshold) \
-        .select("name", "judge_name")
-    scored = spread_for_python(cand, "name", always=True).withColumn(
+    scored = judge_candidates(names, known, threshold).withColumn(
         "score", SIM.token_set_ratio_udf("name", "judge_name")).where(F.col("score") >= threshold)
-    best = scored.groupBy("name").agg(F.min(F.struct(-F.col("score"), F.col("judge_name"))).alias("b"))
-    best = best.select("name", F.col("b.judge_name").alias("best"), (-F.col("b.col1")).alias("score"))
+    order = F.struct(F.col("name") != F.col("judge_name"), -F.col("score"), F.col("judge_name"))
+    best = scored.groupBy("name").agg(F.min_by(F.struct("judge_name", "score"), order).alias("b"))
     return names.join(best, "name", "left").select(
-        "name", F.coalesce("best", TX.strip_judge_titles("name")).alias("matched_name"), "score")
+        "name", F.coalesce("b.judge_name", TX.strip_judge_titles("name")).alias("matched_name"), F.col("b.score").alias("score"))
 
 
 # ---------------------------------------------------------------------------
@@ -178,8 +187,8 @@ def synonym_edges(distinct_tags: DataFrame, synonyms: DataFrame) -> DataFrame:
     lem = words.join(syn, F.lower(words.word) == syn.lw).select(
         "scope_id", "tag", "j", TX.capitalize("lemma").alias("target"))
     last = lem.groupBy("scope_id", "tag", "target").agg(F.max("j").alias("j"))
-    kept = last.where(~F.exists(F.slice(F.split("tag", " "), F.col("j") + 1, 1 << 20),
-                                lambda w: w == F.col("target")))
+    words_left = F.slice(F.split("tag", " "), F.col("j") + 1, F.size(F.split("tag", " ")))
+    kept = last.where(~F.exists(words_left, lambda w: w == F.col("target")))
     present = distinct_tags.select("scope_id", F.col("tag").alias("target"))
     return kept.join(present, ["scope_id", "target"], "left_semi").where(F.col("target") != F.col("tag")) \
         .select("scope_id", "tag", "target")
@@ -188,102 +197,71 @@ def synonym_edges(distinct_tags: DataFrame, synonyms: DataFrame) -> DataFrame:
 def similar_tag_pairs(distinct_tags: DataFrame, threshold: float = S.TAG_SIMILARITY_THRESHOLD) -> DataFrame:
     """J15 pair stage: (scope_id, tag, similar_tag, jw) with Jaro-Winkler > threshold.
 
-    JW > 0.9 needs Jaro > 0.8333, hence more than half of the longer string's
-    characters matched; indexing each tag's rarest ceil(len/2) characters
-    (per scope) therefore finds every such pair.
+    A common prefix of up to four characters lifts a Jaro similarity j above 0.7 to
+    j + 0.4 (1 - j) at most; and j is at most (m/a + m/b + 1)/3 with m characters in
+    both, so m > (3 j - 2) of the longer string. Tags of a scope meet when their
+    rarest characters, as many as that leaves open, have one in common. Pairs are
+    scored once, whatever the number of scopes, and the found ones go back to them.
     """
-    bag = _char_bag(distinct_tags, ["scope_id", "tag"], F.col("tag"))
-    bmass = bag.groupBy("scope_id", "tag").agg(F.count(F.lit(1)).alias("total"))
-    bag = bag.join(bmass, ["scope_id", "tag"])
-    probe = _prefix(bag, ["scope_id", "tag"], ["ch", "occ"],
-                    F.col("rank") <= F.col("total") - F.floor(F.col("total") / 2))
-    a = probe.select("scope_id", "tag", "ch", "occ", F.col("total").alias("la"))
-    b = probe.select("scope_id", F.col("tag").alias("similar_tag"), "ch", "occ", F.col("total").alias("lb"))
-    cand = a.join(b, ["scope_id", "ch", "occ"]).where(F.col("tag") != F.col("similar_tag")) \
-        .where(F.least("la", "lb") * 2 > F.greatest("la", "lb")) \
-        .select("scope_id", "tag", "similar_tag", "la", "lb").distinct()
-    # native upper bound before the Python scorer: matches <= multiset overlap
-    arrs = bag.groupBy("scope_id", "tag").agg(
-        F.collect_list(F.concat_ws("\u0001", "ch", F.col("occ").cast("string"))).alias("bag"))
-    cand = (cand.join(arrs, ["scope_id", "tag"])
-            .join(arrs.select("scope_id", F.col("tag").alias("similar_tag"), F.col("bag").alias("bag2")),
-                  ["scope_id", "similar_tag"]))
-    ov = F.size(F.array_intersect("bag", "bag2"))
-    j_up = (ov / F.col("la") + ov / F.col("lb") + F.lit(1.0)) / 3.0
-    prefix = F.lit(0)
-    for k in range(4, 0, -1):
-        prefix = F.when(prefix > 0, prefix).when(
-            (F.length("tag") >= k) & (F.length("similar_tag") >= k)
-            & (F.substring("tag", 1, k) == F.substring("similar_tag", 1, k)), F.lit(k)).otherwise(prefix)
-    jw_up = F.when(j_up > 0.7, j_up + prefix * 0.1 * (1.0 - j_up)).otherwise(j_up)
-    cand = cand.where(jw_up > threshold).select("scope_id", "tag", "similar_tag")
-    scored = spread_for_python(cand, "scope_id", always=True).withColumn(
-        "jw", SIM.jaro_winkler_udf("tag", "similar_tag"))
-    return scored.where(F.col("jw") > threshold)
-
-
-_MAP_SCHEMA = "scope_id string, tag string, canonical string"
-
-
-def _resolve_scope(pdf: pd.DataFrame) -> pd.DataFrame:
-    """R5 sequential pass for one scope over its ordered distinct tags and
-    candidate edges (synonym targets, similar tags)."""
-    pdf = pdf.sort_values(["case_ord", "tag_ord", "tag"])
-    order = list(pdf["tag"])
-    pos = {t: i for i, t in enumerate(order)}
-    syn = {t: list(v) if v is not None else [] for t, v in zip(pdf["tag"], pdf["syn_targets"])}
-    sim = {t: list(v) if v is not None else [] for t, v in zip(pdf["tag"], pdf["sim_targets"])}
-    present = set(order)
-    parent: dict[str, str] = {}
-    for w in order:
-        if w not in present:
-            continue
-        target = None
-        cands = [s for s in syn[w] if s in present and s != w]
-        if cands:
-            target = min(cands, key=pos.__getitem__)
-        else:
-            cands = [s for s in sim[w] if s in present and s != w]
-            if cands:
-                target = min(cands, key=pos.__getitem__)
-        if target is not None:
-            present.discard(w)
-            parent[w] = target
-            pos[target] = min(pos[target], pos[w])
-
-    def find(t):
-        while t in parent:
-            t = parent[t]
-        return t
-
-    scope = pdf["scope_id"].iloc[0]
-    return pd.DataFrame({"scope_id": [scope] * len(order), "tag": order,
-                         "canonical": [find(t) for t in order]})
+    least = max(0.7, (threshold - 0.4) / 0.6) if threshold >= 0.7 else threshold
+    share = max(0.0, 3 * least - 2)
+    tags = distinct_tags.select("tag").distinct().withColumn("bag", _char_bag(F.col("tag"))).withColumn("n", F.size("bag"))
+    tags = stage_table(tags.where("n > 0"), "tags")
+    elements = tags.select("tag", F.col("n").alias("total"), F.explode("bag").alias("el"), F.lit(1).alias("weight"))
+    rare = _rarest(elements, ["tag"], F.col("rank") <= F.col("total") - F.ceil(F.col("total") * share - 1e-9) + 1)
+    placed = distinct_tags.select("scope_id", "tag").distinct().join(rare, "tag")
+    met = placed.join(placed.select("scope_id", "el", F.col("tag").alias("other")), ["scope_id", "el"])
+    pairs = met.where(F.col("tag") < F.col("other")).select("tag", "other").distinct()
+    pairs = pairs.join(tags, "tag").join(tags.select(F.col("tag").alias("other"), F.col("bag").alias("bag2"), F.col("n").alias("n2")), "other")
+    both = F.size(F.array_intersect("bag", "bag2"))
+    high = (both / F.col("n") + both / F.col("n2") + F.lit(1.0)) / 3.0
+    prefix = F.aggregate(F.sequence(F.lit(1), F.lit(4)), F.lit(0), lambda k, i: F.when(
+        (F.length("tag") >= i) & (F.length("other") >= i) & (F.substring(F.col("tag"), F.lit(1), i) == F.substring(F.col("other"), F.lit(1), i)), i).otherwise(k))
+    pairs = pairs.where(F.when(high > 0.7, high + prefix * 0.1 * (1.0 - high)).otherwise(high) > threshold)
+    ways = F.array(F.struct("tag", F.col("other").alias("similar_tag")), F.struct(F.col("other").alias("tag"), F.col("tag").alias("similar_tag")))
+    scored = pairs.select(F.explode(ways).alias("w")).select("w.*").withColumn("jw", SIM.jaro_winkler_udf("tag", "similar_tag"))
+    scored = stage_table(scored.where(F.col("jw") > threshold), "similar-tags")
+    there = distinct_tags.select("scope_id", "tag").distinct()
+    return there.join(scored, "tag").join(there.select("scope_id", F.col("tag").alias("similar_tag")), ["scope_id", "similar_tag"]).select(
+        "scope_id", "tag", "similar_tag", "jw")
+
+
+def _merged(nodes: Column) -> Column:
+    """R5 for the tags of one scope, in order: each tag that is still there gives way to the first present synonym,
+    else to the first present similar tag. ``nodes``: (tag, syn, sim); returns what each has become."""
+    def step(now: Column, node: Column) -> Column:
+        syn = F.get(F.filter(now, lambda t: F.array_contains(node["syn"], t)), F.lit(0))
+        sim = F.get(F.filter(now, lambda t: F.array_contains(node["sim"], t)), F.lit(0))
+        return F.transform(now, lambda t: F.when(t == node["tag"], F.coalesce(syn, sim, t)).otherwise(t))
+
+    return F.aggregate(nodes, F.transform(nodes, lambda n: n["tag"]), step)
 
 
 def canonical_tags(tags: DataFrame, synonyms: DataFrame | None = None,
                    threshold: float = S.TAG_SIMILARITY_THRESHOLD) -> DataFrame:
     """Map every (scope_id, case_ord, tag_ord, tag) row to its canonical tag.
 
-    Per scope only the *distinct* tags (first occurrence order) and their
-    candidate edges reach the grouped step, so a scope's task holds at most
-    its tag vocabulary, never its rows.
+    A scope is one listing page (50 cases at most), so the array of its distinct
+    tags, with the synonyms and similar tags that the same page has, is bounded.
+    The merge goes over that array in order of first occurrence.
     """
     spark = tags.sparkSession
     if synonyms is None:
         synonyms = spark.createDataFrame([], SYNONYMS_SCHEMA)
     rows = tags.where(F.col("tag").isNotNull())
-    first = rows.groupBy("scope_id", "tag").agg(
-        F.min(F.struct("case_ord", "tag_ord")).alias("o"))
-    distinct_tags = first.select("scope_id", "tag", F.col("o.case_ord").alias("case_ord"),
-                                 F.col("o.tag_ord").alias("tag_ord"))
-    syn = synonym_edges(distinct_tags, synonyms).groupBy("scope_id", "tag").agg(
-        F.collect_set("target").alias("syn_targets"))
-    sim = similar_tag_pairs(distinct_tags, threshold).groupBy("scope_id", "tag").agg(
-        F.collect_set("similar_tag").alias("sim_targets"))
-    nodes = distinct_tags.join(syn, ["scope_id", "tag"], "left").join(sim, ["scope_id", "tag"], "left")
-    mapping = nodes.groupBy("scope_id").applyInPandas(_resolve_scope, _MAP_SCHEMA)
-    return rows.join(mapping, ["scope_id", "tag"], "left")
+    first = rows.groupBy("scope_id", "tag").agg(F.min(F.struct("case_ord", "tag_ord")).alias("at"))
+    first = stage_table(first, "scope-tags")
+    syn = synonym_edges(first, synonyms).select("scope_id", "tag", F.col("target").alias("other"), F.lit(True).alias("is_syn"))
+    sim = similar_tag_pairs(first, threshold).select("scope_id", "tag", F.col("similar_tag").alias("other"), F.lit(False).alias("is_syn"))
+    edges = syn.unionByName(sim).groupBy("scope_id", "tag").agg(
+        F.collect_set(F.when(F.col("is_syn"), F.col("other"))).alias("syn"), F.collect_set(F.when(~F.col("is_syn"), F.col("other"))).alias("sim"))
+    none = F.array().cast("array<string>")
+    nodes = first.join(edges, ["scope_id", "tag"], "left").select(
+        "scope_id", F.struct("at", "tag", F.coalesce("syn", none).alias("syn"), F.coalesce("sim", none).alias("sim")).alias("node"))
+    pages = nodes.groupBy("scope_id").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    mapping = pages.select("scope_id", F.explode(F.arrays_zip(
+        F.transform("nodes", lambda n: n["tag"]).alias("tag"), _merged(F.col("nodes")).alias("canonical"))).alias("m"))
+    return rows.join(mapping.select("scope_id", "m.tag", "m.canonical"), ["scope_id", "tag"], "left")
 
 
 def replace_in_array(arr: Column, old: Column | str, new: Column | str) -> Column:

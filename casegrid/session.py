@@ -10,10 +10,11 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins from runtime sizes
 # (broadcast only when the measured side is small), coalesces small shuffle
@@ -90,22 +91,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-def spread_for_python(df, *keys: str, always: bool = False, small_bytes: int = 1 << 30):
-    """Give a Python (Arrow UDF) stage at least one partition per core.
-
-    Small or single-file inputs arrive as one partition and would run the UDF
-    serially. The decision uses Catalyst's size estimate (no job is run):
-    inputs estimated below ``small_bytes`` are hash-spread over the default
-    parallelism; large inputs already come in many scan partitions. Use
-    ``always`` for post-shuffle candidate sets that AQE may have coalesced.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if not always:
-        try:
-            size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-        except Exception:  # noqa: BLE001 - estimate unavailable: spread to be safe
-            size = 0
-        if size >= small_bytes:
-            return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it back (cuts the lineage, survives lost executors)."""
+    path = shared_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,37 +1,59 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
-from casegrid.functions.similarity import token_set_ratio
+from casegrid.functions.similarity import jaro_winkler, token_set_ratio
 from casegrid.operators import resolve as RS
 
 
-def _match(spark, names, judges):
+def _match(spark, names, judges, **options):
     n = spark.createDataFrame([(x,) for x in names], "name string")
     j = spark.createDataFrame([(x,) for x in judges], "judge_name string")
-    return {r["name"]: r["matched_name"] for r in RS.match_judges(n, j).collect()}
+    return {r["name"]: (r["matched_name"], r["score"]) for r in RS.match_judges(n, j, **options).collect()}
+
+
+def _brute(names, judges, threshold):
+    best = {}
+    for n in set(names):
+        scored = [(n != j, -token_set_ratio(n, j), j) for j in set(judges) if token_set_ratio(n, j) >= threshold]
+        if scored:
+            _, score, judge = min(scored)
+            best[n] = (judge, -score)
+    return best
 
 
 def test_fuzzy_judge_vectors(spark):
     got = _match(spark, ["Justice James", "John", "Judge John"], ["James", "Terrence"])
-    assert got == {"Justice James": "James", "John": "John", "Judge John": "John"}
-
-
-def test_fuzzy_judge_complete_vs_brute_force(spark, sf_small):
-    from casegrid.plans.catalog import incoming_judge_names
-    from casegrid.sources.tables import star
-    names = [r[0] for r in incoming_judge_names(spark, sf_small).distinct().collect()]
-    judges = [r["judge_name"] for r in star(spark, sf_small).judge.collect()]
-    # add near-duplicates and title-only names to exercise every branch
-    names += ["Supplier#000000001", "Supplier #000000001", "Lord", "Lord Sales", "Sales Lord Of Appeal"]
-    judges += ["Lord Sales"]
-    got = _match(spark, names, judges)
-    for n in names:
-        best = None
-        for j in sorted(set(judges)):
-            s = token_set_ratio(n, j)
-            if s >= 95 and (best is None or s > best[1]):
-                best = (j, s)
-        if best:
-            assert got[n] == best[0], n
+    assert {k: v[0] for k, v in got.items()} == {"Justice James": "James", "John": "John", "Judge John": "John"}
+    # the very name wins over a smaller one that scores as high
+    assert _match(spark, ["Lee Smith"], ["Lee Smith", "Anna Lee Smith"])["Lee Smith"] == ("Lee Smith", 100.0)
+
+
+@pytest.mark.parametrize("threshold", [95, 85, 70, 55])
+def test_fuzzy_judges_like_brute_force(spark, threshold):
+    rng = random.Random(threshold)
+    parts = ["Anna", "Ana", "Lee", "Smith", "Smyth", "Lord", "Justice", "Jones", "Joness", "O'Neil", "ONeil", "de", "la", "Fontaine", "QC", "Ünal"]
+    judges = {" ".join(rng.sample(parts, rng.randrange(1, 4))) for _ in range(40)} | {f"Supplier#{i:09d}" for i in range(30)}
+    judges |= {" ".join(f"t{i}" for i in range(14)), "x" * 90}
+    names = {f"{j}1" for j in list(judges)[:20]} | {f"Judge {j} KC" for j in list(judges)[20:40]} | {" ".join(rng.sample(parts, rng.randrange(1, 5))) for _ in range(40)}
+    names |= {"", " ", " ".join(f"t{i}" for i in range(13)) + " u", "x" * 88 + "yx", "Supplier #000000001", "Lord  Lee", "Supplier#00000001", "upplier#000000002"}
+    got = _match(spark, sorted(names), sorted(judges), threshold=threshold)
+    want = _brute(names, judges, threshold)
+    assert {n: g for n, g in got.items() if g[1] is not None} == want
+
+
+def test_a_threshold_without_bounds_is_refused(spark):
+    with pytest.raises(ValueError, match="threshold"):
+        _match(spark, ["a"], ["b"], threshold=30)
+
+
+@pytest.mark.parametrize("threshold", [0.9, 0.8, 0.6])
+def test_similar_pairs_like_brute_force(spark, threshold):
+    words = ["Contract", "Contracts", "Contact", "Fraud", "Frauds", "Martha", "Marhta", "Dixon", "Dicksonx", "Duane", "Dwayne", "A", "Ab", "", "Law of tort", "Tort law"]
+    tags = spark.createDataFrame([(s, w) for s in ("p", "q") for w in words] + [("r", "Fraud"), ("s", "Frauds")], "scope_id string, tag string")
+    got = {(r["scope_id"], r["tag"], r["similar_tag"]) for r in RS.similar_tag_pairs(tags, threshold).collect()}
+    assert got == {(s, a, b) for s in ("p", "q") for a in words for b in words if a != b and jaro_winkler(a, b) > threshold}
 
 
 def test_tag_merge_synonym_and_similarity(spark):
@@ -48,15 +70,6 @@ def test_tag_merge_synonym_and_similarity(spark):
     assert out[("r", 0, 0)] == out[("r", 1, 0)] == "Patents"
 
 
-def test_similar_pairs_complete(spark):
-    words = ["Contract", "Contracts", "Contact", "Fraud", "Frauds", "Martha", "Marhta", "Dixon", "Dicksonx"]
-    tags = spark.createDataFrame([("s", w) for w in words], "scope_id string, tag string")
-    got = {(r["tag"], r["similar_tag"]) for r in RS.similar_tag_pairs(tags).collect()}
-    from casegrid.functions.similarity import jaro_winkler
-    exp = {(a, b) for a in words for b in words if a != b and jaro_winkler(a, b) > 0.9}
-    assert got == exp
-
-
 def test_replace_in_array(spark):
     df = spark.createDataFrame([(["a", "b", "a"],)], "x array<string>")
     assert df.select(RS.replace_in_array(F.col("x"), "a", "c")).first()[0] == ["c", "b", "c"]
