@@ -2,12 +2,13 @@
 
 ``load_batch`` is a pure function of DataFrames: given one batch of
 validated case rows and the current tables, it returns only the rows each
-table must gain. Every step is a join: in-batch de-duplication is a
-``min_by`` hash aggregate on the unique key (no per-key sort), "absent" is a
-null-safe ``left_anti`` against the target, and name->id lookups are left
-joins. Replaying a batch yields no new rows, so a retried micro-batch or a
-re-run after executor loss is safe. ``Warehouse`` persists the result as
-parquet tables under a shared folder, dimensions first.
+table must gain. In-batch de-duplication is a ``min_by`` aggregate on the unique
+key (it combines before the shuffle), "absent" is a null-safe ``left_anti``
+against the part of the target that has the batch's keys, and name->id lookups
+are left joins. What a case's judge strings were matched to is kept in
+``judge_match``, so a batch that is loaded again finds its first matches and
+yields no new rows, whatever judges have come since. ``Warehouse`` persists the
+result as parquet tables under a shared folder, dimensions first.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from casegrid import schemas as S
 from casegrid.operators import reply as RP
 from casegrid.operators import resolve as RS
+from casegrid.session import stage_table
 
 # table -> (id column, natural key columns)
 DIMENSIONS = {
@@ -37,8 +39,9 @@ BRIDGES = {
     "tag_assignment": ["court_case_id", "tag_id"],
     "participant_assignment": ["court_case_id", "participant_id"],
 }
+MATCHES = ["court_case_id", "name"]
 LOAD_ORDER = ["court", "verdict", "judge", "tag", "law_firm", "participant", "lawyer",
-              "court_case", "participant_assignment", "judge_assignment", "tag_assignment"]
+              "court_case", "judge_match", "participant_assignment", "judge_assignment", "tag_assignment"]
 
 SCHEMAS = {
     "court": "court_id long, court_name string",
@@ -48,6 +51,7 @@ SCHEMAS = {
     "participant": "participant_id long, participant_name string",
     "law_firm": "law_firm_id long, law_firm_name string",
     "lawyer": "lawyer_id long, lawyer_name string, law_firm_id long",
+    "judge_match": "court_case_id string, name string, matched_name string",
     "court_case": S.COURT_CASE.simpleString()[len("struct<"):-1].replace(":", " "),
     "judge_assignment": "court_case_id string, judge_id long",
     "tag_assignment": "court_case_id string, tag_id long",
@@ -78,9 +82,15 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def insert_if_absent(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key (null-safe) is not yet in ``target``."""
-    t = target.select(*keys)
-    return rows.join(t, null_safe_on(rows, t, keys), "left_anti")
+    """Rows whose key (null-safe) is not yet in ``target``.
+
+    The target is first pruned to the keys of the batch: that side of the semi join
+    is small and AQE sends it to the target, which so isn't shuffled.
+    """
+    asked = rows.select(*keys).distinct()
+    there = target.select(*keys)
+    there = there.join(asked, null_safe_on(there, asked, keys), "left_semi")
+    return rows.join(there, null_safe_on(rows, there, keys), "left_anti")
 
 
 def _names_to_dim(table: str, names: DataFrame, existing: DataFrame) -> DataFrame:
@@ -93,7 +103,7 @@ def _names_to_dim(table: str, names: DataFrame, existing: DataFrame) -> DataFram
 
 @dataclass
 class Tables:
-    """The eleven star tables as DataFrames."""
+    """The eleven star tables and the judge matches as DataFrames."""
 
     frames: dict[str, DataFrame] = field(default_factory=dict)
 
@@ -139,8 +149,12 @@ def load_batch(cases: DataFrame, tables: Tables, synonyms: DataFrame | None = No
 
     # judges: fuzzy match against the snapshot, then insert-if-absent
     judge_rows = cases.select("court_case_id", F.posexplode("judges").alias("pos", "name"))
-    matched = RS.match_judges(judge_rows, tables["judge"])
-    judge_rows = materialize(judge_rows.join(matched.select("name", "matched_name"), "name", "left"))
+    earlier = tables["judge_match"].join(cases.select("court_case_id").distinct(), "court_case_id", "left_semi")
+    fresh = judge_rows.join(earlier, MATCHES, "left_anti")
+    matched = RS.match_judges(fresh, tables["judge"]).select("name", "matched_name")
+    judge_rows = materialize(fresh.join(matched, "name", "left").select("court_case_id", "name", "matched_name").unionByName(
+        judge_rows.select(*MATCHES).distinct().join(earlier, MATCHES).select("court_case_id", "name", "matched_name")))
+    new["judge_match"] = insert_if_absent(judge_rows.distinct(), earlier, MATCHES)
     judge_names = judge_rows.select(F.col("matched_name").alias("judge_name")).where(
         F.col("judge_name").isNotNull())
     new["judge"] = _names_to_dim("judge", judge_names, tables["judge"])
@@ -236,20 +250,29 @@ class Warehouse:
                 new_rows[name].write.mode("append").parquet(self.path(name))
 
 
-def load_into(warehouse: Warehouse, cases: DataFrame, synonyms: DataFrame | None = None) -> None:
-    """Compute and append one batch. New rows are computed from a snapshot read
-    before any write; appends are idempotent by key on replay."""
+def load_into(warehouse: Warehouse, cases: DataFrame, synonyms: DataFrame | None = None) -> dict[str, int]:
+    """Compute and append one batch; returns the number of rows each table gained.
+
+    New rows are computed from a snapshot read before any write; appends are
+    idempotent by key on replay. Hashed ids that fall on another key's are an error
+    before anything is written.
+    """
     warehouse.initialise()
     snapshot = warehouse.tables()
-    staged = cases.checkpoint(eager=True)
-    new = load_batch(staged, snapshot, synonyms, materialize=lambda df: df.checkpoint(eager=True))
+    staged = stage_table(cases, "load-cases")
+    new = load_batch(staged, snapshot, synonyms, materialize=lambda df: stage_table(df, "load-part"))
     # materialise every delta before the first append, so no delta is
     # recomputed against a table that already holds part of the batch
-    new = {k: v.checkpoint(eager=True) for k, v in new.items()}
+    new = {k: stage_table(v, f"load-{k}") for k, v in new.items()}
+    for name, (id_col, keys) in DIMENSIONS.items():
+        if not id_collisions(new[name], snapshot[name], id_col, keys).isEmpty():
+            raise ValueError(f"hashed ids of {name} collide")
     warehouse.append(new)
+    return {k: v.count() for k, v in new.items()}
 
 
-def check_unique_ids(dim: DataFrame, id_col: str, keys: Sequence[str]) -> DataFrame:
-    """Collision check for hashed ids: ids mapping to more than one key."""
-    return dim.groupBy(id_col).agg(F.countDistinct(*keys).alias("n")).where(F.col("n") > 1)
-
+def id_collisions(new: DataFrame, existing: DataFrame, id_col: str, keys: Sequence[str]) -> DataFrame:
+    """Ids of ``new`` rows that stand for more than one key, among themselves or with ``existing`` ones."""
+    there = existing.join(new.select(id_col).distinct(), id_col, "left_semi")
+    both = new.select(id_col, *keys).unionByName(there.select(id_col, *keys)).distinct()
+    return both.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

@@ -10,33 +10,44 @@ keyed: anti join on the target before appending).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid.functions import text as TX
 from casegrid.operators import reply as RP
 from casegrid.operators import upsert as UP
+from casegrid.session import stage_table
 
 # Notification texts.
 MESSAGE_TEMPLATE = "A new case has been uploaded from the %s"
 MESSAGE_SUBJECT = "New case(s) uploaded"
 
 
+def listing_scope(listing: DataFrame, courts: Sequence[str] | None = None, start=None, end=None) -> DataFrame:
+    """Listing rows of the given courts, dated within the closed range; rows without a date are in no range."""
+    rows = listing if courts is None else listing.where(F.col("court").isin(list(courts)))
+    date = TX.parse_listing_date("date")
+    if start is not None:
+        rows = rows.where(date >= F.lit(start).cast("date"))
+    if end is not None:
+        rows = rows.where(date <= F.lit(end).cast("date"))
+    return rows
+
+
 def new_listing_rows(listing: DataFrame, seen: DataFrame, log_date=None,
                      compat: bool = False) -> DataFrame:
     """Listing rows whose citation is not yet seen.
 
     Late rows (dated before ``log_date``) are admitted by default, since the
     anti join is by citation; ``compat=True`` drops them like a date-scoped
-    listing would. In-batch duplicates of a citation keep the first row.
+    listing would. Of rows with one citation the first in page order
+    (``scope_id``, ``pos``, url) stays.
     """
-    rows = listing
-    if compat and log_date is not None:
-        rows = rows.where(TX.parse_listing_date("date") >= F.lit(log_date).cast("date"))
+    rows = listing_scope(listing, start=log_date) if compat else listing
     rows = rows.join(seen.select("citation"), "citation", "left_anti")
-    return rows.dropDuplicates(["citation"])
+    return UP.first_wins(rows, ["citation"], ["scope_id", "pos", "url"])
 
 
 def validate_listing(rows: DataFrame, text_col: str = "text_raw") -> DataFrame:
@@ -95,28 +106,67 @@ def dedup_stream(stream: DataFrame, key: str, event_time: str, delay: str = "1 d
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def enrich_cached(rows: DataFrame, cache: DataFrame, enrich: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(citation, raw, hit) for each row: the cached reply, failures (null) included; misses go to ``enrich``."""
+    asked = rows.select("citation").distinct()
+    hits = asked.join(cache.select("citation", "raw"), "citation").withColumn("hit", F.lit(True))
+    misses = asked.join(cache, "citation", "left_anti")
+    made = misses.join(enrich(misses).select("citation", "raw"), "citation", "left").withColumn("hit", F.lit(False))
+    return hits.unionByName(made)
+
+
+def backfill(warehouse: UP.Warehouse, listing: DataFrame, enrich: Callable[[DataFrame], DataFrame],
+             synonyms: DataFrame | None = None) -> DataFrame:
+    """Load a whole listing once, by way of the enrichment cache; returns what ``enrich_cached`` did.
+
+    Replies are written to the cache before they are judged and loaded, so a run
+    that is repeated after a failure asks for nothing twice.
+    """
+    cache = warehouse.read("reply_cache", "citation string, raw string")
+    replies = stage_table(enrich_cached(listing, cache, enrich), "replies")
+    replies.where(~F.col("hit")).select("citation", "raw").write.mode("append").parquet(warehouse.path("reply_cache"))
+    good, bad = RP.split(stage_table(RP.assemble(listing, replies.select("citation", "raw")), "assembled"))
+    UP.load_into(warehouse, good, synonyms)
+    keep(warehouse, bad)
+    return replies
+
+
+def keep(warehouse: UP.Warehouse, bad: DataFrame) -> None:
+    """Append rejected rows that the quarantine doesn't have yet."""
+    there = warehouse.read("quarantine", "citation string, raw string, reason string, scope_id string")
+    UP.insert_if_absent(bad, there, ["citation", "reason"]).write.mode("append").parquet(warehouse.path("quarantine"))
+
+
 def process_batch(spark: SparkSession, listing: DataFrame, batch_id: int, warehouse: UP.Warehouse,
                   replies_for: Callable[[DataFrame], DataFrame], today,
-                  synonyms: DataFrame | None = None) -> None:
+                  synonyms: DataFrame | None = None, expire_seen: bool = False) -> None:
     """One micro-batch of T1: unseen rows -> validate -> enrich -> assemble ->
-    load -> quarantine -> outbox -> remember. Safe to re-run for a batch id."""
+    load -> quarantine -> outbox -> remember. Safe to re-run for a batch id.
+
+    With ``expire_seen`` only citations logged ``today`` count as seen (T4). The
+    counts of the run (A22) are observed while the rows are written and go to
+    ``run_log``.
+    """
     if listing.isEmpty():  # T9: nothing new (also the trailing empty batch)
         return
-    seen = warehouse.read("seen", "citation string, log_date date")
-    rows = new_listing_rows(listing, seen).checkpoint(eager=True)
-    checked = validate_listing(rows)
+    remembered = warehouse.read("seen", "citation string, log_date date")
+    seen = roll_seen(remembered, today) if expire_seen else remembered
+    counted, judged = Observation("listing"), Observation("cases")
+    blank = F.col("reason").isNotNull().cast("long")
+    checked = validate_listing(new_listing_rows(listing, seen)).observe(
+        counted, F.count(F.lit(1)).alias("new_rows"), F.sum(blank).alias("blank_rows"))
+    checked = stage_table(checked, "listing")
     valid = checked.where(F.col("reason").isNull()).drop("reason")
     replies = replies_for(valid)                    # X5 hook: (citation, raw)
-    assembled = RP.assemble(valid, replies).checkpoint(eager=True)
+    assembled = RP.assemble(valid, replies).observe(
+        judged, F.count(F.lit(1)).alias("cases"), F.sum(F.col("reason").isNotNull().cast("long")).alias("rejected"))
+    assembled = stage_table(assembled, "assembled")
     good, bad = RP.split(assembled)
-    UP.load_into(warehouse, good, synonyms)
+    gained = UP.load_into(warehouse, good, synonyms)
     rejected = checked.where(F.col("reason").isNotNull()).select(
         "citation", F.lit(None).cast("string").alias("raw"), "reason",
         F.col("scope_id").cast("string").alias("scope_id"))
-    quarantine = bad.unionByName(rejected)
-    existing_q = warehouse.read("quarantine", "citation string, raw string, reason string, scope_id string")
-    UP.insert_if_absent(quarantine, existing_q, ["citation", "reason"]) \
-        .write.mode("append").parquet(warehouse.path("quarantine"))
+    keep(warehouse, bad.unionByName(rejected))
     topics = warehouse.read("subscription", "topic string, email string")
     outbox = notify_outbox(good.select(F.col("court_name").alias("court")), topics, batch_id)
     existing_o = warehouse.read("outbox", "topic string, court_display string, batch_id long, "
@@ -125,11 +175,16 @@ def process_batch(spark: SparkSession, listing: DataFrame, batch_id: int, wareho
         .write.mode("append").parquet(warehouse.path("outbox"))
     new_seen = UP.insert_if_absent(remember(valid, today), seen, ["citation"])
     new_seen.write.mode("append").parquet(warehouse.path("seen"))
+    counts = {"batch_id": batch_id, **counted.get, **judged.get, "loaded": gained["court_case"]}
+    log = spark.createDataFrame([tuple(int(v or 0) for v in counts.values())], ", ".join(f"{k} long" for k in counts))
+    there = warehouse.read("run_log", log.schema)
+    UP.insert_if_absent(log, there, ["batch_id"]).write.mode("append").parquet(warehouse.path("run_log"))
 
 
 def run_incremental(spark: SparkSession, listing_dir: str, listing_schema, warehouse_root: str,
                     checkpoint: str, replies_for: Callable[[DataFrame], DataFrame], today,
-                    synonyms: DataFrame | None = None, max_files_per_trigger: int | None = None):
+                    synonyms: DataFrame | None = None, max_files_per_trigger: int | None = None,
+                    expire_seen: bool = False):
     """Process every new listing file once (availableNow) and stop."""
     wh = UP.Warehouse(spark, warehouse_root)
     reader = spark.readStream.schema(listing_schema)
@@ -137,7 +192,7 @@ def run_incremental(spark: SparkSession, listing_dir: str, listing_schema, wareh
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(listing_dir)
     query = (stream.writeStream
-             .foreachBatch(lambda df, bid: process_batch(spark, df, bid, wh, replies_for, today, synonyms))
+             .foreachBatch(lambda df, bid: process_batch(spark, df, bid, wh, replies_for, today, synonyms, expire_seen))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())

@@ -1,7 +1,9 @@
 from pyspark.sql import functions as F
 
+from casegrid.operators import constraints as CN
 from casegrid.operators import reply as RP
 from casegrid.operators import upsert as UP
+from casegrid.session import stage_table
 from casegrid.sources import fixtures as FX
 from casegrid.sources.tables import star
 
@@ -22,19 +24,56 @@ def test_first_wins_and_insert_if_absent(spark):
     assert [r[0] for r in UP.insert_if_absent(new, target, ["name"]).collect()] == ["b"]
 
 
+CASES = ("court_case_id string, title string, case_url string, court_name string, court_date date, verdict string, summary string, case_number string, "
+         "verdict_summary string, judges array<string>, tags array<string>, first_side array<struct<participant:string,lawyer:string,law_firm:string>>, "
+         "second_side array<struct<participant:string,lawyer:string,law_firm:string>>, scope_id string")
+
+
+def _case(i, judges, tags=("Fraud",), summary="s"):
+    return (i, f"t{i}", f"u{i}", "Privy Council", None, "Other", summary, None, None, list(judges), list(tags),
+            [("A", "L1", "F1"), ("B", None, None)], [(None, None, None), ("A", "L2", None)], "p")
+
+
 def test_load_batch_replay_is_noop(spark, sf_small):
-    ckpt = lambda df: df.checkpoint(eager=True)  # noqa: E731  cut lineage between loads
-    cases = ckpt(_cases(spark, sf_small))
+    cases = stage_table(_cases(spark, sf_small), "t")
     t0 = UP.empty_tables(spark)
-    new1 = {k: ckpt(v) for k, v in UP.load_batch(cases, t0, materialize=ckpt).items()}
+    new1 = {k: stage_table(v, k) for k, v in UP.load_batch(cases, t0, materialize=lambda df: stage_table(df, "m")).items()}
     t1 = t0.union(new1)
     assert new1["court_case"].count() == cases.count()
     assert new1["judge_assignment"].count() > 0 and new1["participant_assignment"].count() > 0
-    new2 = UP.load_batch(cases, t1, materialize=ckpt)
+    new2 = UP.load_batch(cases, t1, materialize=lambda df: stage_table(df, "m"))
     for name, df in new2.items():
         assert df.count() == 0, name
-    ids = t1["judge"]
-    assert UP.check_unique_ids(ids, "judge_id", ["judge_name"]).count() == 0
+
+
+def test_colliding_judge_names_stay_where_they_were(spark, tmp_path):
+    """Once loaded, several of these score 100 against each other."""
+    first = spark.createDataFrame([_case("1", ["Anna Lee Smith", "Lee Smith"]), _case("2", ["Judge Lee Amy", "Amy"]), _case("3", ["Lee Smith CBE"])], CASES)
+    later = spark.createDataFrame([_case("4", ["Judge Lee Amy", "Smith Lee"]), _case("1", ["Lee Smith", "New Name"], ["Fraud", "Tax"], "later")], CASES)
+    wh = UP.Warehouse(spark, str(tmp_path / "wh"))
+
+    def bridge():
+        return {tuple(r) for r in wh.read("judge_assignment").join(wh.read("judge"), "judge_id").select("court_case_id", "judge_name").collect()}
+
+    UP.load_into(wh, first)
+    assert bridge() == {("1", "Anna Lee Smith"), ("1", "Lee Smith"), ("2", "Lee Amy"), ("2", "Amy"), ("3", "Lee Smith")}
+    assert not any(UP.load_into(wh, first).values())
+    UP.load_into(wh, later)
+    # new cases are matched to what is there now, ties going to the smaller name; case 1 only gains a name
+    assert bridge() == {("1", "Anna Lee Smith"), ("1", "Lee Smith"), ("1", "New Name"), ("2", "Lee Amy"), ("2", "Amy"), ("3", "Lee Smith"),
+                        ("4", "Amy"), ("4", "Anna Lee Smith")}
+    assert not any(UP.load_into(wh, first).values()) and not any(UP.load_into(wh, later).values())
+    assert wh.read("court_case").where("court_case_id = '1'").first()["summary"] == "s"
+    assert {r["tag_name"] for r in wh.read("tag_assignment").join(wh.read("tag"), "tag_id").where("court_case_id = '1'").collect()} == {"Fraud", "Tax"}
+    # the first side's entry of a participant wins; null names have one row
+    rows = wh.read("participant_assignment").where("court_case_id = '1'").join(wh.read("participant"), "participant_id").collect()
+    assert sorted((r["participant_name"] or "", r["is_defendant"]) for r in rows) == [("", True), ("A", False), ("B", False)]
+
+
+def test_hashed_ids_that_collide_are_an_error(spark):
+    new = spark.createDataFrame([(1, "a"), (2, "b")], "judge_id long, judge_name string")
+    there = spark.createDataFrame([(2, "c"), (3, "d")], "judge_id long, judge_name string")
+    assert [r["judge_id"] for r in UP.id_collisions(new, there, "judge_id", ["judge_name"]).collect()] == [2]
 
 
 def test_warehouse_roundtrip(spark, sf_small, tmp_path):
@@ -42,6 +81,13 @@ def test_warehouse_roundtrip(spark, sf_small, tmp_path):
     cases = _cases(spark, sf_small)
     UP.load_into(wh, cases)
     n1 = wh.read("court_case").count()
-    UP.load_into(wh, cases)          # replay after a (simulated) failure
+    assert not any(UP.load_into(wh, cases).values())          # replay after a (simulated) failure
     assert wh.read("court_case").count() == n1
     assert wh.read("court").where(F.col("court_name") == "Privy Council").count() == 1
+
+
+def test_constraints(spark):
+    rows = spark.createDataFrame([_case("1", ["a"]), _case(None, ["a"]), _case("3" * 251, ["a"]), _case("4", ["a", None]), _case("5", ["a" * 201]), _case("6", ["a"], ["t" * 251])], CASES)
+    fit, rest = CN.split_by_constraints(rows)
+    assert [r["court_case_id"] for r in fit.collect()] == ["1"]
+    assert sorted(r["reason"] for r in rest.collect()) == ["long:court_case_id", "long:judges", "long:tags", "null:court_case_id", "null:judges"]

@@ -7,16 +7,17 @@ from casegrid.sources import fixtures as FX
 from casegrid.sources.tables import star
 from casegrid.streaming import incremental as INC
 
-SCHEMA = "title string, url string, court string, citation string, date string, text_raw string, scope_id string"
+SCHEMA = "title string, url string, court string, citation string, date string, text_raw string, scope_id string, pos int"
 
 
 def test_new_rows_and_outbox(spark):
     listing = spark.createDataFrame(
-        [("t", "u", "Privy Council", "c1", "1 Jan 2024", "x", "s"),
-         ("t", "u", "Family Court", "c2", "1 Jan 2020", "x", "s"),
-         ("t", "u", "Family Court", "c2", "1 Jan 2020", "x", "s")], SCHEMA)
+        [("t", "u", "Privy Council", "c1", "1 Jan 2024", "x", "s", 0),
+         ("later", "u", "Family Court", "c2", "1 Jan 2020", "x", "s", 2),
+         ("t", "u", "Family Court", "c2", "1 Jan 2020", "x", "s", 1)], SCHEMA)
     seen = spark.createDataFrame([("c0",)], "citation string")
-    assert INC.new_listing_rows(listing, seen).count() == 2
+    assert sorted((r["citation"], r["title"]) for r in INC.new_listing_rows(listing, seen).collect()) == [("c1", "t"), ("c2", "t")]
+    assert [r["citation"] for r in INC.listing_scope(listing, ["Privy Council"], "2024-01-01", "2024-01-01").collect()] == ["c1"]
     assert INC.new_listing_rows(listing, seen, "2023-01-01", compat=True).count() == 1
     topics = INC.subscribe(spark.createDataFrame(
         [("me@x.org", ["Family Court"]), ("bad", ["Privy Council"]), ("you@y.org", [])],
@@ -27,9 +28,38 @@ def test_new_rows_and_outbox(spark):
         ("c12-courts-Family-Court", 7, "A new case has been uploaded from the Family Court")]
 
 
+def test_seen_expires_and_cache_is_asked_first(spark):
+    seen = spark.createDataFrame([("c1", dt.date(2024, 1, 1)), ("c2", dt.date(2024, 1, 2))], "citation string, log_date date")
+    assert [r["citation"] for r in INC.roll_seen(seen, dt.date(2024, 1, 2)).collect()] == ["c2"]
+    rows = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), ("d",)], "citation string")
+    cache = spark.createDataFrame([("a", "kept"), ("b", None)], "citation string, raw string")
+    asked = []
+
+    def enrich(misses):
+        asked.extend(sorted(r["citation"] for r in misses.collect()))
+        return misses.where("citation = 'c'").withColumn("raw", F.lit("made"))
+
+    got = {r["citation"]: (r["hit"], r["raw"]) for r in INC.enrich_cached(rows, cache, enrich).collect()}
+    assert got == {"a": (True, "kept"), "b": (True, None), "c": (False, "made"), "d": (False, None)} and asked == ["c", "d"]
+
+
+def test_backfill_asks_once(spark, sf_small, tmp_path):
+    st = star(spark, sf_small)
+    listing, replies = FX.listing_rows(st), FX.synthetic_replies(st)
+    wh = UP.Warehouse(spark, str(tmp_path / "wh"))
+    hook = lambda misses: replies.where("citation % 3 <> 0").join(misses, "citation", "left_semi")
+    first = INC.backfill(wh, listing, hook)
+    assert first.where("hit").count() == 0 and first.count() == listing.count()
+    loaded, kept = wh.read("court_case").count(), wh.read("quarantine").count()
+    assert loaded > 0 and wh.read("quarantine").where("reason = 'no_reply'").count() == listing.where("citation % 3 = 0").count()
+    again = INC.backfill(wh, listing, hook)
+    assert again.where("not hit").count() == 0
+    assert (wh.read("court_case").count(), wh.read("quarantine").count()) == (loaded, kept)
+
+
 def test_stream_equals_batch(spark, sf_small, tmp_path):
     st = star(spark, sf_small)
-    listing = FX.listing_rows(st).withColumn("year", F.substring("scope_id", 1, 4))
+    listing = FX.listing_rows(st).withColumn("year", F.regexp_extract("date", " ([0-9]{4})", 1))
     listing.write.partitionBy("year").parquet(str(tmp_path / "listing"))
     replies = FX.synthetic_replies(st)
     hook = lambda valid: replies.join(valid.select("citation"), "citation", "left_semi")
@@ -38,10 +68,13 @@ def test_stream_equals_batch(spark, sf_small, tmp_path):
     wh = UP.Warehouse(spark, str(tmp_path / "wh"))
     streamed = {r[0] for r in wh.read("court_case").select("court_case_id").collect()}
     from casegrid.operators import reply as RP
-    good, bad = RP.split(RP.assemble(FX.listing_rows(st), replies))
+    dated = FX.listing_rows(st).where("date <> ''")
+    good, bad = RP.split(RP.assemble(dated, replies))
     assert streamed == {r[0] for r in good.select("court_case_id").collect()}
-    assert wh.read("quarantine").count() == bad.count()
-    assert wh.read("seen").count() == FX.listing_rows(st).count()
+    assert wh.read("quarantine").count() == bad.count() + FX.listing_rows(st).where("date = ''").count()
+    assert wh.read("seen").count() == dated.count()
+    log = wh.read("run_log").agg(F.sum("new_rows"), F.sum("blank_rows"), F.sum("cases"), F.sum("rejected"), F.sum("loaded")).first()
+    assert tuple(log) == (FX.listing_rows(st).count(), FX.listing_rows(st).where("date = ''").count(), dated.count(), bad.count(), len(streamed))
     # a second run finds no new files and changes nothing
     INC.run_incremental(spark, str(tmp_path / "listing"), SCHEMA, str(tmp_path / "wh"),
                         str(tmp_path / "ckpt"), hook, dt.date(2024, 1, 1))
