@@ -49,14 +49,15 @@ class Star:
     # ---- dimensions -------------------------------------------------------
     @property
     def court(self) -> DataFrame:
+        letters = F.translate(F.col("n_nationkey").cast("string"), "0123456789", "ABCDEFGHIJ")
         return self._memo("court", lambda: self.raw("nation").select(
-            _int("n_nationkey").alias("court_id"), F.col("n_name").alias("court_name")))
+            _int("n_nationkey").alias("court_id"), F.concat(F.lit("Court of "), letters).alias("court_name")))
 
     @property
     def verdict(self) -> DataFrame:
         return self._memo("verdict", lambda: self.raw("orders").select(
             _priority_code().alias("verdict_id"),
-            F.substring("o_orderpriority", 3, 1 << 20).alias("verdict")).distinct())
+            F.expr("substring(o_orderpriority, 3)").alias("verdict")).distinct())
 
     @property
     def judge(self) -> DataFrame:
@@ -78,19 +79,26 @@ class Star:
     @property
     def law_firm(self) -> DataFrame:
         return self._memo("law_firm", lambda: self.raw("part").select("p_brand").distinct().select(
-            _int(F.substring("p_brand", 7, 1 << 20)).alias("law_firm_id"),
+            _int(F.expr("substring(p_brand, 7)")).alias("law_firm_id"),
             F.col("p_brand").alias("law_firm_name")))
 
+    @property
+    def _advocates(self) -> DataFrame:
+        """One lawyer for each (part type, brand)."""
+        return self._memo("advocates", lambda: self.raw("part").groupBy("p_type", "p_brand").agg(
+            _int(F.min("p_partkey")).alias("lawyer_id")))
+
     @property
     def lawyer(self) -> DataFrame:
-        return self._memo("lawyer", lambda: self.raw("part").groupBy("p_type", "p_brand").agg(
-            _int(F.min("p_partkey")).alias("lawyer_id")).select(
-            "lawyer_id", F.col("p_type").alias("lawyer_name"),
-            _int(F.substring("p_brand", 7, 1 << 20)).alias("law_firm_id")))
+        """Every nineteenth lawyer works for no firm."""
+        firm = F.when(F.col("lawyer_id") % 19 != 0, _int(F.expr("substring(p_brand, 7)")))
+        return self._memo("lawyer", lambda: self._advocates.select(
+            "lawyer_id", F.col("p_type").alias("lawyer_name"), firm.alias("law_firm_id")))
 
     # ---- fact -------------------------------------------------------------
     @property
     def court_case(self) -> DataFrame:
+        """Orders with their customer; some cases have no date."""
         def build():
             orders = self.raw("orders").select(
                 "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
@@ -102,22 +110,26 @@ class Star:
                          F.col("o_orderpriority")).alias("summary"),
                 _priority_code().alias("verdict_id"),
                 F.concat(F.lit("Case "), F.col("c_name")).alias("title"),
-                F.col("o_orderdate").cast("date").alias("court_date"),
+                F.when(F.col("o_orderkey") % 211 != 7, F.col("o_orderdate").cast("date")).alias("court_date"),
                 F.concat(F.lit("No. "), key).alias("case_number"),
                 F.concat(F.lit("https://judgments.example/case/"), key).alias("case_url"),
                 _int("c_nationkey").alias("court_id"),
-                F.substring("o_orderpriority", 3, 1 << 20).alias("verdict_summary"),
+                F.expr("substring(o_orderpriority, 3)").alias("verdict_summary"),
             )
         return self._memo("court_case", build)
 
     # ---- bridges ----------------------------------------------------------
+    @property
+    def judge_links(self) -> DataFrame:
+        """(case, judge) as scanned, with repeats: for queries that don't join on the case."""
+        return self._memo("judge_links", lambda: self.raw("lineitem").select(
+            F.col("l_orderkey").cast("string").alias("court_case_id"), _int("l_suppkey").alias("judge_id")))
+
     @property
     def judge_assignment(self) -> DataFrame:
         # hash-partition on the case key before de-duplicating: the distinct
         # and every later join on court_case_id reuse this one shuffle
-        return self._memo("judge_assignment", lambda: self.raw("lineitem").select(
-            F.col("l_orderkey").cast("string").alias("court_case_id"),
-            _int("l_suppkey").alias("judge_id")).repartition("court_case_id").distinct())
+        return self._memo("judge_assignment", lambda: self.judge_links.repartition("court_case_id").distinct())
 
     @property
     def part_tag(self) -> DataFrame:
@@ -139,69 +151,20 @@ class Star:
 
     @property
     def participant_assignment(self) -> DataFrame:
+        """Parties by case; in some cases nobody has a lawyer."""
         def build():
-            part = self.raw("part").select(
-                "p_partkey", "p_type", _int(F.substring("p_brand", 7, 1 << 20)).alias("firm"))
-            lawyer = self.lawyer
-            part_lawyer = part.join(
-                lawyer, (part.p_type == lawyer.lawyer_name) & (part.firm == lawyer.law_firm_id)
-            ).select("p_partkey", "lawyer_id")
+            part = self.raw("part").select("p_partkey", "p_type", "p_brand")
+            part_lawyer = part.join(self._advocates, ["p_type", "p_brand"]).select("p_partkey", "lawyer_id")
             n_customers = self.raw("customer").agg(F.count(F.lit(1))).scalar()
             li = self.raw("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
             joined = li.join(part_lawyer, li.l_partkey == part_lawyer.p_partkey)
             pid = ((F.col("l_orderkey") * 7 + F.col("l_suppkey")) % n_customers).cast("int")
-            return joined.groupBy(
-                F.col("l_orderkey").cast("string").alias("court_case_id"),
-                pid.alias("participant_id"),
-            ).agg(
-                F.min("lawyer_id").alias("lawyer_id"),
-                (F.min("l_returnflag") == F.lit("R")).alias("is_defendant"),
-            )
+            return joined.groupBy("l_orderkey", pid.alias("participant_id")).agg(
+                F.min("lawyer_id").alias("lawyer_id"), (F.min("l_returnflag") == F.lit("R")).alias("is_defendant"),
+            ).select(F.col("l_orderkey").cast("string").alias("court_case_id"), "participant_id",
+                     F.when(F.col("l_orderkey") % 23 != 5, F.col("lawyer_id")).alias("lawyer_id"), "is_defendant")
         return self._memo("participant_assignment", build)
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
     return Star(spark, sf_dir)
-
-
-# The same views as SQL text, used as a CTE prefix by the DuckDB oracle.
-STAR_SQL = """
-court AS (SELECT CAST(n_nationkey AS INT) AS court_id, n_name AS court_name FROM nation),
-verdict AS (SELECT DISTINCT CAST(substring(o_orderpriority, 1, 1) AS INT) AS verdict_id,
-                   substring(o_orderpriority, 3) AS verdict FROM orders),
-judge AS (SELECT CAST(s_suppkey AS INT) AS judge_id, s_name AS judge_name FROM supplier),
-tag AS (SELECT CAST(min(p_partkey) AS INT) AS tag_id, p_name AS tag_name FROM part GROUP BY p_name),
-participant AS (SELECT CAST(c_custkey AS INT) AS participant_id, c_name AS participant_name FROM customer),
-law_firm AS (SELECT DISTINCT CAST(substring(p_brand, 7) AS INT) AS law_firm_id, p_brand AS law_firm_name FROM part),
-lawyer AS (SELECT CAST(min(p_partkey) AS INT) AS lawyer_id, p_type AS lawyer_name,
-                  CAST(substring(p_brand, 7) AS INT) AS law_firm_id FROM part GROUP BY p_type, p_brand),
-court_case AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS court_case_id,
-         'Status ' || o_orderstatus || ' priority ' || o_orderpriority AS summary,
-         CAST(substring(o_orderpriority, 1, 1) AS INT) AS verdict_id,
-         'Case ' || c_name AS title,
-         CAST(o_orderdate AS DATE) AS court_date,
-         'No. ' || CAST(o_orderkey AS VARCHAR) AS case_number,
-         'https://judgments.example/case/' || CAST(o_orderkey AS VARCHAR) AS case_url,
-         CAST(c_nationkey AS INT) AS court_id,
-         substring(o_orderpriority, 3) AS verdict_summary
-  FROM orders JOIN customer ON o_custkey = c_custkey),
-judge_assignment AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS court_case_id,
-                            CAST(l_suppkey AS INT) AS judge_id FROM lineitem),
-tag_assignment AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS court_case_id, t.tag_id
-                   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN tag t ON t.tag_name = p_name),
-participant_assignment AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS court_case_id,
-         CAST((l_orderkey * 7 + l_suppkey) % (SELECT count(*) FROM customer) AS INT) AS participant_id,
-         min(lw.lawyer_id) AS lawyer_id,
-         min(l_returnflag) = 'R' AS is_defendant
-  FROM lineitem JOIN part ON l_partkey = p_partkey
-  JOIN lawyer lw ON lw.lawyer_name = p_type AND lw.law_firm_id = CAST(substring(p_brand, 7) AS INT)
-  GROUP BY 1, 2)
-"""
-
-
-def with_star(sql_body: str, ctes: str = "") -> str:
-    """Prefix a query body with the star views (and optional extra CTEs)."""
-    extra = (",\n" + ctes.strip()) if ctes.strip() else ""
-    return "WITH " + STAR_SQL.strip() + extra + "\n" + sql_body
