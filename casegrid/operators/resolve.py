@@ -205,11 +205,12 @@ def similar_tag_pairs(distinct_tags: DataFrame, threshold: float = S.TAG_SIMILAR
     """
     least = max(0.7, (threshold - 0.4) / 0.6) if threshold >= 0.7 else threshold
     share = max(0.0, 3 * least - 2)
-    tags = distinct_tags.select("tag").distinct().withColumn("bag", _char_bag(F.col("tag"))).withColumn("n", F.size("bag"))
+    there = stage_table(distinct_tags.select("scope_id", "tag").distinct(), "scope-tag-names")
+    tags = there.select("tag").distinct().withColumn("bag", _char_bag(F.col("tag"))).withColumn("n", F.size("bag"))
     tags = stage_table(tags.where("n > 0"), "tags")
     elements = tags.select("tag", F.col("n").alias("total"), F.explode("bag").alias("el"), F.lit(1).alias("weight"))
     rare = _rarest(elements, ["tag"], F.col("rank") <= F.col("total") - F.ceil(F.col("total") * share - 1e-9) + 1)
-    placed = distinct_tags.select("scope_id", "tag").distinct().join(rare, "tag")
+    placed = there.join(rare, "tag")
     met = placed.join(placed.select("scope_id", "el", F.col("tag").alias("other")), ["scope_id", "el"])
     pairs = met.where(F.col("tag") < F.col("other")).select("tag", "other").distinct()
     pairs = pairs.join(tags, "tag").join(tags.select(F.col("tag").alias("other"), F.col("bag").alias("bag2"), F.col("n").alias("n2")), "other")
@@ -221,7 +222,6 @@ def similar_tag_pairs(distinct_tags: DataFrame, threshold: float = S.TAG_SIMILAR
     ways = F.array(F.struct("tag", F.col("other").alias("similar_tag")), F.struct(F.col("other").alias("tag"), F.col("tag").alias("similar_tag")))
     scored = pairs.select(F.explode(ways).alias("w")).select("w.*").withColumn("jw", SIM.jaro_winkler_udf("tag", "similar_tag"))
     scored = stage_table(scored.where(F.col("jw") > threshold), "similar-tags")
-    there = distinct_tags.select("scope_id", "tag").distinct()
     return there.join(scored, "tag").join(there.select("scope_id", F.col("tag").alias("similar_tag")), ["scope_id", "similar_tag"]).select(
         "scope_id", "tag", "similar_tag", "jw")
 
@@ -248,7 +248,7 @@ def canonical_tags(tags: DataFrame, synonyms: DataFrame | None = None,
     spark = tags.sparkSession
     if synonyms is None:
         synonyms = spark.createDataFrame([], SYNONYMS_SCHEMA)
-    rows = tags.where(F.col("tag").isNotNull())
+    rows = stage_table(tags.where(F.col("tag").isNotNull()), "tag-rows")
     first = rows.groupBy("scope_id", "tag").agg(F.min(F.struct("case_ord", "tag_ord")).alias("at"))
     first = stage_table(first, "scope-tags")
     syn = synonym_edges(first, synonyms).select("scope_id", "tag", F.col("target").alias("other"), F.lit(True).alias("is_syn"))

@@ -548,11 +548,20 @@ def scoped_tags(spark, sf):
     """Tags per case with scope = listing page of fifty cases, ordered by case then tag id."""
     st = star(spark, sf)
     number = F.col("court_case_id").cast("long")
-    return st.tag_assignment.join(st.tag, "tag_id").join(st.court_case.select("court_case_id"), "court_case_id").select(
+    links = st.tag_links.join(st.court_case.select("court_case_id"), "court_case_id", "left_semi").distinct()
+    return links.join(st.tag, "tag_id").select(
         F.floor(number / 50).cast("string").alias("scope_id"), "court_case_id", number.alias("case_ord"),
         F.col("tag_id").cast("long").alias("tag_ord"), TX.capitalize("tag_name").alias("tag"))
 
 
+def _page_tags(spark, sf):
+    """(scope_id, tag): the tags of each listing page."""
+    st = star(spark, sf)
+    links = st.tag_links.join(st.court_case.select("court_case_id"), "court_case_id", "left_semi")
+    pages = links.select(F.floor(F.col("court_case_id").cast("long") / 50).cast("string").alias("scope_id"), "tag_id").distinct()
+    return pages.join(st.tag, "tag_id").select("scope_id", TX.capitalize("tag_name").alias("tag"))
+
+
 def tag_synonyms(spark, sf):
     """(word, lemma): words before "m" stand for the first tag that begins with them."""
     part = read_table(spark, sf, "part").select(F.split("p_name", " ")[0].alias("word"), "p_name")
@@ -567,7 +576,7 @@ register("tag_similar_pairs", O.over("""
 SELECT CAST(x.page AS VARCHAR) AS scope_id, x.tag, y.tag AS similar_tag, jaro_winkler_similarity(x.tag, y.tag) AS jw
 FROM there x JOIN there y ON x.page = y.page AND x.tag <> y.tag WHERE jaro_winkler_similarity(x.tag, y.tag) > 0.9""",
     *O.facts(a="tag"), _TAGS, "there AS (SELECT DISTINCT page, tag FROM tagged)"))(
-    lambda spark, sf: RS.similar_tag_pairs(scoped_tags(spark, sf).select("scope_id", "tag").distinct()))
+    lambda spark, sf: RS.similar_tag_pairs(_page_tags(spark, sf)))
 
 register("tag_canonical", O.over("""
 SELECT CAST(page AS VARCHAR) AS scope_id, CAST(k AS VARCHAR) AS court_case_id, tag, canonical FROM tagged JOIN canonical USING (page, tag)""",

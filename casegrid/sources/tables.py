@@ -141,13 +141,17 @@ class Star:
         return self._memo("part_tag", build)
 
     @property
-    def tag_assignment(self) -> DataFrame:
+    def tag_links(self) -> DataFrame:
+        """(case, tag) as scanned, with repeats."""
         def build():
             li = self.raw("lineitem").select("l_orderkey", "l_partkey")
             return li.join(self.part_tag, li.l_partkey == self.part_tag.p_partkey).select(
-                F.col("l_orderkey").cast("string").alias("court_case_id"), "tag_id"
-            ).repartition("court_case_id").distinct()
-        return self._memo("tag_assignment", build)
+                F.col("l_orderkey").cast("string").alias("court_case_id"), "tag_id")
+        return self._memo("tag_links", build)
+
+    @property
+    def tag_assignment(self) -> DataFrame:
+        return self._memo("tag_assignment", lambda: self.tag_links.repartition("court_case_id").distinct())
 
     @property
     def participant_assignment(self) -> DataFrame:
