@@ -32,7 +32,7 @@ from casegrid.llm.common import as_bytes, staged, with_results
 
 FILTER_BITS = 1 << 26
 HASHES = 3
-BROADCAST_KEYS = 1 << 21
+BROADCAST_KEYS = 1 << 20
 _RANGE = 1 << 12  # words of the bit arrays that one merging group holds
 
 
