@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid import schemas as S
+from casegrid.functions import text as TX
 from casegrid.operators import reply as RP
 from casegrid.operators import resolve as RS
 from casegrid.session import stage_table
@@ -101,6 +102,12 @@ def _names_to_dim(table: str, names: DataFrame, existing: DataFrame) -> DataFram
     return new.select(surrogate_id(table, *keys).alias(id_col), *keys)
 
 
+def seed_judges(scraped: DataFrame, judges: DataFrame) -> DataFrame:
+    """New judge rows for scraped names (``judge_name``): titles stripped (R1), empty and known names left out."""
+    names = scraped.select(TX.strip_judge_titles("judge_name").alias("judge_name"))
+    return _names_to_dim("judge", names.where((F.col("judge_name") != "")), judges)
+
+
 @dataclass
 class Tables:
     """The eleven star tables and the judge matches as DataFrames."""

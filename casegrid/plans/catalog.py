@@ -357,7 +357,7 @@ SELECT court_case_id, raw, court_date, strftime(court_date, '%d-%m-%Y') AS log_d
        CAST(try_strptime(strftime(court_date, '%d-%m-%Y'), '%d-%m-%Y') AS DATE) AS log_date_parsed
 FROM p""")(_dates)
 
-register("usage_cost", """
+_USAGE_SQL = """
 WITH per AS (SELECT conv_id,
                     sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS c,
                     sum(CASE WHEN role = 'assistant' THEN 0 ELSE length(text) END) AS p
@@ -367,8 +367,22 @@ SELECT completion_tokens, prompt_tokens,
        printf('$%.2f', completion_tokens / 1e6 * 0.60) AS output_cost,
        printf('$%.2f', prompt_tokens / 1e6 * 0.15) AS input_cost,
        printf('$%.2f', completion_tokens / 1e6 * 0.60 + prompt_tokens / 1e6 * 0.15) AS total_cost
-FROM t""")(lambda spark, sf: EN.usage_cost(
-    EN.usage_lines_from_conversations(read_table(spark, sf, "conversations"))))
+FROM t"""
+
+
+def _usage_lines(spark, sf):
+    return EN.usage_lines_from_conversations(read_table(spark, sf, "conversations"))
+
+
+def _usage_log(spark, sf):
+    """The lines as a text log, written and read again."""
+    path = shared_dir(spark, f"casegrid-runs/{uuid.uuid4().hex}/usage-log")
+    _usage_lines(spark, sf).write.text(path)
+    return EN.usage_cost(EN.read_usage_log(spark, path))
+
+
+register("usage_cost", _USAGE_SQL)(lambda spark, sf: EN.usage_cost(_usage_lines(spark, sf)))
+register("usage_cost_log", _USAGE_SQL)(_usage_log)
 
 
 # ---------------------------------------------------------------------------
@@ -424,6 +438,18 @@ register("judges_from_cells",
                                                       cell_container_class=None)))
 
 
+def _seed_judges(spark, sf):
+    """Names picked by all selectors, where those of the first are known already."""
+    cells = HT.table_cells(read_table(spark, sf, "pages"), cell_tag="li", cell_container_class=None)
+    known = UP.seed_judges(HT.select_cells(cells, "bench"), spark.createDataFrame([], UP.SCHEMAS["judge"]))
+    return UP.seed_judges(HT.gather_judges(cells), known).select("judge_name")
+
+
+register("seed_judges", f"WITH {_CELLS_SQL.strip()}, picked AS ({' UNION ALL '.join(_selector_sql(n) for n in HT.SELECTORS)}), "
+         f"named AS (SELECT {_STRIP_SQL.format(c='judge_name')} AS judge_name, selector FROM picked) "
+         "SELECT DISTINCT judge_name FROM named WHERE judge_name <> '' "
+         "AND judge_name NOT IN (SELECT judge_name FROM named WHERE selector = 'bench')")(_seed_judges)
+
 register("page_extent_listing", O.over("""
 SELECT k AS page_id, 'https://judgments.example/case/' || id AS url,
        CAST(CASE k % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 3 * (k % 5 + 1) END AS INT) AS max_page FROM cases"""))(
