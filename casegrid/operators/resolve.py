@@ -203,11 +203,15 @@ def similar_tag_pairs(distinct_tags: DataFrame, threshold: float = S.TAG_SIMILAR
     rarest characters, as many as that leaves open, have one in common. Pairs are
     scored once, whatever the number of scopes, and the found ones go back to them.
     """
+    return _similar_pairs(stage_table(distinct_tags.select("scope_id", "tag").distinct(), "scope-tag-names"), threshold)
+
+
+def _similar_pairs(there: DataFrame, threshold: float) -> DataFrame:
+    """``there``: a written table of distinct (scope_id, tag), which is read several times."""
     least = max(0.7, (threshold - 0.4) / 0.6) if threshold >= 0.7 else threshold
     share = max(0.0, 3 * least - 2)
-    there = stage_table(distinct_tags.select("scope_id", "tag").distinct(), "scope-tag-names")
     tags = there.select("tag").distinct().withColumn("bag", _char_bag(F.col("tag"))).withColumn("n", F.size("bag"))
-    tags = stage_table(tags.where("n > 0"), "tags")
+    tags = tags.where("n > 0")
     elements = tags.select("tag", F.col("n").alias("total"), F.explode("bag").alias("el"), F.lit(1).alias("weight"))
     rare = _rarest(elements, ["tag"], F.col("rank") <= F.col("total") - F.ceil(F.col("total") * share - 1e-9) + 1)
     placed = there.join(rare, "tag")
@@ -221,7 +225,7 @@ def similar_tag_pairs(distinct_tags: DataFrame, threshold: float = S.TAG_SIMILAR
     pairs = pairs.where(F.when(high > 0.7, high + prefix * 0.1 * (1.0 - high)).otherwise(high) > threshold)
     ways = F.array(F.struct("tag", F.col("other").alias("similar_tag")), F.struct(F.col("other").alias("tag"), F.col("tag").alias("similar_tag")))
     scored = pairs.select(F.explode(ways).alias("w")).select("w.*").withColumn("jw", SIM.jaro_winkler_udf("tag", "similar_tag"))
-    scored = stage_table(scored.where(F.col("jw") > threshold), "similar-tags")
+    scored = scored.where(F.col("jw") > threshold)
     return there.join(scored, "tag").join(there.select("scope_id", F.col("tag").alias("similar_tag")), ["scope_id", "similar_tag"]).select(
         "scope_id", "tag", "similar_tag", "jw")
 
@@ -252,7 +256,7 @@ def canonical_tags(tags: DataFrame, synonyms: DataFrame | None = None,
     first = rows.groupBy("scope_id", "tag").agg(F.min(F.struct("case_ord", "tag_ord")).alias("at"))
     first = stage_table(first, "scope-tags")
     syn = synonym_edges(first, synonyms).select("scope_id", "tag", F.col("target").alias("other"), F.lit(True).alias("is_syn"))
-    sim = similar_tag_pairs(first, threshold).select("scope_id", "tag", F.col("similar_tag").alias("other"), F.lit(False).alias("is_syn"))
+    sim = _similar_pairs(first.select("scope_id", "tag"), threshold).select("scope_id", "tag", F.col("similar_tag").alias("other"), F.lit(False).alias("is_syn"))
     edges = syn.unionByName(sim).groupBy("scope_id", "tag").agg(
         F.collect_set(F.when(F.col("is_syn"), F.col("other"))).alias("syn"), F.collect_set(F.when(~F.col("is_syn"), F.col("other"))).alias("sim"))
     none = F.array().cast("array<string>")
