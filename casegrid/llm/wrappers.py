@@ -35,6 +35,7 @@ PERIOD = 4
 SALTS = 16
 DEEPEST = 100
 HOSTS_HELD = 2000
+WIDE, WIDE_READERS = 0.5, 0.8
 
 # HTML's block tags, tags without content, tags whose content is no text.
 _BLOCK = frozenset(
@@ -57,6 +58,7 @@ _OUT_NAMES = frozenset(
     "subscription signup comment comments disqus respond reply replies related recommended recommendations share sharing social login search "
     "pagination pager toolbar skip contentinfo complementary".split())
 _TOP_OUT = frozenset("header".split())  # only outside the article
+_READERS = frozenset("comment comments disqus respond reply replies".split())  # may hold more text than the article
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>",
@@ -176,12 +178,13 @@ class Item:
     chars: int = 0
     links: int = 0
     constant: int | None = None  # checksum of a text that has been the same so far
+    pages: int = 1  # at least so many have it
 
     def key(self) -> tuple:
         return (self.sign, *[k.key() for k in self.items]) if self.sign == "()" else (self.sign,)
 
     def dump(self) -> list:
-        return [self.sign, [k.dump() for k in self.items], int(self.optional), int(self.repeated), self.chars, self.links, self.constant]
+        return [self.sign, [k.dump() for k in self.items], int(self.optional), int(self.repeated), self.chars, self.links, self.constant, self.pages]
 
     @staticmethod
     def load(x: list) -> Item:
@@ -198,10 +201,11 @@ class Item:
         return f"( {made} ){mark}" if mark and self.sign != "()" else made + mark
 
 
-def _merge(a: Item, b: Item) -> Item:
-    return Item(a.sign, _align(a.items, b.items) if a.sign != "()" else [_merge(x, y) for x, y in zip(a.items, b.items, strict=True)],
+def _merge(a: Item, b: Item, apart: bool = True) -> Item:
+    """``apart``: the two come from different pages."""
+    return Item(a.sign, _align(a.items, b.items, apart) if a.sign != "()" else [_merge(x, y, apart) for x, y in zip(a.items, b.items, strict=True)],
                 a.optional or b.optional, a.repeated or b.repeated, a.chars + b.chars, a.links + b.links,
-                a.constant if a.constant == b.constant else None)
+                a.constant if a.constant == b.constant else None, a.pages + b.pages if apart else max(a.pages, b.pages))
 
 
 def _flat(items: list[Item]) -> Iterator[Item]:
@@ -223,7 +227,7 @@ def _collapse(items: list[Item]) -> list[Item]:
         while i < len(items):
             unit, j = items[i : i + period], i + period
             while keys[j : j + period] == keys[i : i + period] and len(unit) == period:
-                unit = [_merge(x, y) for x, y in zip(unit, items[j : j + period], strict=True)]
+                unit = [_merge(x, y, False) for x, y in zip(unit, items[j : j + period], strict=True)]
                 j += period
             if j == i + period:
                 out.append(items[i])
@@ -233,24 +237,24 @@ def _collapse(items: list[Item]) -> list[Item]:
                 out.append(unit[0])
                 i = j
             else:
-                out.append(Item("()", unit, repeated=True))
+                out.append(Item("()", unit, repeated=True, pages=max(x.pages for x in unit)))
                 i = j
         items = out
     if len(items) > LONGEST:
         kinds: dict[tuple, Item] = {}
         for x in _flat(items):
-            kinds[x.key()] = _merge(kinds[x.key()], x) if x.key() in kinds else x
+            kinds[x.key()] = _merge(kinds[x.key()], x, False) if x.key() in kinds else x
         for x in kinds.values():
             x.optional = True
-        items = [Item("()", list(kinds.values()), repeated=True)]
+        items = [Item("()", list(kinds.values()), repeated=True, pages=max(x.pages for x in kinds.values()))]
     return items
 
 
-def _align(a: list[Item], b: list[Item]) -> list[Item]:
+def _align(a: list[Item], b: list[Item], apart: bool = True) -> list[Item]:
     """The longest common subsequence is merged, the rest is optional."""
     ka, kb = [x.key() for x in a], [x.key() for x in b]
     if ka == kb:
-        return [_merge(x, y) for x, y in zip(a, b, strict=True)]
+        return [_merge(x, y, apart) for x, y in zip(a, b, strict=True)]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -259,7 +263,7 @@ def _align(a: list[Item], b: list[Item]) -> list[Item]:
     i = j = 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and ka[i] == kb[j]:
-            out.append(_merge(a[i], b[j]))
+            out.append(_merge(a[i], b[j], apart))
             i, j = i + 1, j + 1
         elif j == len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
             out.append(a[i])
@@ -305,9 +309,12 @@ def choose(wrapper: Item) -> dict[str, list[str]]:
     the walk goes down from the top as long as one tag has four fifths of the text
     that isn't links. Tags whose name says menu, advert, comments and the like are
     left out, unless an article is below them; and, within the article, lists that
-    are links for the most part.
+    are links for the most part. A tag that holds most of the text of its pages
+    that isn't links (``WIDE``; ``WIDE_READERS`` if it is named as readers' comments)
+    is around the article, whatever its name, and never left out.
     """
     chars: dict[str, list[int]] = {}
+    pages: dict[str, int] = {"": wrapper.pages}
     signs: dict[str, str] = {}
     below: dict[str, set[str]] = {"": set()}
 
@@ -321,6 +328,7 @@ def choose(wrapper: Item) -> dict[str, list[str]]:
                 signs[mine] = x.sign
                 below.setdefault(path, set()).add(mine)
                 below.setdefault(mine, set())
+                pages[mine] = min(pages.get(mine, 0) + x.pages, pages[path])
                 c, n = collect(x.items, mine)
                 have = chars.setdefault(mine, [0, 0])
                 have[0] += c
@@ -328,12 +336,22 @@ def choose(wrapper: Item) -> dict[str, list[str]]:
             total, links = total + c, links + n
         return total, links
 
-    collect(wrapper.items, "")
+    all_chars, all_links = collect(wrapper.items, "")
+    plain = {"": all_chars - all_links} | {p: c - n for p, (c, n) in chars.items()}
+    share = {"": 1.0}  # of the text of the pages that have the tag
+    for p in sorted(signs, key=lambda p: p.count("/")):
+        above = p[: -len(signs[p]) - 1]
+        around = plain[above] * pages[p] / pages[above]
+        share[p] = share[above] * min(1.0, plain[p] / around) if around else 0.0
+
+    def out(p: str, in_article: bool) -> bool:
+        wide = WIDE if _words(signs[p]).isdisjoint(_READERS) else WIDE_READERS
+        return _left_out(signs[p], in_article) and share[p] <= wide
 
     def marked(tag: str, names: set[str]) -> set[str]:
         hits = {p for p, s in signs.items()
                 if (s.partition(".")[0].rstrip("!") == tag or not set(s.rstrip("!").split(".")[1:]).isdisjoint(names)) and chars[p][0]}
-        return {p for p in hits if not any(_left_out(signs[q], False) for q in _above(p) if q in signs)}
+        return {p for p in hits if not any(out(q, False) for q in _above(p) if q in signs)}
 
     def _above(path: str) -> list[str]:
         parts = path.split("/")
@@ -344,10 +362,9 @@ def choose(wrapper: Item) -> dict[str, list[str]]:
     if not take:
         at = ""
         while True:
-            kids = [p for p in below[at] if not _left_out(signs[p], False)]
-            plain = {p: chars[p][0] - chars[p][1] for p in kids}
+            kids = [p for p in below[at] if not out(p, False)]
             most = max(kids, key=lambda p: (plain[p], p), default=None)
-            if most is None or not plain[most] or plain[most] < 0.8 * sum(plain.values()) or not below[most]:
+            if most is None or not plain[most] or plain[most] < 0.8 * sum(plain[p] for p in kids) or not below[most]:
                 break
             at = most
         take = {at}
@@ -356,7 +373,7 @@ def choose(wrapper: Item) -> dict[str, list[str]]:
         root = next((t for t in take if p == t or p.startswith(t + "/")), None)
         if root is None or p == root:
             continue
-        if _left_out(s, root != "") and not any(t.startswith(p + "/") for t in take):
+        if out(p, root != "") and not any(t.startswith(p + "/") for t in take):
             leave.add(p)
         elif s.partition(".")[0] in ("ul", "ol", "table") and chars[p][0] and chars[p][1] > 0.6 * chars[p][0]:
             leave.add(p)

@@ -199,6 +199,24 @@ def test_article_without_its_tag():
     assert text.startswith("H 0\n\nlong text 0 word") and "Home" not in text and "x" not in text.split() and "short" not in text
 
 
+def read_all(pages):
+    folded = W.page_wrapper(pages[0])
+    for p in pages[1:]:
+        folded = W._merge(folded, W.page_wrapper(p))
+    chosen = {k: frozenset(v) for k, v in W.choose(folded).items()}
+    return [W.main_text(p, chosen) for p in pages]
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "section"])
+@pytest.mark.parametrize("around", ["<body class='single has-sidebar'>{}</body>", "<body class=header-fixed><form action=x>{}</form></body>",
+                                    "<body><div id=page-with-nav>{}</div></body>", "<body class=comments-open>{}</body>"])
+def test_names_around_the_whole_page(tag, around):
+    rest = "<nav><p>Some menu</p></nav><div class=sidebar><p>Side {}</p></div><div class=comments><article class=comment><p>Reader {}</p></article></div>"
+    pages = [f"<{tag}><h1>H {i}</h1><p>Text {i} {'word ' * 60}</p></{tag}>{rest.replace('{}', str(i))}" for i in range(8)]
+    wrapped = [around.replace("{}", p) if i % 4 == 0 else f"<body>{p}</body>" for i, p in enumerate(pages)]
+    assert read_all(wrapped) == [f"H {i}\n\nText {i} {' '.join(['word'] * 60)}" for i in range(8)]
+
+
 def test_alignment_makes_groups_and_slots():
     def shape(*pages):
         folded = W.page_wrapper(pages[0])
