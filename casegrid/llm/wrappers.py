@@ -10,8 +10,10 @@ Tags within a line (links, emphasis) are no tokens.
 
 Tasks fold the pages they read into one wrapper for each host, and the wrappers of
 a host are folded again, in a stream: what is held is one wrapper, whose size
-doesn't grow with the pages. The folded wrapper says which of its tags hold the
-article, and the article's blocks are then read from every page.
+doesn't grow with the pages. Each text item keeps the checksums of the texts that
+most pages had there. The folded wrapper says which of its tags hold the article (by
+the texts that vary), and the article's blocks are then read from every page, without
+those that are fixed at their place.
 """
 
 from __future__ import annotations
@@ -35,7 +37,10 @@ PERIOD = 4
 SALTS = 16
 DEEPEST = 100
 HOSTS_HELD = 2000
+HELD_TAGS = 500_000
 WIDE, WIDE_READERS = 0.5, 0.8
+SEEN = 64
+FIXED_PAGES, FIXED_SHARE, COPY_SHARE = 4, 0.8, 0.1
 
 # HTML's block tags, tags without content, tags whose content is no text.
 _BLOCK = frozenset(
@@ -179,16 +184,18 @@ class Item:
     links: int = 0
     constant: int | None = None  # checksum of a text that has been the same so far
     pages: int = 1  # at least so many have it
+    seen: dict[int, tuple[int, int]] = field(default_factory=dict)  # checksum of a text: pages (at least), characters besides links
 
     def key(self) -> tuple:
         return (self.sign, *[k.key() for k in self.items]) if self.sign == "()" else (self.sign,)
 
     def dump(self) -> list:
-        return [self.sign, [k.dump() for k in self.items], int(self.optional), int(self.repeated), self.chars, self.links, self.constant, self.pages]
+        return [self.sign, [k.dump() for k in self.items], int(self.optional), int(self.repeated), self.chars, self.links, self.constant, self.pages,
+                [[k, *v] for k, v in self.seen.items()]]
 
     @staticmethod
     def load(x: list) -> Item:
-        return Item(x[0], [Item.load(k) for k in x[1]], bool(x[2]), bool(x[3]), *x[4:])
+        return Item(x[0], [Item.load(k) for k in x[1]], bool(x[2]), bool(x[3]), *x[4:8], {k: (n, c) for k, n, c in x[8]})
 
     def render(self) -> str:
         """The wrapper as a regular expression over tags and texts."""
@@ -201,11 +208,20 @@ class Item:
         return f"( {made} ){mark}" if mark and self.sign != "()" else made + mark
 
 
+def _counted(a: dict[int, tuple[int, int]], b: dict[int, tuple[int, int]], apart: bool) -> dict[int, tuple[int, int]]:
+    """The two counts in one, which is ``a``; beyond twice ``SEEN`` texts, the most frequent stay."""
+    for k, (n, c) in b.items():
+        have = a.get(k, (0, 0))[0]
+        a[k] = (have + n if apart else max(have, n), c)
+    return a if len(a) <= 2 * SEEN else dict(sorted(a.items(), key=lambda x: (-x[1][0], x[0]))[:SEEN])
+
+
 def _merge(a: Item, b: Item, apart: bool = True) -> Item:
     """``apart``: the two come from different pages."""
     return Item(a.sign, _align(a.items, b.items, apart) if a.sign != "()" else [_merge(x, y, apart) for x, y in zip(a.items, b.items, strict=True)],
                 a.optional or b.optional, a.repeated or b.repeated, a.chars + b.chars, a.links + b.links,
-                a.constant if a.constant == b.constant else None, a.pages + b.pages if apart else max(a.pages, b.pages))
+                a.constant if a.constant == b.constant else None, a.pages + b.pages if apart else max(a.pages, b.pages),
+                _counted(a.seen, b.seen, apart))
 
 
 def _flat(items: list[Item]) -> Iterator[Item]:
@@ -287,7 +303,8 @@ def page_wrapper(page: str) -> Item:
             done.items = _collapse(done.items)
             stack[-1].items.append(done)
         else:
-            stack[-1].items.append(Item("#", chars=len(value), links=len(value) * link, constant=zlib.crc32(value.encode())))
+            of = zlib.crc32(value.encode())
+            stack[-1].items.append(Item("#", chars=len(value), links=len(value) * link, constant=of, seen={of: (1, len(value) * (not link))}))
     stack[0].items = _collapse(stack[0].items)
     return stack[0]
 
@@ -303,40 +320,52 @@ def _left_out(sign: str, in_article: bool) -> bool:
 
 
 def choose(wrapper: Item) -> dict[str, list[str]]:
-    """Paths (signs joined by ``/``) of the wrapper's tags: ``take`` hold the article, ``leave`` within them don't belong to it.
+    """Paths (signs joined by ``/``) of the wrapper's tags: ``take`` hold the article, ``leave`` within them don't belong to it,
+    ``fixed`` are paths with the checksum of a text that is the same there on nearly all pages.
 
     The article is in tags that say so (article, else main, or their roles); else
     the walk goes down from the top as long as one tag has four fifths of the text
-    that isn't links. Tags whose name says menu, advert, comments and the like are
-    left out, unless an article is below them; and, within the article, lists that
-    are links for the most part. A tag that holds most of the text of its pages
+    that isn't links and varies. Tags whose name says menu, advert, comments and the like are
+    left out, unless an article is below them; and, within the article, lists
+    and repeated items that are links for the most part. A tag that holds most of the text of its pages
     that isn't links (``WIDE``; ``WIDE_READERS`` if it is named as readers' comments)
     is around the article, whatever its name, and never left out.
     """
     chars: dict[str, list[int]] = {}
     pages: dict[str, int] = {"": wrapper.pages}
     signs: dict[str, str] = {}
+    fixed: dict[str, dict[int, int]] = {}
+    varied: dict[str, int] = {}
+    repeated: set[str] = set()
     below: dict[str, set[str]] = {"": set()}
 
-    def collect(items: list[Item], path: str) -> tuple[int, int]:
-        total, links = 0, 0
+    def collect(items: list[Item], path: str, around: int) -> tuple[int, int, int]:
+        total, links, same = 0, 0, 0
+        again = {id(x) for g in items if g.sign == "()" for x in _flat(g.items)}
         for x in _flat(items):
             if x.sign == "#":
-                c, n = x.chars, x.links
+                c, n, s = x.chars, x.links, 0
+                for k, (have, size) in x.seen.items():
+                    if have >= max(FIXED_PAGES, FIXED_SHARE * around):
+                        fixed.setdefault(path, {})[k] = have
+                        s += have * size
             else:
                 mine = f"{path}/{x.sign}"
                 signs[mine] = x.sign
                 below.setdefault(path, set()).add(mine)
                 below.setdefault(mine, set())
                 pages[mine] = min(pages.get(mine, 0) + x.pages, pages[path])
-                c, n = collect(x.items, mine)
+                if x.repeated or id(x) in again:
+                    repeated.add(mine)
+                c, n, s = collect(x.items, mine, x.pages)
+                varied[mine] = varied.get(mine, 0) + max(0, c - n - s)
                 have = chars.setdefault(mine, [0, 0])
                 have[0] += c
                 have[1] += n
-            total, links = total + c, links + n
-        return total, links
+            total, links, same = total + c, links + n, same + s
+        return total, links, same
 
-    all_chars, all_links = collect(wrapper.items, "")
+    all_chars, all_links, _ = collect(wrapper.items, "", wrapper.pages)
     plain = {"": all_chars - all_links} | {p: c - n for p, (c, n) in chars.items()}
     share = {"": 1.0}  # of the text of the pages that have the tag
     for p in sorted(signs, key=lambda p: p.count("/")):
@@ -363,8 +392,9 @@ def choose(wrapper: Item) -> dict[str, list[str]]:
         at = ""
         while True:
             kids = [p for p in below[at] if not out(p, False)]
-            most = max(kids, key=lambda p: (plain[p], p), default=None)
-            if most is None or not plain[most] or plain[most] < 0.8 * sum(plain[p] for p in kids) or not below[most]:
+            text = varied if any(varied[p] for p in kids) else plain
+            most = max(kids, key=lambda p: (text[p], p), default=None)
+            if most is None or not text[most] or text[most] < 0.8 * sum(text[p] for p in kids) or not below[most]:
                 break
             at = most
         take = {at}
@@ -375,15 +405,19 @@ def choose(wrapper: Item) -> dict[str, list[str]]:
             continue
         if out(p, root != "") and not any(t.startswith(p + "/") for t in take):
             leave.add(p)
-        elif s.partition(".")[0] in ("ul", "ol", "table") and chars[p][0] and chars[p][1] > 0.6 * chars[p][0]:
+        elif (s.partition(".")[0] in ("ul", "ol", "table") or p in repeated and s.partition(".")[0] in ("div", "section")) and chars[p][0] and chars[p][1] > 0.6 * chars[p][0]:
             leave.add(p)
-    return {"take": sorted(take), "leave": sorted(leave)}
+    known = sorted(f"{p} {k}" for p, texts in fixed.items() if any(q in take for q in ("", *_above(p))) and leave.isdisjoint(_above(p)) for k in texts)
+    return {"take": sorted(take), "leave": sorted(leave), "fixed": known}
 
 
 def main_text(page: str, chosen: dict) -> str:
-    """The blocks of the page that lie in ``take`` and not in ``leave``, joined by an empty line."""
-    take, leave = chosen["take"], chosen["leave"]
-    path, blocks = "", []
+    """The blocks of the page that lie in ``take`` and not in ``leave``, joined by an empty line.
+
+    Fixed blocks go, unless hardly any text stays: then the page is itself a copy of most pages.
+    """
+    take, leave, fixed = chosen["take"], chosen["leave"], chosen["fixed"]
+    path, blocks, varied = "", [], []
     inside = int("" in take)
     outside = 0
     for kind, value, _ in _walk(page):
@@ -397,6 +431,10 @@ def main_text(page: str, chosen: dict) -> str:
             path = path[: -len(value) - 1]
         elif inside and not outside:
             blocks.append(value)
+            if fixed and f"{path} {zlib.crc32(value.encode())}" not in fixed:
+                varied.append(value)
+    if fixed and sum(map(len, varied)) >= COPY_SHARE * sum(map(len, blocks)):
+        blocks = varied
     return "\n\n".join(blocks)
 
 
@@ -415,13 +453,15 @@ def _batch(hosts: dict[str, Item]) -> pa.RecordBatch:
 
 def _fold_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, Item] = {}
+    tags = 0
     for batch in batches:
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             made = page_wrapper(page or "")
             held[host] = _merge(held[host], made) if host in held else made
-            if len(held) >= HOSTS_HELD:
+            tags += (page or "").count("<")
+            if len(held) >= HOSTS_HELD or tags >= HELD_TAGS:
                 yield _batch(held)
-                held = {}
+                held, tags = {}, 0
     if held:
         yield _batch(held)
 

@@ -217,6 +217,26 @@ def test_names_around_the_whole_page(tag, around):
     assert read_all(wrapped) == [f"H {i}\n\nText {i} {' '.join(['word'] * 60)}" for i in range(8)]
 
 
+def test_fixed_parts_without_names_are_template():
+    imprint = "<div><p>" + "imprint " * 60 + "</p></div>"
+    pages = [f"<body><div><p>All about things since 1990.</p><div><h2>H {i}</h2><p>Text {i} {'word ' * 20}</p><p>Subscribe for free.</p>{'<p>Own</p>' * (i == 2)}</div></div>"
+             f"{imprint}</body>" for i in range(6)]
+    want = [f"H {i}\n\nText {i} {' '.join(['word'] * 20)}" + "\n\nOwn" * (i == 2) for i in range(6)]
+    assert read_all(pages) == want
+    assert read_all([p.replace("<div><h2>", "<article><h2>").replace(f"</div></div>{imprint}", f"</article></div>{imprint}") for p in pages]) == want
+    # copies of a page keep their text, and few pages don't tell what is fixed
+    assert all("word" in t for t in read_all(["<article><p>" + "word " * 50 + "</p></article>"] * 9))
+    assert all("1990" in t for t in read_all(pages[:2]))
+
+
+def test_texts_held_are_bounded():
+    folded = W.page_wrapper("")
+    for i in range(40):
+        folded = W._merge(folded, W.page_wrapper("<p>Same</p>" + "".join(f"<p>{i} {k}</p>" for k in range(50))))
+    item = folded.items[0].items[0]
+    assert len(item.seen) <= 2 * W.SEEN and item.seen[zlib.crc32(b"Same")] == (40, 4)
+
+
 def test_alignment_makes_groups_and_slots():
     def shape(*pages):
         folded = W.page_wrapper(pages[0])
