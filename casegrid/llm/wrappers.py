@@ -63,6 +63,7 @@ _OUT_NAMES = frozenset(
     "subscription signup comment comments disqus respond reply replies related recommended recommendations share sharing social login search "
     "pagination pager toolbar skip contentinfo complementary".split())
 _TOP_OUT = frozenset("header".split())  # only outside the article
+_ARTICLE_NAMES = frozenset("article articleBody main".split())
 _READERS = frozenset("comment comments disqus respond reply replies".split())  # may hold more text than the article
 
 _TAG = re.compile(
@@ -72,14 +73,22 @@ _ATTRIBUTE = re.compile(r"(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
+def _telling(name: str) -> bool:
+    return name in _ARTICLE_NAMES or any(w.lower() in _OUT_NAMES or w.lower() in _TOP_OUT for w in _WORD.findall(name))
+
+
 def _sign(tag: str, attributes: str) -> str:
-    """The tag with the names that its attributes carry, without digits; ``!`` marks what isn't shown."""
+    """The tag with the names that its attributes carry, without digits; ``!`` marks what isn't shown.
+
+    All names are read; after the fourth of an attribute, those count that say something of the content.
+    """
     names, hidden = set(), ""
     if attributes.strip():
         for key, *values in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), next((v for v in values if v), "")
             if key in ("class", "id", "role", "itemprop"):
-                names |= {re.sub(r"[\d.!]+", "", n) for n in value.split()[:4]}
+                found = [re.sub(r"[\d.!/]+", "", n) for n in value.split()]
+                names |= {*found[:4], *(n for n in found[4:] if _telling(n))}
             elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
                 hidden = "!"
     return ".".join([tag, *sorted(n for n in names if n)]) + hidden

@@ -217,6 +217,15 @@ def test_names_around_the_whole_page(tag, around):
     assert read_all(wrapped) == [f"H {i}\n\nText {i} {' '.join(['word'] * 60)}" for i in range(8)]
 
 
+def test_all_names_are_read():
+    many = "col-md-4 mt-2 p-3 d-flex"
+    pages = [f"<body><div class='{many} shadow articleBody'><p>Text {i} {'word ' * 9}</p><div class='{many} border advert'><p>Buy {i}</p></div></div>"
+             f"<div class='{many} sidebar'><p>Side {i} {'other ' * 30}</p></div></body>" for i in range(3)]
+    assert read_all(pages) == [f"Text {i} {' '.join(['word'] * 9)}" for i in range(3)]
+    # names that say nothing and differ between the pages don't make further signs
+    assert W._sign("div", f" class='{many} tag-x'") == W._sign("div", f" class='{many} tag-y'")
+
+
 def test_fixed_parts_without_names_are_template():
     imprint = "<div><p>" + "imprint " * 60 + "</p></div>"
     pages = [f"<body><div><p>All about things since 1990.</p><div><h2>H {i}</h2><p>Text {i} {'word ' * 20}</p><p>Subscribe for free.</p>{'<p>Own</p>' * (i == 2)}</div></div>"
