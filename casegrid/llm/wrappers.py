@@ -22,6 +22,7 @@ import html
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -49,6 +50,7 @@ _BLOCK = frozenset(
 _BREAKS = frozenset("br wbr".split())
 _RULES = frozenset("hr".split())
 _SKIPPED = frozenset("head script style noscript template iframe svg math canvas object audio video select button textarea title".split())
+_IN_HEAD = frozenset("meta link base basefont bgsound noframes html".split()) | _SKIPPED
 _RAW = frozenset("script style textarea title".split())
 _ENDS = {  # an opening tag ends these, up to the tag that holds them
     "li": ({"li", "p"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd", "p"}, {"dl"}), "dd": ({"dt", "dd", "p"}, {"dl"}),
@@ -98,9 +100,13 @@ def tokens(page: str) -> Iterator[tuple[str, str]]:
     """(kind, value): open and close with the sign of a block tag, text, link and unlink around link texts, rule."""
     at, skip = 0, ""
     depth = 0
+    head = False  # ends with </head>, any text, or any tag that can't be in it
     while found := _TAG.search(page, at):
         if found.start() > at and not skip:
-            yield "text", page[at : found.start()]
+            between = page[at : found.start()]
+            head = head and not between.strip()
+            if not head:
+                yield "text", between
         at = found.end()
         closing, tag = found[1] or found[4] or "", (found[2] or found[5] or "").lower()
         attributes = found[3] or found[6] or ""
@@ -110,10 +116,11 @@ def tokens(page: str) -> Iterator[tuple[str, str]]:
             if tag == skip:
                 depth += -1 if closing else 1
                 skip = skip if depth else ""
-            elif skip == "head" and tag == "body" and not closing:
-                skip = ""
-                yield "open", _sign(tag, attributes)
             continue
+        if tag == "head":
+            head = not closing
+            continue
+        head = head and (bool(closing) or tag in _IN_HEAD)
         if tag in _SKIPPED:
             if closing or attributes.endswith("/"):
                 continue
@@ -135,8 +142,16 @@ def tokens(page: str) -> Iterator[tuple[str, str]]:
 
 
 def _walk(page: str) -> Iterator[tuple[str, str, bool]]:
-    """(kind, sign or text, link) of a well-formed stream: every open has its close, texts are blocks of one space."""
+    """(kind, sign or text, link) of a well-formed stream: every open has its close, texts are blocks of one space.
+
+    Tags that are deeper than DEEPEST aren't given but are counted, so that their
+    ends close nothing else; texts in those that are named to be left out are skipped.
+    """
     stack: list[str] = []
+    deep: list[tuple[str, bool]] = []  # name of a tag beyond, and whether its text is left out
+    unseen = 0  # of ``deep``, those left out
+    counts: Counter = Counter()  # names in ``stack``
+    beyond: Counter = Counter()  # names in ``deep``
     text: list[str] = []
     linked = 0
     in_link = False
@@ -147,9 +162,21 @@ def _walk(page: str) -> Iterator[tuple[str, str, bool]]:
         link = bool(whole) and 2 * linked >= sum(map(len, text))
         text.clear()
         linked = 0
-        if whole:
+        if whole and not unseen:
             yield "text", whole, link
 
+    def pop() -> str:
+        last = stack.pop()
+        counts[name(last)] -= 1
+        return last
+
+    def rise() -> str:
+        nonlocal unseen
+        tag, out = deep.pop()
+        unseen -= out
+        beyond[tag] -= 1
+        return tag
+
     def name(sign: str) -> str:
         return sign.partition(".")[0].rstrip("!")
 
@@ -165,14 +192,27 @@ def _walk(page: str) -> Iterator[tuple[str, str, bool]]:
         in_link = False
         if kind == "open":
             ends, holders = _ENDS.get(name(value), ({"p"}, set()))
-            while stack and name(stack[-1]) in ends and name(stack[-1]) not in holders:
-                yield "close", stack.pop(), False
-            if len(stack) < DEEPEST:  # tags further down only part blocks
+            while deep and deep[-1][0] in ends and deep[-1][0] not in holders:
+                rise()
+            while not deep and stack and name(stack[-1]) in ends and name(stack[-1]) not in holders:
+                yield "close", pop(), False
+            if len(stack) < DEEPEST:
                 stack.append(value)
+                counts[name(value)] += 1
                 yield "open", value, False
-        elif kind == "close" and any(name(s) == value for s in stack):
-            while stack:
-                last = stack.pop()
+            else:
+                out = _left_out(value, True)
+                deep.append((name(value), out))
+                unseen += out
+                beyond[name(value)] += 1
+        elif kind == "close" and beyond[value]:
+            while rise() != value:
+                pass
+        elif kind == "close" and counts[value]:
+            while deep:
+                rise()
+            while True:
+                last = pop()
                 yield "close", last, False
                 if name(last) == value:
                     break

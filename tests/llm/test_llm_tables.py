@@ -226,6 +226,21 @@ def test_all_names_are_read():
     assert W._sign("div", f" class='{many} tag-x'") == W._sign("div", f" class='{many} tag-y'")
 
 
+@pytest.mark.parametrize("n", [3, 150, 3000])
+def test_deep_tags_close_only_themselves(n):
+    page = f"<body><div id=wrap><article><p>One</p>{'<div>' * n}Two{'</div>' * n}<p>Three</p></article><p>No</p></div></body>"
+    assert read_all([page]) == ["One\n\nTwo\n\nThree"]
+    page = f"<body><article>{'<div>' * n}<p>One<nav><p>Menu</p></nav><p>Two<div class=comments><div>Reader</div></div>Three<section>Four</article><p>No"
+    assert read_all([page]) == ["One\n\nTwo\n\nThree\n\nFour"]
+
+
+@pytest.mark.parametrize("head", ["<head><title>t</title><meta x><script>var a = '<p>no</p>';</script>", "<html><head><title>t</title>\n<noscript><img><p>no</p></noscript>\n",
+                                  "<head><style>p{}</style></head><body>", "<head><title>t</title><body class=x>"])
+def test_a_head_without_its_end(head):
+    assert read_all([f"{head}<article><p>One</p>Two</article>"]) == ["One\n\nTwo"]
+    assert read_all([f"{head}<p>One</p>"]) == ["One"] and read_all([f"{head}One<p>Two"]) == ["One\n\nTwo"]
+
+
 def test_fixed_parts_without_names_are_template():
     imprint = "<div><p>" + "imprint " * 60 + "</p></div>"
     pages = [f"<body><div><p>All about things since 1990.</p><div><h2>H {i}</h2><p>Text {i} {'word ' * 20}</p><p>Subscribe for free.</p>{'<p>Own</p>' * (i == 2)}</div></div>"
