@@ -2,12 +2,17 @@
 
 Base rules reject texts that are too short or repeat themselves. Every other
 text becomes a vector of transformed counts. For each language and source the
-centre and covariance of the closest share ``SUPPORT`` of the vectors are found
-by concentration steps: distances under the present estimate, the share with the
-smallest distances, their mean and covariance, and again. The start is the
-median and the median deviation of each coordinate. The covariance is scaled to
-be right for normal data, one step re-weights all vectors within its 97.5 %
-ellipsoid, and vectors beyond the ``CUTOFF`` quantile are rejected.
+half of the vectors ((n + d + 1) / 2 of n, or ``SUPPORT`` if that is more) with the
+least determinant is sought by concentration steps: distances under the present
+estimate, the half with the smallest distances, their mean and covariance, and
+again until the determinant stops falling. There are three starts: the median and
+the median deviation of each coordinate, alone and with the correlations of the
+vectors' hyperbolic tangents and of their spatial signs; the least determinant is
+kept. Within the steps the squares of the least deviations are added to the
+variances, as in the regularised form of the method: that sum has a determinant
+that the steps can't raise. The covariance is scaled to be right for normal data,
+one step re-weights all vectors within its 97.5 % ellipsoid, with the least
+deviations as lower bounds, and vectors beyond the ``CUTOFF`` quantile are rejected.
 
 All of it is DataFrame expressions. Estimates live in a table with a row for each
 group; quantiles come from counts of fixed bins, which Spark sums before the
@@ -25,8 +30,9 @@ from casegrid.llm.common import WHITE_SPACE, let, staged
 
 MIN_WORDS = 50
 REPEAT_SHARE = 50
-SUPPORT = 0.75
-STEPS = 4
+SUPPORT = 0.5
+STEPS = 100  # at most
+FALL = 1e-3  # of the determinant's logarithm
 MIN_ROWS = 50
 CUTOFF = 1 - 1e-10
 
@@ -41,6 +47,7 @@ COORDINATES: list[tuple[str, str, float]] = [
 ]
 _D = len(COORDINATES)
 _KEYS = ["level", "lang_key", "source_key"]
+_RIDGE = 1e-3
 
 
 def chi2_share(x: float, d: int) -> float:
@@ -98,8 +105,20 @@ def base_counts(text: Column) -> Column:
     return let(words, counts)
 
 
+def _scale_of(n: Column, of: Column) -> Column:
+    """What makes the covariance of the closest ``n`` of ``of`` vectors right for normal data."""
+    grades = [k / 200 for k in range(1, 200)]
+    table = F.array(*[F.lit(g / chi2_share(chi2_quantile(g, _D), _D + 2)) for g in grades], F.lit(1.0))
+    return F.element_at(table, F.greatest(F.lit(1), F.round(n / of * 200).cast("int")))
+
+
 def _inverse(matrix: Column) -> Column:
     """The inverse of a positive definite matrix (an array of rows) by elimination in place."""
+    return _eliminated(matrix)["a"]
+
+
+def _eliminated(matrix: Column) -> Column:
+    """The inverse ``a``, and ``log_det``: the sum of the pivots' logarithms."""
 
     def step(a: Column, k: Column) -> Column:
         pivot = F.get(a, k * _D + k)
@@ -112,7 +131,9 @@ def _inverse(matrix: Column) -> Column:
 
         return F.transform(a, entry)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(_D - 1)), matrix, step)
+    return F.aggregate(
+        F.sequence(F.lit(0), F.lit(_D - 1)), F.struct(matrix.alias("a"), F.lit(0.0).alias("log_det")),
+        lambda s, k: F.struct(step(s["a"], k).alias("a"), (s["log_det"] + F.ln(F.get(s["a"], k * _D + k))).alias("log_det")))
 
 
 def _distance() -> Column:
@@ -125,35 +146,43 @@ def _distance() -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
-def _estimate(rows: DataFrame, scale: float, name: str) -> DataFrame:
-    """Group keys, ``mean`` and ``inverse`` (of the covariance times ``scale``, with the least deviations added)."""
-    made = rows.groupBy(*_KEYS).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(_D)],
+def _estimate(rows: DataFrame, scale: float | None, name: str, keys: list[str] = _KEYS, added: bool = True) -> DataFrame:
+    """Group keys, ``mean``, ``inverse`` and ``log_det`` of the covariance times ``scale`` (None: what its share of the
+    group, ``all``, calls for), with the squares of the least deviations added, or else as lower bounds of the variances."""
+    made = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), *([F.max("all").alias("all")] if scale is None else []), *[F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(_D)],
         *[F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}_{j}") for i in range(_D) for j in range(i, _D)])
     mean = [F.col(f"s{i}") / F.col("n") for i in range(_D)]
+    factor = _scale_of(F.col("n"), F.col("all")) if scale is None else F.lit(scale)
 
     def entry(i: int, j: int) -> Column:
         i, j = min(i, j), max(i, j)
-        spread = (F.col(f"p{i}_{j}") / F.col("n") - mean[i] * mean[j]) * scale
-        return spread + COORDINATES[i][2] ** 2 if i == j else spread
+        spread = (F.col(f"p{i}_{j}") / F.col("n") - mean[i] * mean[j]) * factor
+        least = COORDINATES[i][2] ** 2
+        return spread if i != j else spread + least if added else F.greatest(spread, F.lit(least)) + _RIDGE * least
 
     matrix = F.array(*[entry(i, j) for i in range(_D) for j in range(_D)])
-    return staged(made.select(*_KEYS, F.array(*mean).alias("mean"), _inverse(matrix).alias("inverse")), name)
+    done = made.select(*keys, F.array(*mean).alias("mean"), let(matrix, _eliminated).alias("e"))
+    return staged(done.select(*keys, "mean", F.col("e.a").alias("inverse"), F.col("e.log_det").alias("log_det")), name)
 
 
-def _bin_quantile(rows: DataFrame, keys: list[str], place: str, share: float) -> DataFrame:
-    """(keys, upto): the least bin so that ``share`` of the rows lie in it or below."""
+def _bin_quantile(rows: DataFrame, keys: list[str], place: str, share: float, more: int = 0) -> DataFrame:
+    """(keys, upto, all): the least bin so that ``share`` of the rows lie in it or below, and at least half of them and of
+    ``more``; and how many rows there are."""
     counts = rows.groupBy(*keys, place).agg(F.count(F.lit(1)).alias("n"))
     within = Window.partitionBy(*keys)
     counts = counts.withColumn("below", F.sum("n").over(within.orderBy(place))).withColumn("all", F.sum("n").over(within))
-    return counts.where(F.col("below") >= F.col("all") * share).groupBy(*keys).agg(F.min(place).alias("upto"))
+    need = F.col("all") * share
+    if more:
+        need = F.least(F.col("all"), F.greatest(need, F.floor((F.col("all") + more) / 2)))
+    return counts.where(F.col("below") >= need).groupBy(*keys).agg(F.min(place).alias("upto"), F.max("all").alias("all"))
 
 
-def _closest(rows: DataFrame, estimate: DataFrame, share: float) -> DataFrame:
-    """The rows of the smallest distances, ``share`` of each group (and all that share the last bin)."""
+def _closest(rows: DataFrame, estimate: DataFrame, share: float, keys: list[str] = _KEYS) -> DataFrame:
+    """The rows of the smallest distances, ``share`` of each group, half at least (and all that share the last bin)."""
     placed = rows.join(estimate, _KEYS).withColumn("place", F.floor(F.ln(_distance() + 1e-9) * 64))
-    upto = _bin_quantile(placed, _KEYS, "place", share)
-    return placed.join(upto, _KEYS).where(F.col("place") <= F.col("upto")).select(*_KEYS, "x")
+    upto = _bin_quantile(placed, keys, "place", share, _D + 1)
+    return placed.join(upto, keys).where(F.col("place") <= F.col("upto")).select(*keys, "x", "all")
 
 
 def _start(rows: DataFrame) -> DataFrame:
@@ -172,6 +201,57 @@ def _start(rows: DataFrame) -> DataFrame:
     return staged(made.select(*_KEYS, F.transform("c", lambda c: c["m"]).alias("mean"), matrix.alias("inverse")), "start")
 
 
+def _starts(rows: DataFrame) -> DataFrame:
+    """Three estimates for each group by ``start``: medians and median deviations alone (0), and with the correlations of
+    the hyperbolic tangents (1) and of the spatial signs (2) of the vectors in their units."""
+    plain = _start(rows)
+    joined = rows.join(plain.withColumnRenamed("mean", "m"), _KEYS)
+    z = F.array(*[(F.col("x")[i] - F.col("m")[i]) * F.sqrt(F.col("inverse")[i * _D + i]) for i in range(_D)])
+    size = F.sqrt(F.aggregate("z", F.lit(0.0), lambda a, v: a + v * v) + 1e-12)
+    turned = joined.select(*_KEYS, z.alias("z")).select(
+        *_KEYS, F.posexplode(F.array(F.transform("z", lambda v: F.tanh(v)), F.transform("z", lambda v: v / size))).alias("k", "t"))
+    sums = turned.groupBy(*_KEYS, (F.col("k") + 1).alias("start")).agg(
+        *[F.sum(F.col("t")[i] * F.col("t")[j]).alias(f"p{i}_{j}") for i in range(_D) for j in range(i, _D)])
+
+    def entry(i: int, j: int) -> Column:
+        i, j = min(i, j), max(i, j)
+        weight = 1 / F.sqrt(F.col("inverse")[i * _D + i] * F.col("inverse")[j * _D + j])
+        if i == j:
+            return weight
+        both = F.sqrt(F.col(f"p{i}_{i}") * F.col(f"p{j}_{j}"))
+        return weight * F.when(both > 1e-9, F.col(f"p{i}_{j}") / both).otherwise(0.0) * (1 - _RIDGE)
+
+    matrix = F.array(*[entry(i, j) for i in range(_D) for j in range(_D)])
+    turned = sums.join(plain, _KEYS).select(*_KEYS, "start", "mean", let(matrix, _inverse).alias("inverse"))
+    return staged(plain.select(*_KEYS, F.lit(0).alias("start"), "mean", "inverse").unionByName(turned), "starts")
+
+
+def _least_determinant(rows: DataFrame, support: float, steps: int) -> DataFrame:
+    """For each group the estimate that has the least determinant of those where the concentration steps end."""
+    keys = [*_KEYS, "start"]
+    estimate, before, done = _starts(rows), None, []
+    for k in range(steps):
+        made = _estimate(_closest(rows, estimate, support, keys), 1.0, f"step-{k}", keys)
+        # starts that met go on as one
+        met = made.groupBy(*_KEYS, F.round("log_det", 9).alias("same")).agg(F.min("start").alias("start")).drop("same")
+        now = made.join(met, keys)
+        if before is not None:
+            now = now.join(before, keys, "left").withColumn("falls", F.col("log_det") < F.col("before") - FALL)
+        else:
+            now = now.withColumn("falls", F.lit(True))
+        now = staged(now.select(*keys, "mean", "inverse", "log_det", "falls"), f"state-{k}")
+        done.append(now.where(~F.col("falls") if k + 1 < steps else F.lit(True)))
+        estimate = now.where("falls").select(*keys, "mean", "inverse")
+        before = now.select(*keys, F.col("log_det").alias("before"))
+        if estimate.isEmpty():
+            break
+    ends = done[0]
+    for x in done[1:]:
+        ends = ends.unionByName(x)
+    best = ends.groupBy(*_KEYS).agg(F.min_by(F.struct("mean", "inverse"), F.struct("log_det", "start")).alias("e"))
+    return staged(best.select(*_KEYS, "e.mean", "e.inverse"), "least")
+
+
 def _grouped(rows: DataFrame, min_rows: int) -> DataFrame:
     """Adds the group keys: language and source; the sources of a language with fewer than ``min_rows`` vectors are one
     group (level 1), languages whose such group is smaller yet are one (level 2); what then is left is level 3."""
@@ -209,13 +289,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     vector = F.when(~F.col("base_failed"), F.array(*[F.expr(e) for _, e, _ in COORDINATES]))
     rows = staged(_grouped(staged(base.withColumn("x", vector), "counts"), min_rows), "vectors")
     vectors = rows.where(F.col("x").isNotNull() & (F.col("level") < 3)).select(*_KEYS, "x")
-    estimate = _start(vectors)
-    scale = support / chi2_share(chi2_quantile(support, _D), _D + 2)
-    for k in range(steps):
-        estimate = _estimate(_closest(vectors, estimate, support), scale if k + 1 == steps else 1.0, f"step-{k}")
+    estimate = _estimate(_closest(vectors, _least_determinant(vectors, support, steps), support), None, "scaled")
     near = chi2_quantile(0.975, _D)
     inner = vectors.join(estimate, _KEYS).where(_distance() <= near)
-    estimate = _estimate(inner, 0.975 / chi2_share(near, _D + 2), "reweighted")
+    estimate = _estimate(inner, 0.975 / chi2_share(near, _D + 2), "reweighted", added=False)
     judged = rows.join(estimate, _KEYS, "left").withColumn("distance", F.when(F.col("x").isNotNull(), _distance()))
     far = F.coalesce(F.col("distance") > chi2_quantile(cutoff, _D), F.lit(False))
     return judged.select("id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

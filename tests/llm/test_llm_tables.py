@@ -60,6 +60,16 @@ def test_outliers_go_and_plain_texts_stay(spark):
     assert not any(got[i] for i, _ in odd) and all(got[i] for i, _ in plain)
 
 
+@pytest.mark.parametrize("share", [0.3, 0.45])
+def test_junk_of_nearly_half_a_source_goes(spark, share):
+    rng = random.Random(13)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=rng.randrange(2, 9))) for _ in range(rng.randrange(60, 400))) for _ in range(400)]
+    junk = int(400 * share)
+    rows = [(i, " ".join(f"{w}#!" for w in t.split()) if i < junk else t) for i, t in enumerate(texts)]
+    got = {r["id"]: r["kept"] for r in B.judge(make(spark, rows)).collect()}
+    assert not any(got[i] for i in range(junk)) and all(got[i] for i in range(junk, 400))
+
+
 def test_estimate_like_numpy(spark):
     """The concentration steps end where numpy's end, from the same start."""
     rng = np.random.default_rng(7)
