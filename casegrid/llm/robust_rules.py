@@ -253,20 +253,26 @@ def _least_determinant(rows: DataFrame, support: float, steps: int) -> DataFrame
 
 
 def _grouped(rows: DataFrame, min_rows: int) -> DataFrame:
-    """Adds the group keys: language and source; the sources of a language with fewer than ``min_rows`` vectors are one
-    group (level 1), languages whose such group is smaller yet are one (level 2); what then is left is level 3."""
-    n = F.col("vectors")
-    rows = rows.select("*", F.lit(0).alias("level"), F.coalesce("lang", F.lit("")).alias("lang_key"),
-                       F.coalesce("source", F.lit("")).alias("source_key"))
-    for level in range(3):
-        sizes = rows.where((F.col("level") == level) & F.col("x").isNotNull()).groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("vectors"))
-        small = (F.col("level") == level) & (F.coalesce(n, F.lit(0)) < min_rows)
-        rows = rows.join(sizes, _KEYS, "left").select(
-            *[c for c in rows.columns if c not in _KEYS],
-            F.when(small, level + 1).otherwise(F.col("level")).alias("level"),
-            F.when(small & F.lit(level >= 1), "").otherwise(F.col("lang_key")).alias("lang_key"),
-            F.when(small, "").otherwise(F.col("source_key")).alias("source_key"))
-    return rows
+    """Adds the keys of the group whose estimate judges a row: its language and source (level 0), or if those have fewer than
+    ``min_rows`` vectors, the whole language (1), or if that has fewer too, the whole corpus (2)."""
+    keyed = rows.select("*", F.coalesce("lang", F.lit("")).alias("lang_key"), F.coalesce("source", F.lit("")).alias("source_key"))
+    sizes = staged(keyed.where(F.col("x").isNotNull()).groupBy("lang_key", "source_key").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    whole = sizes.groupBy("lang_key").agg(F.sum("n").alias("of_lang"))
+    level = F.when(F.col("n") >= min_rows, 0).when(F.col("of_lang") >= min_rows, 1).otherwise(2)
+    levels = sizes.join(whole, "lang_key").select("lang_key", "source_key", level.alias("level"))
+    return keyed.join(levels, ["lang_key", "source_key"], "left").select(
+        *rows.columns, "level", F.when(F.col("level") == 2, "").otherwise(F.col("lang_key")).alias("lang_key"),
+        F.when(F.col("level") > 0, "").otherwise(F.col("source_key")).alias("source_key"))
+
+
+def _vectors(rows: DataFrame) -> DataFrame:
+    """(keys, x): the vectors of every group that judges any row, all those of its language or of the corpus."""
+    wanted = staged(rows.where(F.col("x").isNotNull()).select(*_KEYS).distinct(), "groups")
+    lang, source = F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))
+    groups = [F.struct(F.lit(k).alias("level"), a.alias("lang_key"), b.alias("source_key"))
+              for k, (a, b) in enumerate([(lang, source), (lang, F.lit("")), (F.lit(""), F.lit(""))])]
+    each = rows.where(F.col("x").isNotNull()).select("x", F.explode(F.array(*groups)).alias("g")).select("g.*", "x")
+    return each.join(wanted, _KEYS, "left_semi").select(*_KEYS, "x")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
@@ -277,9 +283,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     ``base_failed``: fewer than ``min_words`` words, or more than ``repeat_share`` % of
     them in repeated windows; such texts (null and empty ones too) take no part in
     the estimates and have no distance. Null languages or sources count as ``""``.
-    Sources with fewer than ``min_rows`` vectors are pooled within their language, and
-    languages too small then with each other; if even that pool is too small, its
-    documents are kept. Works on an empty table.
+    Documents of a source with fewer than ``min_rows`` vectors are judged by the estimate
+    of the whole language, or of the whole corpus if that has fewer too, whatever its
+    size. Works on an empty table.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                        F.col(source_col).cast("string").alias("source"), base_counts(F.col(text_col).cast("string")).alias("c"))
@@ -288,7 +294,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     base = base.withColumn("base_failed", failed)
     vector = F.when(~F.col("base_failed"), F.array(*[F.expr(e) for _, e, _ in COORDINATES]))
     rows = staged(_grouped(staged(base.withColumn("x", vector), "counts"), min_rows), "vectors")
-    vectors = rows.where(F.col("x").isNotNull() & (F.col("level") < 3)).select(*_KEYS, "x")
+    vectors = staged(_vectors(rows), "judging")
     estimate = _estimate(_closest(vectors, _least_determinant(vectors, support, steps), support), None, "scaled")
     near = chi2_quantile(0.975, _D)
     inner = vectors.join(estimate, _KEYS).where(_distance() <= near)

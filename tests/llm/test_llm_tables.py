@@ -70,6 +70,16 @@ def test_junk_of_nearly_half_a_source_goes(spark, share):
     assert not any(got[i] for i in range(junk)) and all(got[i] for i in range(junk, 400))
 
 
+def test_small_sources_are_judged_too(spark):
+    rng = random.Random(14)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=rng.randrange(2, 9))) for _ in range(rng.randrange(60, 400))) for _ in range(230)]
+    junk = [" ".join(f"{w}#!" for w in t.split()) for t in texts[200:]]
+    rows = [(i, t, "en", "large") for i, t in enumerate(texts[:200])] + [(1000 + i, t, "en", "rare") for i, t in enumerate(junk)]
+    rows += [(2000 + i, t, "fr", "alone") for i, t in enumerate(junk[:5])] + [(3000, texts[200], "fr", "alone")]
+    got = {r["id"]: r["kept"] for r in B.judge(make(spark, rows)).collect()}
+    assert all(got[i] == (i < 1000 or i == 3000) for i in got) and len(got) == 236
+
+
 def test_estimate_like_numpy(spark):
     """The concentration steps end where numpy's end, from the same start."""
     rng = np.random.default_rng(7)
