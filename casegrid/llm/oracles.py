@@ -117,4 +117,39 @@ SELECT doc_id, domain, lang, source, tokens AS n_tokens, e::BIGINT AS epoch
 FROM cut, unnest(generate_series(0, (whole + CASE WHEN earlier < rest THEN 1 ELSE 0 END - 1)::BIGINT)) AS t(e)
 """
 
-ORACLES = {"op5_url_filter": OP5, "op6_decontamination": OP6, "op7_line_dedup": OP7, "op8_warc": OP8, "op10_mixing": OP10}
+OP11 = r"""
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM whole a JOIN whole r ON r.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), negatives AS (
+  SELECT anchor_id, positive_id, positive_score, other_id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM positives JOIN scored s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
+"""
+
+OP12 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), 'SPACE+'), lambda w: w <> '') AS w FROM documents
+), windows AS (
+  SELECT d, doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS words FROM docs, unnest(generate_series(1, len(w) - 12)) AS s(i)
+), firsts AS (SELECT words, min(doc_id) AS first FROM windows GROUP BY words HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT d, i + k AS i FROM windows JOIN firsts USING (words), unnest(generate_series(0, 12)) AS s(k) WHERE doc_id > first),
+kept AS (
+  SELECT x.d, count(*) AS n, string_agg(word, ' ' ORDER BY x.i) AS kept
+  FROM (SELECT d, i, list_extract(w, i) AS word FROM docs, unnest(generate_series(1, len(w))) AS s(i)) x ANTI JOIN gone USING (d, i) GROUP BY x.d
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (d)
+""".replace("SPACE", _SPACE)
+
+ORACLES = {"op5_url_filter": OP5, "op6_decontamination": OP6, "op7_line_dedup": OP7, "op8_warc": OP8, "op10_mixing": OP10,
+           "op11_hard_negatives": OP11, "op12_substring_dedup": OP12}

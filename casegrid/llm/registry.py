@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrid.llm import decontaminate, language_model, line_dedup, mixing, quality, robust_rules, simhash, url_filter, warc, wrappers
+from casegrid.llm import (decontaminate, hard_negatives, language_model, line_dedup, mixing, periodic_runs, quality, robust_rules, simhash,
+                          substring_dedup, url_filter, warc, wrappers)
 from casegrid.llm.common import doc_remainder, table
 from casegrid.llm.oracles import ORACLES as ORACLES
 
@@ -106,6 +108,38 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "domain", "lang", "source", "n_tokens", "epoch")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(rows.select("vec_id", "embedding", moved.alias("label")), F.col("id") % 100 == 0)
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def with_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One document in ten ends in a period of its own words, by the checksum of its id; without an id, none."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find_runs(docs, id_col="doc_id", change=with_tail).withColumn("best", periodic_runs.longest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("row.doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_classifier, op2_html_extraction, op3_simhash, op4_robust_rules, op5_url_filter, op6_decontamination, op7_line_dedup, op8_warc, op9_language_model, op10_mixing)}
+        op1_quality_classifier, op2_html_extraction, op3_simhash, op4_robust_rules, op5_url_filter, op6_decontamination, op7_line_dedup, op8_warc,
+        op9_language_model, op10_mixing, op11_hard_negatives, op12_substring_dedup, op13_periodic_runs)}
