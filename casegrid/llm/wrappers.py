@@ -8,12 +8,18 @@ groups - never into alternatives. A sequence that would grow beyond LONGEST item
 becomes one repeated group of optional items, which still fits all that it fitted.
 Tags within a line (links, emphasis) are no tokens.
 
-Tasks fold the pages they read into one wrapper for each host, and the wrappers of
-a host are folded again, in a stream: what is held is one wrapper, whose size
-doesn't grow with the pages. Each text item keeps the checksums of the texts that
-most pages had there. The folded wrapper says which of its tags hold the article (by
-the texts that vary), and the article's blocks are then read from every page, without
-those that are fixed at their place.
+An alignment depends on the order of its pages, so that order is fixed by the pages alone: each
+page is dealt to a shard of its host by the hash of its content, a shard's pages are folded
+in order of that hash, and shards are folded in order, in a tree. What is held is one
+wrapper, whose size doesn't grow with the pages; neither the order of rows nor their partitions
+change it.
+
+Every page is then read by matching its tokens with the items of its host's wrapper, from left
+to right: optional items may be passed over, repeated ones come again. The wrapper says which of
+its items hold the article: those marked as such, or else where text varies between the
+pages. Items within a marked article are left out only if tag or name say what they are
+(a form, comments, an advert); a name that may mean something else counts only if the wrapper
+shows the item to be links for the most part, or the same on nearly all pages.
 """
 
 from __future__ import annotations
@@ -29,19 +35,20 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casegrid.llm.common import staged, with_results
 from casegrid.llm.url_filter import host_and_path
 
 LONGEST = 48
 PERIOD = 4
-SALTS = 16
+SHARD_PAGES = 2048
+SHARDS_JOINED = 64
 DEEPEST = 100
-HOSTS_HELD = 2000
-HELD_TAGS = 500_000
 WIDE, WIDE_READERS = 0.5, 0.8
 SEEN = 64
-FIXED_PAGES, FIXED_SHARE, COPY_SHARE = 4, 0.8, 0.1
+READERS_HELD = 1000
+FIXED_SHARE, COPY_SHARE, LINK_SHARE = 0.8, 0.1, 0.6
 
 # HTML's block tags, tags without content, tags whose content is no text.
 _BLOCK = frozenset(
@@ -49,7 +56,7 @@ _BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 hgroup blockquote pre figure figcaption address details summary dialog center menu".split())
 _BREAKS = frozenset("br wbr".split())
 _RULES = frozenset("hr".split())
-_SKIPPED = frozenset("head script style noscript template iframe svg math canvas object audio video select button textarea title".split())
+_SKIPPED = frozenset("head script style noscript template iframe svg annotation annotation-xml select button textarea title".split())
 _IN_HEAD = frozenset("meta link base basefont bgsound noframes html".split()) | _SKIPPED
 _RAW = frozenset("script style textarea title".split())
 _ENDS = {  # an opening tag ends these, up to the tag that holds them
@@ -64,9 +71,15 @@ _OUT_NAMES = frozenset(
     "masthead footer sidebar widget widgets cookie cookies consent notice notices notification gdpr popup modal overlay newsletter subscribe "
     "subscription signup comment comments disqus respond reply replies related recommended recommendations share sharing social login search "
     "pagination pager toolbar skip contentinfo complementary".split())
-_TOP_OUT = frozenset("header".split())  # only outside the article
+#: Words that leave the meaning of such a name as it is.
+_NEUTRAL = frozenset(
+    "area bar block body bottom box button buttons container content count feed form group holder inner item items layout left link links list lists media "
+    "message more outer panel part post posts reader readers right row section site slot thread title tools top unit user users wrap wrapper".split())
+_TOP_OUT = frozenset(["header"])  # only outside the article
 _ARTICLE_NAMES = frozenset("article articleBody main".split())
 _READERS = frozenset("comment comments disqus respond reply replies".split())  # may hold more text than the article
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+_LISTS = frozenset("ul ol table".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>",
@@ -80,16 +93,16 @@ def _telling(name: str) -> bool:
 
 
 def _sign(tag: str, attributes: str) -> str:
-    """The tag with the names that its attributes carry, without digits; ``!`` marks what isn't shown.
+    """The tag with the names that its attributes carry, in order and without digits; ``!`` marks what isn't shown.
 
-    All names are read; after the fourth of an attribute, those count that say something of the content.
+    Of each attribute's names, the first four in alphabetical order count, and all that say something of the content.
     """
     names, hidden = set(), ""
     if attributes.strip():
         for key, *values in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), next((v for v in values if v), "")
             if key in ("class", "id", "role", "itemprop"):
-                found = [re.sub(r"[\d.!/]+", "", n) for n in value.split()]
+                found = sorted({re.sub(r"[\d.!/]+", "", n) for n in value.split()})
                 names |= {*found[:4], *(n for n in found[4:] if _telling(n))}
             elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
                 hidden = "!"
@@ -201,7 +214,7 @@ def _walk(page: str) -> Iterator[tuple[str, str, bool]]:
                 counts[name(value)] += 1
                 yield "open", value, False
             else:
-                out = _left_out(value, True)
+                out = left_out(value, True) == CERTAIN
                 deep.append((name(value), out))
                 unseen += out
                 beyond[name(value)] += 1
@@ -234,6 +247,7 @@ class Item:
     constant: int | None = None  # checksum of a text that has been the same so far
     pages: int = 1  # at least so many have it
     seen: dict[int, tuple[int, int]] = field(default_factory=dict)  # checksum of a text: pages (at least), characters besides links
+    number: int = field(default=0, compare=False)  # of the finished wrapper's items, in order
 
     def key(self) -> tuple:
         return (self.sign, *[k.key() for k in self.items]) if self.sign == "()" else (self.sign,)
@@ -358,187 +372,302 @@ def page_wrapper(page: str) -> Item:
     return stack[0]
 
 
-def _words(sign: str) -> set[str]:
-    return {w.lower() for n in sign.rstrip("!").split(".")[1:] for w in _WORD.findall(n)}
+CERTAIN, MAYBE = 2, 1
 
 
-def _left_out(sign: str, in_article: bool) -> bool:
-    tag = sign.partition(".")[0].rstrip("!")
-    return (sign.endswith("!") or tag in _OUT_TAGS or not _words(sign).isdisjoint(_OUT_NAMES)
-            or not in_article and (tag in _TOP_OUT or not _words(sign).isdisjoint(_TOP_OUT)))
+def _tag(sign: str) -> str:
+    return sign.partition(".")[0].rstrip("!")
 
 
-def choose(wrapper: Item) -> dict[str, list[str]]:
-    """Paths (signs joined by ``/``) of the wrapper's tags: ``take`` hold the article, ``leave`` within them don't belong to it,
-    ``fixed`` are paths with the checksum of a text that is the same there on nearly all pages.
+def _names(sign: str) -> list[list[str]]:
+    """The words of each name of a sign."""
+    return [[w.lower() for w in _WORD.findall(n)] for n in sign.rstrip("!").split(".")[1:]]
+
+
+def left_out(sign: str, in_article: bool) -> int:
+    """Whether tag and names say that the content is none of the article's: 0 no, MAYBE a name has such a word among others, CERTAIN."""
+    tag, out = _tag(sign), _OUT_NAMES if in_article else _OUT_NAMES | _TOP_OUT
+    if sign.endswith("!") or tag in _OUT_TAGS or not in_article and tag in _TOP_OUT:
+        return CERTAIN
+    found = 0
+    for words in _names(sign):
+        if not out.isdisjoint(words):
+            found = max(found, CERTAIN if all(w in out or w in _NEUTRAL for w in words) else MAYBE)
+    return found
+
+
+def finished(wrapper: Item) -> Item:
+    """The wrapper with its items numbered."""
+    count = 0
+
+    def number(x: Item) -> None:
+        nonlocal count
+        x.number = count
+        count += 1
+        for k in x.items:
+            number(k)
+
+    number(wrapper)
+    return wrapper
+
+
+@dataclass
+class _Region:
+    """What the pages have in a tag of the wrapper, summed over all below."""
+
+    item: Item
+    above: _Region | None
+    repeated: bool
+    chars: int = 0
+    links: int = 0
+    same: int = 0  # characters besides links of texts that nearly all pages have there
+    inside: list[_Region] = field(default_factory=list)
+    share: float = 1.0  # of the text besides links of the pages that have the tag
+
+    @property
+    def plain(self) -> int:
+        return self.chars - self.links
+
+    @property
+    def varied(self) -> int:
+        return max(0, self.plain - self.same)
+
+    @property
+    def fixed(self) -> bool:
+        return self.plain > 0 and self.same >= FIXED_SHARE * self.plain
+
+    @property
+    def linked(self) -> bool:
+        return self.chars > 0 and self.links > LINK_SHARE * self.chars
+
+
+def choose(wrapper: Item) -> dict[str, list]:
+    """Numbers of the finished wrapper's items: ``take`` hold the article, ``leave`` within them don't belong to it; ``fixed`` are
+    [number, checksum] of texts that are the same there on nearly all pages (two at least), in an article that isn't marked.
 
     The article is in tags that say so (article, else main, or their roles); else
     the walk goes down from the top as long as one tag has four fifths of the text
-    that isn't links and varies. Tags whose name says menu, advert, comments and the like are
-    left out, unless an article is below them; and, within the article, lists
-    and repeated items that are links for the most part. A tag that holds most of the text of its pages
-    that isn't links (``WIDE``; ``WIDE_READERS`` if it is named as readers' comments)
-    is around the article, whatever its name, and never left out.
+    that isn't links and varies, and no heading beside it varies. Tags that are left out by name are so if the name is certain, or if it may be
+    and the wrapper shows them to be links or fixed. Only outside a marked article, lists and repeated parts that are
+    links for the most part are left out without a name, and texts that are fixed, unless they are headings.
+    A tag that holds most of the text of its pages that isn't links (``WIDE``; ``WIDE_READERS`` if it is
+    named as readers' comments) is around the article, whatever its name, and never left out.
     """
-    chars: dict[str, list[int]] = {}
-    pages: dict[str, int] = {"": wrapper.pages}
-    signs: dict[str, str] = {}
-    fixed: dict[str, dict[int, int]] = {}
-    varied: dict[str, int] = {}
-    repeated: set[str] = set()
-    below: dict[str, set[str]] = {"": set()}
-
-    def collect(items: list[Item], path: str, around: int) -> tuple[int, int, int]:
-        total, links, same = 0, 0, 0
-        again = {id(x) for g in items if g.sign == "()" for x in _flat(g.items)}
-        for x in _flat(items):
+    regions: dict[int, _Region] = {}
+    fixed: dict[int, set[int]] = {}
+
+    def collect(region: _Region) -> None:
+        pages = region.item.pages
+        looped = {id(x) for g in region.item.items if g.sign == "()" for x in _flat(g.items)}
+        for x in _flat(region.item.items):
             if x.sign == "#":
-                c, n, s = x.chars, x.links, 0
+                region.chars += x.chars
+                region.links += x.links
                 for k, (have, size) in x.seen.items():
-                    if have >= max(FIXED_PAGES, FIXED_SHARE * around):
-                        fixed.setdefault(path, {})[k] = have
-                        s += have * size
+                    if have > 1 and have >= FIXED_SHARE * pages:
+                        fixed.setdefault(x.number, set()).add(k)
+                        region.same += have * size
             else:
-                mine = f"{path}/{x.sign}"
-                signs[mine] = x.sign
-                below.setdefault(path, set()).add(mine)
-                below.setdefault(mine, set())
-                pages[mine] = min(pages.get(mine, 0) + x.pages, pages[path])
-                if x.repeated or id(x) in again:
-                    repeated.add(mine)
-                c, n, s = collect(x.items, mine, x.pages)
-                varied[mine] = varied.get(mine, 0) + max(0, c - n - s)
-                have = chars.setdefault(mine, [0, 0])
-                have[0] += c
-                have[1] += n
-            total, links, same = total + c, links + n, same + s
-        return total, links, same
-
-    all_chars, all_links, _ = collect(wrapper.items, "", wrapper.pages)
-    plain = {"": all_chars - all_links} | {p: c - n for p, (c, n) in chars.items()}
-    share = {"": 1.0}  # of the text of the pages that have the tag
-    for p in sorted(signs, key=lambda p: p.count("/")):
-        above = p[: -len(signs[p]) - 1]
-        around = plain[above] * pages[p] / pages[above]
-        share[p] = share[above] * min(1.0, plain[p] / around) if around else 0.0
-
-    def out(p: str, in_article: bool) -> bool:
-        wide = WIDE if _words(signs[p]).isdisjoint(_READERS) else WIDE_READERS
-        return _left_out(signs[p], in_article) and share[p] <= wide
-
-    def marked(tag: str, names: set[str]) -> set[str]:
-        hits = {p for p, s in signs.items()
-                if (s.partition(".")[0].rstrip("!") == tag or not set(s.rstrip("!").split(".")[1:]).isdisjoint(names)) and chars[p][0]}
-        return {p for p in hits if not any(out(q, False) for q in _above(p) if q in signs)}
-
-    def _above(path: str) -> list[str]:
-        parts = path.split("/")
-        return ["/".join(parts[:i]) for i in range(2, len(parts) + 1)]
+                below = regions[x.number] = _Region(x, region, x.repeated or id(x) in looped)
+                region.inside.append(below)
+                collect(below)
+                region.chars += below.chars
+                region.links += below.links
+                region.same += below.same
+
+    root = regions[wrapper.number] = _Region(wrapper, None, False)
+    collect(root)
+    for r in regions.values():  # in order: what is above comes first
+        if r.above is not None:
+            around = r.above.plain * r.item.pages / max(1, r.above.item.pages)
+            r.share = r.above.share * min(1.0, r.plain / around) if around else 0.0
+
+    def above(r: _Region) -> Iterator[_Region]:
+        while r is not None:
+            yield r
+            r = r.above
+
+    def out(r: _Region, in_article: bool) -> bool:
+        sign = r.item.sign
+        wide = WIDE_READERS if any(not _READERS.isdisjoint(w) for w in _names(sign)) else WIDE
+        said = left_out(sign, in_article)
+        return r.share <= wide and (said == CERTAIN or said == MAYBE and (r.linked or r.fixed))
+
+    def marked(tag: str, names: set[str]) -> list[_Region]:
+        hits = [r for r in regions.values() if r.chars and (_tag(r.item.sign) == tag or not names.isdisjoint(r.item.sign.rstrip("!").split(".")[1:]))]
+        return [r for r in hits if not any(out(q, False) for q in above(r))]
 
     take = marked("article", {"article", "articleBody"}) or marked("main", {"main"})
-    take = {p for p in take if not any(q in take for q in _above(p)[:-1])}
+    mine = {id(r) for r in take}
+    take = [r for r in take if not any(id(q) in mine for q in above(r.above))]
+    is_marked = bool(take)
     if not take:
-        at = ""
+        at = root
         while True:
-            kids = [p for p in below[at] if not out(p, False)]
-            text = varied if any(varied[p] for p in kids) else plain
-            most = max(kids, key=lambda p: (text[p], p), default=None)
-            if most is None or not text[most] or text[most] < 0.8 * sum(text[p] for p in kids) or not below[most]:
+            kids = [r for r in at.inside if not out(r, False)]
+            varies = any(r.varied for r in kids)
+            sizes = [r.varied if varies else r.plain for r in kids]
+            most = max(range(len(kids)), key=lambda i: (sizes[i], -i), default=None)
+            if most is None or not sizes[most] or sizes[most] < 0.8 * sum(sizes) or not kids[most].inside:
                 break
-            at = most
-        take = {at}
-    leave = set()
-    for p, s in signs.items():
-        root = next((t for t in take if p == t or p.startswith(t + "/")), None)
-        if root is None or p == root:
-            continue
-        if out(p, root != "") and not any(t.startswith(p + "/") for t in take):
-            leave.add(p)
-        elif (s.partition(".")[0] in ("ul", "ol", "table") or p in repeated and s.partition(".")[0] in ("div", "section")) and chars[p][0] and chars[p][1] > 0.6 * chars[p][0]:
-            leave.add(p)
-    known = sorted(f"{p} {k}" for p, texts in fixed.items() if any(q in take for q in ("", *_above(p))) and leave.isdisjoint(_above(p)) for k in texts)
-    return {"take": sorted(take), "leave": sorted(leave), "fixed": known}
-
-
-def main_text(page: str, chosen: dict) -> str:
-    """The blocks of the page that lie in ``take`` and not in ``leave``, joined by an empty line.
-
-    Fixed blocks go, unless hardly any text stays: then the page is itself a copy of most pages.
-    """
-    take, leave, fixed = chosen["take"], chosen["leave"], chosen["fixed"]
-    path, blocks, varied = "", [], []
-    inside = int("" in take)
-    outside = 0
-    for kind, value, _ in _walk(page):
-        if kind == "open":
-            path = f"{path}/{value}"
-            inside += path in take
-            outside += path in leave
-        elif kind == "close":
-            inside -= path in take
-            outside -= path in leave
-            path = path[: -len(value) - 1]
-        elif inside and not outside:
-            blocks.append(value)
-            if fixed and f"{path} {zlib.crc32(value.encode())}" not in fixed:
-                varied.append(value)
-    if fixed and sum(map(len, varied)) >= COPY_SHARE * sum(map(len, blocks)):
-        blocks = varied
-    return "\n\n".join(blocks)
+            if any(_tag(r.item.sign) in _HEADINGS and r.varied for i, r in enumerate(kids) if i != most):
+                break
+            at = kids[most]
+        take = [at]
+    mine = {id(r) for r in take}
+    holding = {id(q) for r in take for q in above(r.above)}
+    leave, known = [], []
+
+    def sort_out(r: _Region, in_article: bool) -> None:
+        for x in _flat(r.item.items):
+            if x.sign == "#":
+                if not is_marked and _tag(r.item.sign) not in _HEADINGS:
+                    known.extend([x.number, k] for k in sorted(fixed.get(x.number, ())))
+                continue
+            below = regions[x.number]
+            listed = not is_marked and below.linked and (_tag(x.sign) in _LISTS or below.repeated and _tag(x.sign) in ("div", "section"))
+            if id(below) not in mine and id(below) not in holding and (out(below, in_article) or listed):
+                leave.append(x.number)
+            else:
+                sort_out(below, in_article)
+
+    for r in take:
+        sort_out(r, r is not root)
+    return {"take": sorted(r.item.number for r in take), "leave": sorted(leave), "fixed": known}
+
+
+def reading(wrapper: Item) -> bytes:
+    """What reading a page needs of the wrapper: its signs, what is repeated, and what is chosen."""
+
+    def shape(x: Item) -> list:
+        return [x.sign, int(x.repeated), [shape(k) for k in x.items]]
+
+    return zlib.compress(json.dumps([shape(wrapper), choose(finished(wrapper))], separators=(",", ":")).encode())
+
+
+class Reader:
+    """Reads pages of a host by matching them with its wrapper."""
+
+    def __init__(self, data: bytes):
+        def item(x: list) -> Item:
+            return Item(x[0], [item(k) for k in x[2]], repeated=bool(x[1]))
+
+        shape, chosen = json.loads(zlib.decompress(data))
+        self.wrapper = finished(item(shape))
+        self.take, self.leave = frozenset(chosen["take"]), frozenset(chosen["leave"])
+        self.fixed = frozenset(map(tuple, chosen["fixed"]))
+        self.sequences: dict[int, tuple[list[Item], dict[str, list[int]]]] = {}
+
+    def _sequence(self, item: Item) -> tuple[list[Item], dict[str, list[int]]]:
+        """The items of a tag's content, and the places of each sign among them."""
+        if item.number not in self.sequences:
+            flat = list(_flat(item.items))
+            places: dict[str, list[int]] = {}
+            for i, x in enumerate(flat):
+                places.setdefault(x.sign, []).append(i)
+            self.sequences[item.number] = flat, places
+        return self.sequences[item.number]
+
+    def _next(self, state: list, sign: str) -> Item | None:
+        """The item that the next tag or text fits: the last one again if it is repeated, the next of that sign, or the first if a group
+        comes again. ``state`` is [item, place of the last match]."""
+        if state[0] is None:
+            return None
+        flat, places = self._sequence(state[0])
+        where = places.get(sign)
+        if where is None:
+            return None
+        last = state[1]
+        if not (0 <= last < len(flat) and flat[last].sign == sign and flat[last].repeated):
+            state[1] = next((i for i in where if i > last), where[0])
+        return flat[state[1]]
+
+    def read(self, page: str) -> str:
+        """The blocks of the page that lie in ``take`` and not in ``leave``, joined by an empty line.
+
+        Fixed blocks go, unless hardly any text stays: then the page is itself a copy of most pages.
+        """
+        stack: list[list] = [[self.wrapper, -1]]
+        inside, outside = int(self.wrapper.number in self.take), 0
+        blocks, varied = [], []
+        for kind, value, _ in _walk(page):
+            if kind == "open":
+                item = self._next(stack[-1], value)
+                stack.append([item, -1])
+                if item is not None:
+                    inside += item.number in self.take
+                    outside += item.number in self.leave
+            elif kind == "close":
+                item = stack.pop()[0]
+                if item is not None:
+                    inside -= item.number in self.take
+                    outside -= item.number in self.leave
+            else:
+                item = self._next(stack[-1], "#")
+                if inside and not outside:
+                    blocks.append(value)
+                    if self.fixed and (item is None or (item.number, zlib.crc32(value.encode())) not in self.fixed):
+                        varied.append(value)
+        if self.fixed and sum(map(len, varied)) >= COPY_SHARE * sum(map(len, blocks)):
+            blocks = varied
+        return "\n\n".join(blocks)
 
 
 def _packed(wrapper: Item) -> bytes:
-    return zlib.compress(json.dumps(wrapper.dump(), separators=(",", ":")).encode())
+    return json.dumps(wrapper.dump(), separators=(",", ":")).encode()
 
 
 def _unpacked(data: bytes) -> Item:
-    return Item.load(json.loads(zlib.decompress(data)))
+    return Item.load(json.loads(data))
 
 
-def _batch(hosts: dict[str, Item]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(hosts), pa.string()), pa.array([_packed(w) for w in hosts.values()], pa.binary())],
-                                      names=["host", "wrapper"])
+def _of_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, shard, spot, html) -> the wrapper of each page."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 1000):
+            part = batch.slice(i, 1000)
+            made = [_packed(page_wrapper(page or "")) for page in part.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in range(3)], pa.array(made, pa.binary())], names=["host", "shard", "spot", "wrapper"])
 
 
-def _fold_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, Item] = {}
-    tags = 0
-    for batch in batches:
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            made = page_wrapper(page or "")
-            held[host] = _merge(held[host], made) if host in held else made
-            tags += (page or "").count("<")
-            if len(held) >= HOSTS_HELD or tags >= HELD_TAGS:
-                yield _batch(held)
-                held, tags = {}, 0
-    if held:
-        yield _batch(held)
-
-
-def _fold_wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in order of host: one wrapper is held."""
-    host, wrapper = None, None
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come in order of host, shard and spot: one wrapper is held."""
+    key, wrapper = None, None
+
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.string()), pa.array([key[1]], pa.int64()), pa.array([_packed(wrapper)], pa.binary())],
+                                          names=["host", "shard", "wrapper"])
+
     for batch in batches:
-        for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            made = _unpacked(data)
-            if wrapper is not None and name == host:
-                wrapper = _merge(wrapper, made)
+        for host, shard, data in zip(*[batch.column(c).to_pylist() for c in ("host", "shard", "wrapper")], strict=True):
+            page = _unpacked(data)
+            if wrapper is not None and (host, shard) == key:
+                wrapper = _merge(wrapper, page)
             else:
                 if wrapper is not None:
-                    yield _batch({host: wrapper})
-                host, wrapper = name, made
+                    yield made()
+                key, wrapper = (host, shard), page
     if wrapper is not None:
-        yield _batch({host: wrapper})
+        yield made()
 
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, wrapper): the packed wrapper of every host, made from all of its pages."""
-    host = host_and_path(F.col(url_col).cast("string"))[0]
-    parts = pages.select(host.alias("host"), F.col(html_col).cast("string").alias("html")).mapInArrow(_fold_pages, "host string, wrapper binary")
-    parts = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    salted = parts.repartition("host", "salt").sortWithinPartitions("host").select("host", "wrapper")
-    folded = salted.mapInArrow(_fold_wrappers, "host string, wrapper binary")
-    return folded.repartition("host").sortWithinPartitions("host").mapInArrow(_fold_wrappers, "host string, wrapper binary")
+    host, page = host_and_path(F.col(url_col).cast("string"))[0], F.coalesce(F.col(html_col).cast("string"), F.lit(""))
+    rows = pages.select(host.alias("host"), F.xxhash64(page).alias("spot"), page.alias("html"))
+    most = rows.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    shards = max(1, -(-most // SHARD_PAGES))
+    parts = rows.select("host", F.pmod("spot", F.lit(shards)).alias("shard"), "spot", "html").mapInArrow(
+        _of_pages, "host string, shard long, spot long, wrapper binary")
+    order = ["host", "shard", "spot", "wrapper"]
+    while True:
+        folded = parts.repartition("host", "shard").sortWithinPartitions(*order).select("host", "shard", "wrapper").mapInArrow(
+            _fold, "host string, shard long, wrapper binary")
+        if shards == 1:
+            return folded.select("host", "wrapper")
+        shards = -(-shards // SHARDS_JOINED)
+        order = ["host", "shard", "before"]
+        parts = folded.select("host", F.pmod("shard", F.lit(shards)).alias("shard"), F.col("shard").alias("before"), "wrapper")
 
 
 def extract_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -546,26 +675,28 @@ def extract_text(pages: DataFrame, url_col: str = "url", html_col: str = "html")
 
     Pages without a host (a null URL, or one without ``://``) share the wrapper of
     the host ``""``; a null page is empty, and a page without text gives an empty
-    text. Works on an empty table, and with a single page to a host.
+    text. Rows that repeat count as pages of their own. Works on an empty table, and with a single page to a host.
     """
 
     def decide(wrappers: pa.Array) -> list[pa.Array]:
-        return [pa.array([json.dumps(choose(_unpacked(w))) for w in wrappers.to_pylist()], pa.string())]
-
-    chosen = with_results(infer_wrappers(pages, url_col, html_col), ["wrapper"], "chosen string", decide)
-    chosen = staged(chosen.select("row.host", "chosen"), "wrappers")
-    placed = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("page"), F.col(html_col).cast("string").alias("html"),
-                          host_and_path(F.col(url_col).cast("string"))[0].alias("host"))
-    joined = placed.join(chosen, "host", "left").select("page", "html", "chosen")
-
-    def read(texts: pa.Array, choices: pa.Array) -> list[pa.Array]:
-        known: dict[str, dict] = {}
-        out = []
-        for page, choice in zip(texts.to_pylist(), choices.to_pylist(), strict=True):
-            if choice not in known:
-                known[choice] = {k: frozenset(v) for k, v in json.loads(choice).items()}
-            out.append(main_text(page or "", known[choice]))
-        return [pa.array(out, pa.string())]
-
-    made = with_results(joined, ["html", "chosen"], "main_text string", read)
-    return made.select(F.col("row.page").alias("row"), "main_text")
+        return [pa.array([reading(_unpacked(w)) for w in wrappers.to_pylist()], pa.binary())]
+
+    found = with_results(infer_wrappers(pages, url_col, html_col), ["wrapper"], "reading binary", decide)
+    readings = staged(found.select("row.host", "reading"), "wrappers")
+    placed = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), host_and_path(F.col(url_col).cast("string"))[0].alias("host"))
+    joined = placed.join(readings, "host", "left").select("row", "reading")
+    place = pages.columns.index(html_col)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, Reader] = {}
+        for batch in batches:
+            texts = []
+            for page, data in zip(batch.column(0).field(place).cast(pa.string()).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if data not in known:
+                    if len(known) >= READERS_HELD:
+                        known.clear()
+                    known[data] = Reader(data)
+                texts.append(known[data].read(page or ""))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "main_text"])
+
+    return joined.mapInArrow(read, T.StructType([joined.schema["row"], T.StructField("main_text", T.StringType())]))
