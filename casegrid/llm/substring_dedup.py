@@ -4,6 +4,10 @@ A window is ``window`` consecutive words of one document. Every word is removed
 that a window covers whose words also start, as a window, in a document with a
 smaller id. Removal is judged on the input, not on what is left.
 
+Exact copies of a text with a smaller id lose all their words, and take no part in
+what follows: their windows are those of the other text. (Up to ``MAX_COPIES`` of them,
+which are broadcast; beyond that, copies are found window by window like any other.)
+
 1. *Sketch.* Equal windows have the same least ``GRAM``-word hash (their
    minimiser), so a window is found in two documents only if its minimiser is.
    Each task counts the minimisers of its documents (once a document) into
@@ -38,6 +42,7 @@ WINDOW = 13
 GRAM = 8
 DEPTH = 2
 MIN_CELLS, MAX_CELLS = 1 << 20, 1 << 28
+MAX_COPIES = 1 << 20
 _BLOCK_BITS = 16  # cells of a block have two-byte places
 _FLUSH = 1 << 22  # cells that a task holds
 _WORDS = 1 << 18  # words that are hashed at a time
@@ -171,8 +176,8 @@ def _add_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def width_for(words: int) -> int:
-    """Cells in a row of the sketch: a power of two, one to two for each word, within the bounds (a word in about four is a minimiser)."""
-    return min(MAX_CELLS, max(MIN_CELLS, 1 << max(1, int(words)).bit_length()))
+    """Cells in a row of the sketch: a power of two, a half to one for each word, within the bounds (a word in about four is a minimiser)."""
+    return min(MAX_CELLS, max(MIN_CELLS, 1 << (max(1, int(words)).bit_length() - 1)))
 
 
 def repeated_cells(docs: DataFrame, window: int, cells: int) -> np.ndarray:
@@ -210,11 +215,11 @@ def _suspects(window: int, cells: int, shared):
 
 
 def _cover(window: int):
-    def fn(texts: pa.Array, hits: pa.Array) -> list[pa.Array]:
-        hashes, n_words, n_removed, kept = _Hashes(), [], [], []
+    def fn(texts: pa.Array, hits: pa.Array, copies: pa.Array) -> list[pa.Array]:
+        hashes, copied, n_words, n_removed, kept = _Hashes(), copies.to_pylist(), [], [], []
         at = 0
         for _, documents in _grouped((None, t) for t in as_bytes(texts)):
-            mine = hits.slice(at, len(documents))
+            mine, whole = hits.slice(at, len(documents)), copied[at : at + len(documents)]
             at += len(documents)
             marked = [i for i, h in enumerate(mine) if h.is_valid]
             w = Windows([documents[i] for i in marked], window, hashes)
@@ -229,7 +234,7 @@ def _cover(window: int):
                 np.add.at(edges, starts + window, -1)
                 gone[i] = np.cumsum(edges[:-1]) > 0
             for i, words in enumerate(documents):
-                out = gone.get(i)
+                out = gone.get(i) if not whole[i] or len(words) < window else np.ones(len(words), bool)
                 n_words.append(len(words))
                 n_removed.append(int(out.sum()) if out is not None else 0)
                 kept.append(b" ".join(words if out is None else [x for x, g in zip(words, out, strict=True) if not g]))
@@ -238,8 +243,16 @@ def _cover(window: int):
     return fn
 
 
+def later_copies(rows: DataFrame, most: int) -> DataFrame:
+    """(id, hash) of the (id, text) rows whose whole text a smaller id has, too; none if there are more than ``most``."""
+    marked = staged(rows.select("id", F.md5("text").alias("whole"), F.xxhash64("text").alias("hash")), "whole-texts")
+    groups = marked.groupBy("whole").agg(F.min("id").alias("first"), F.max("id").alias("last")).where(F.col("first") < F.col("last"))
+    found = staged(marked.join(groups, "whole").where(F.col("id") > F.col("first")).select("id", "hash").distinct(), "copies")
+    return found if found.count() <= most else found.where(F.lit(False))
+
+
 def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   cells: int | None = None) -> DataFrame:
+                   cells: int | None = None, max_copies: int = MAX_COPIES) -> DataFrame:
     """Columns ``row`` (the document), ``n_words``, ``n_removed`` and ``kept_text`` (the kept words, joined by a space).
 
     Words are what white space parts; a null text has none. The id is an integer.
@@ -255,6 +268,8 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if cells is None:
         # a word takes two bytes at least; measured words are about six
         cells = width_for((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6)
+    copies = F.broadcast(later_copies(rows, max_copies))  # MAX_COPIES pairs of numbers
+    rows = rows.withColumn("hash", F.xxhash64("text")).join(copies, ["id", "hash"], "left_anti").select("id", "text")
     shared = spark.sparkContext.broadcast(repeated_cells(rows, window, cells))
     suspects = staged(rows.mapInArrow(_suspects(window, cells, shared), "digest long, check int, id long"), "windows")
     ends = suspects.groupBy("digest", "check").agg(F.min("id").alias("first"), F.max("id").alias("last"))
@@ -265,6 +280,9 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     salt = F.when(number.isNull(), F.pmod(F.xxhash64(text), F.lit(1 << 20))).otherwise(F.lit(-1)).cast("int")
     placed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.coalesce(number, F.lit(0)).alias("at"), salt.alias("salt"))
     joined = placed.join(hits, (F.col("at") == F.col("hit_id")) & (F.col("salt") == F.col("hit_salt")), "left")
-    joined = joined.select("doc", F.col(f"doc.`{text_col}`").cast("string").alias("text"), "hits")
-    done = with_results(joined, ["text", "hits"], "n_words long, n_removed long, kept_text string", _cover(window))
+    whole = F.col(f"doc.`{text_col}`").cast("string")
+    joined = joined.withColumn("own_hash", F.xxhash64(whole)).join(
+        copies.withColumn("copy", F.lit(True)), (F.col("salt") == -1) & (F.col("at") == F.col("id")) & (F.col("own_hash") == F.col("hash")), "left")
+    joined = joined.select("doc", whole.alias("text"), "hits", F.coalesce("copy", F.lit(False)).alias("copy"))
+    done = with_results(joined, ["text", "hits", "copy"], "n_words long, n_removed long, kept_text string", _cover(window))
     return done.select(F.col("row.doc").alias("row"), "n_words", "n_removed", "kept_text")
