@@ -384,22 +384,60 @@ def test_alignment_makes_groups_and_slots():
 
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(9)
-    model = M.LogBilinear.initial(rng.integers(0, 100, M.OUTPUTS).astype(float), 1)
-    context = np.repeat(rng.integers(0, M.OUTPUTS + 1, (M.CONTEXT, 1)), M.OUTPUTS, axis=1)
-    logs = model.log_probabilities(context, np.arange(M.OUTPUTS))
-    assert abs((10**logs).sum() - 1) < 1e-5
-    # and within a class: seen words and one share for the unseen
+    for words in (0, 1, 70, 150):
+        layout = M.Layout(words)
+        model = M.LogBilinear.initial(layout, rng.integers(0, 100, layout.outputs).astype(float), 1)
+        context = np.repeat(rng.integers(0, layout.outputs + 1, (M.CONTEXT, 1)), layout.outputs, axis=1)
+        logs = model.log_probabilities(context, np.arange(layout.outputs))
+        assert abs((10**logs).sum() - 1) < 1e-5
+    # and within a tail: seen words and one share for the unseen
     seen = [(f"q{i}ab".encode(), 5 - i % 3) for i in range(200)]
     total = sum(c + 1 for _, c in seen) + 1
     assert abs(sum((c + 1) / total for _, c in seen) + 1 / total - 1) < 1e-12
 
 
+def plain_log(model, context, output):
+    """log10 of the probability of one output, step by step."""
+    layout = model.layout
+    predicted = sum(model.tokens[c].astype(float) * model.places[i] for i, c in enumerate(context))
+
+    def softmax(vectors, bias, own):
+        scores = [float(predicted @ v + b) for v, b in zip(vectors.astype(float), bias[:, 0], strict=True)]
+        return math.exp(scores[own]) / sum(map(math.exp, scores))
+
+    if output == 0 or output > layout.words:
+        return math.log10(softmax(model.classes, model.class_bias, 0 if output == 0 else output - layout.words + layout.word_classes))
+    k, at = divmod(output - 1, layout.size)
+    words = slice(k * layout.size, min(layout.words, (k + 1) * layout.size))
+    return math.log10(softmax(model.classes, model.class_bias, 1 + k) * softmax(model.words[words], model.word_bias[words], at))
+
+
+def test_log_probabilities_like_plain_ones():
+    rng = np.random.default_rng(12)
+    layout = M.Layout(75)
+    model = M.LogBilinear.initial(layout, rng.integers(1, 50, layout.outputs).astype(float), 3)
+    for k in ("tokens", "classes", "words", "word_bias"):
+        getattr(model, k)[...] += rng.normal(0, 1, getattr(model, k).shape)
+    model.class_bias[5] += 90  # beyond what exp() takes
+    context, target = rng.integers(0, layout.outputs + 1, (M.CONTEXT, 300)), rng.integers(0, layout.outputs, 300)
+    want = [plain_log(model, context[:, i], int(target[i])) for i in range(300)]
+    got = model.log_probabilities(context, target)
+    assert np.allclose(got, want, rtol=1e-5, atol=1e-5)
+    for k in (1, 7, 100):  # whatever else is in a block
+        assert np.abs(got - np.concatenate([model.log_probabilities(context[:, i : i + k], target[i : i + k]) for i in range(0, 300, k)])).max() < 1e-9
+
+
+def chains(rng, n, size=60, kinds=90):
+    """Streams in which the next word depends on the one before."""
+    return [(1 + (np.arange(size) * s + a) % kinds).astype(np.uint16).tobytes() for s, a in zip(rng.integers(1, 4, n), rng.integers(0, kinds, n), strict=True)]
+
+
 def test_training_beats_frequencies():
     rng = np.random.default_rng(10)
-    streams = [bytes((1 + (np.arange(60) * s + a) % 90).astype(np.uint8).tolist()) for s, a in zip(rng.integers(1, 4, 300), rng.integers(0, 90, 300), strict=True)]
-    count = np.bincount(np.frombuffer(b"".join(streams), np.uint8), minlength=M.OUTPUTS).astype(float)
-    model = M.LogBilinear.initial(count, 1)
-    context, target, _ = M._positions(streams)
+    streams, layout = chains(rng, 300), M.Layout(90)
+    count = np.bincount(np.frombuffer(b"".join(streams), np.uint16), minlength=layout.outputs).astype(float)
+    model = M.LogBilinear.initial(layout, count, 1)
+    context, target, _ = M._positions(streams, layout.outputs)
     before = model.log_probabilities(context, target).mean()
     learner = M.Learner(model, 1)
     for _ in range(20):
@@ -407,6 +445,38 @@ def test_training_beats_frequencies():
     assert learner.model.log_probabilities(context, target).mean() > before + 0.3
 
 
+def test_many_shards_beat_frequencies(spark):
+    """64 learners, averaged in four rounds, on a corpus where the next word depends on the one before; unseen documents are scored."""
+    rng = random.Random(15)
+
+    def text():
+        at, step = rng.randrange(90), rng.randrange(1, 4)
+        return " ".join(f"w{(at + k * step) % 90}x" for k in range(200))
+
+    docs = make(spark, [(i, text()) for i in range(12_800)]).repartition(6)
+    got = M.score_texts(docs, F.col("id") % 8 != 0, shard_tokens=36_000).where("not learns").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert got[0] / got[2] > got[1] / got[2] + 0.05
+
+
+def test_scores_depend_on_the_rows_alone(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    seen = []
+    for n in (1, 8, 64):
+        got = M.score_texts(docs.repartition(n, F.xxhash64("doc_id", F.lit(n))), F.col("id") % 7 != 2, shard_tokens=5000).collect()
+        seen.append(sorted((r["id"], r["score"], r["base_score"]) for r in got))
+    for other in seen[1:]:
+        assert all(a[0] == b[0] and math.isclose(a[1], b[1], rel_tol=1e-9) and math.isclose(a[2], b[2], rel_tol=1e-9) for a, b in zip(seen[0], other, strict=True))
+
+
+def test_the_head_is_bounded(spark):
+    vocabulary = spark.createDataFrame([(f"w{i}".encode(), 1) for i in range(3000)] + [(b"x" * 100, 50)], "word binary, c long")
+    counts = M.Counts.of(vocabulary, 10, 1000)
+    assert 0 < len(counts.head) <= 1100 and all(len(w) <= M.LONGEST_WORD for w, _ in counts.head)
+    assert counts.total == 3060 and counts.distinct == 3002 and counts.output_count.sum() == counts.total
+    more = M.Counts.of(spark.createDataFrame([(f"w{i}".encode(), 100) for i in range(3000)], "word binary, c long"), 10, 1000)
+    assert more.layout.words > counts.layout.words  # vectors grow with the corpus
+
+
 def brute_base(rows, learns):
     c = Counter()
     for i, t in rows:
