@@ -2,8 +2,8 @@
 
 A rule is a host and a path; it fits its host and all subdomains where the path
 of the URL starts with the rule's. The rules are looked up by equality: every
-URL is expanded into host suffixes (cut at dots) times path prefixes (of the
-lengths that rules have), each expression is hashed, and a short prefix of the
+URL is expanded into host suffixes (cut at dots, of as many labels as rules' hosts have) times
+path prefixes (of the lengths that rules have), each expression is hashed, and a short prefix of the
 hash is joined with the rules'. Candidates are confirmed by the full digest.
 
 What a verdict depends on is the host and as many first characters of the path
@@ -36,12 +36,11 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
             F.regexp_extract(after, r"^[^/?#]*([^?#]*)", 1))
 
 
-def expressions(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Every host suffix with every path prefix of one of the lengths."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def expressions(host: Column, path: Column, labels: list[int], lengths: list[int]) -> Column:
+    """Every host suffix of one of the label counts with every path prefix of one of the lengths."""
+    suffixes = F.array(*[F.substring_index(host, ".", -n) for n in labels])  # of a host with fewer labels, all of it
     prefixes = F.filter(F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]), lambda p: p.isNotNull())
-    return F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
+    return F.flatten(F.transform(F.array_distinct(suffixes), lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
@@ -57,15 +56,17 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     known = (rules.where("host IS NOT NULL AND path IS NOT NULL AND action IS NOT NULL")
              .select(F.concat("host", "path").alias("expression"), F.length("host").alias("host_length"), "path", "action")
              .withColumn("digest", digest).withColumn("short", F.substring("digest", 1, SHORT)))
-    # path lengths of rules: a few, and never more than the length of a URL
-    lengths = sorted(r[0] for r in known.select(F.length("path")).distinct().collect())
+    # path lengths and label counts of rules: a few, and never more than the length of a URL
+    shapes = rules.where("host IS NOT NULL AND path IS NOT NULL AND action IS NOT NULL").select(
+        F.size(F.split("host", r"\.")).alias("labels"), F.length("path").alias("length")).distinct().collect()
+    labels, lengths = sorted({r["labels"] for r in shapes}), sorted({r["length"] for r in shapes})
     host, path = host_and_path(F.col(f"row.`{url_col}`"))
     placed = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row")).select(
         "row", host.alias("host"), path.alias("path")).withColumn("start", F.substring("path", 1, max([0, *lengths])))
     if not lengths:
         return placed.select("row", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     starts = placed.select("host", "start").distinct()
-    asked = (starts.select("host", "start", F.explode(F.array_distinct(expressions(F.col("host"), F.col("start"), lengths))).alias("expression"))
+    asked = (starts.select("host", "start", F.explode(F.array_distinct(expressions(F.col("host"), F.col("start"), labels, lengths))).alias("expression"))
              .withColumn("digest", digest).withColumn("short", F.substring("digest", 1, SHORT)))
     rule = known.select("short", F.col("digest").alias("full"), "host_length", "action", F.col("expression").alias("rule"))
     fits = asked.join(rule, "short").where(F.col("digest") == F.col("full"))

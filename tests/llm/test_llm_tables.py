@@ -127,6 +127,14 @@ def test_rules_like_brute_force(spark):
     assert {r["verdict"] for r in U.judge_urls(pages, U.rules_table(spark, rules).limit(0)).collect()} == {"allow"}
 
 
+def test_a_host_of_very_many_labels(spark):
+    """Only suffixes as long as those of the rules are made."""
+    hosts = [".".join(["a"] * 100_000) + ".net", ".".join(["b"] * 100_000) + ".org"]
+    pages = spark.createDataFrame([(i, f"http://{h}/x") for i, h in enumerate(hosts)], "page_id long, url string")
+    got = U.judge_urls(pages, U.rules_table(spark, [("net", "/", "block"), ("a.a.net", "/x", "allow"), ("b.a.net", "/", "block")])).collect()
+    assert {r["row"]["page_id"]: (r["rule"], r["verdict"]) for r in got} == {0: ("a.a.net/x", "allow"), 1: (None, "allow")}
+
+
 # -- WARC
 
 
