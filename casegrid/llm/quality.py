@@ -9,7 +9,7 @@ and a document's score is the logistic of the difference of the two Gaussian
 log-densities plus the log prior odds. Distances come from Cholesky factors that
 are computed once on the driver and travel with the tasks.
 
-All labelled rows of the learning fold take part: tasks sum counts, vectors and
+All labelled rows of the learning fold take part, up to about ``MAX_LABELS``: tasks sum counts, vectors and
 their products for each class, so only ``2 * (1 + d + d * d)`` numbers are
 gathered. Labels, language, source and id are no inputs of a score.
 """
@@ -24,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import as_bytes, staged, with_results
+from casegrid.llm.common import as_bytes, with_results
 
 THRESHOLD = 0.3
+MAX_LABELS = 1 << 20
 POOLED = 0.05
 ROUND = 0.01
 
@@ -135,35 +136,34 @@ def fit(labelled: DataFrame, pooled: float = POOLED, to_round: float = ROUND) ->
     return Discriminant.fit(moments, pooled, to_round)
 
 
-def score_statistics(rows: DataFrame, model: Discriminant) -> DataFrame:
-    """Columns ``row`` (all of ``rows``) and ``score``; ``rows`` has the vectors in ``x``."""
-
-    def fn(x: pa.Array) -> list[pa.Array]:
-        values = np.array(x.to_pylist(), dtype=float).reshape(-1, len(STATISTICS))
-        return [pa.array(model.score(values), pa.float64())]
-
-    return with_results(rows, ["x"], "score double", fn)
-
-
 def learn(docs: DataFrame, labels: DataFrame, learning, id_col: str, text_col: str, label_col: str,
-          pooled: float = POOLED, to_round: float = ROUND) -> tuple[Discriminant, DataFrame]:
-    """The model of the labelled rows for which ``learning`` (a column over ``id``) holds, and (id, x) of all rows.
+          pooled: float = POOLED, to_round: float = ROUND, max_labels: int = MAX_LABELS) -> Discriminant:
+    """The model of the labelled rows for which ``learning`` (a column over ``id``) holds.
 
     A document that is labelled twice counts twice; labels without a document don't count.
+    The labels go to the documents, whose statistics are made for labelled ones only: of
+    more than ``max_labels`` labels, a share chosen by the hash of the id is used, of about that number.
     """
-    rows = document_statistics(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), "text")
-    rows = staged(rows.select("row.id", "x"), "statistics")
-    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
-    return fit(rows.join(marks, "id").where(learning).select("label", "x"), pooled, to_round), rows
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where(F.col("label").isin(0, 1)).where(learning)
+    n = marks.count()
+    if n > max_labels:
+        marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < (max_labels << 30) // n)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(marks), "id")  # max_labels pairs of numbers
+    return fit(document_statistics(rows, "text").select("row.label", "x"), pooled, to_round)
 
 
-def filter_by_quality(docs: DataFrame, labels: DataFrame, learning, id_col: str = "doc_id", text_col: str = "text",
-                      label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` whose score is ``threshold`` or more, as they came."""
-    model, _ = learn(docs, labels, learning, id_col, text_col, label_col)
+def score_documents(docs: DataFrame, model: Discriminant, text_col: str = "text") -> DataFrame:
+    """Columns ``row`` (the document) and ``score``; a null text counts as empty."""
 
     def fn(texts: pa.Array) -> list[pa.Array]:
         x = np.array([statistics(t) for t in as_bytes(texts)], dtype=float).reshape(-1, len(STATISTICS))
         return [pa.array(model.score(x), pa.float64())]
 
-    return with_results(docs, [text_col], "score double", fn).where(F.col("score") >= threshold).select("row.*")
+    return with_results(docs, [text_col], "score double", fn)
+
+
+def filter_by_quality(docs: DataFrame, labels: DataFrame, learning, id_col: str = "doc_id", text_col: str = "text",
+                      label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` whose score is ``threshold`` or more, as they came."""
+    model = learn(docs, labels, learning, id_col, text_col, label_col)
+    return score_documents(docs, model, text_col).where(F.col("score") >= threshold).select("row.*")

@@ -20,10 +20,10 @@ MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.6, 2, 42
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = doc_remainder(F.col("id"), 5) == 0
-    model, rows = quality.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out,
-                                "doc_id", "text", "quality")
-    scored = quality.score_statistics(rows, model)
-    return scored.select(F.col("row.id").alias("doc_id"), (doc_remainder(F.col("row.id"), 5) == 0).alias("held_out"),
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"), ~held_out, "doc_id", "text", "quality")
+    scored = quality.score_documents(docs, model)
+    return scored.select("row.doc_id", (doc_remainder(F.col("row.doc_id"), 5) == 0).alias("held_out"),
                          "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 

@@ -1,10 +1,13 @@
 """Classifier, line dedup, SimHash and decontamination against brute force, and on odd rows."""
 
 import hashlib
+import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from llm_rows import make, words
@@ -240,9 +243,9 @@ def test_held_out_accuracy(spark, sf_small):
 
 def test_scores_do_not_see_labels_of_the_fold(spark, odd, none, odd_rows):
     labels = spark.createDataFrame([(4, 1), (5, 0), (9, 1), (10, 0), (7, None), (77, 1), (8, 1), (8, 0)], "doc_id long, quality int")
-    model, rows = Q.learn(odd, labels, F.col("id") != 8, "doc_id", "text", "quality")
+    model = Q.learn(odd, labels, F.col("id") != 8, "doc_id", "text", "quality")
     assert model.counts == (3.0, 2.0)  # the row that repeats counts twice
-    scored = Q.score_statistics(rows, model).collect()
+    scored = Q.score_documents(odd, model).collect()
     assert len(scored) == len(odd_rows) and all(0 <= r["score"] <= 1 for r in scored)
     kept = Q.filter_by_quality(odd, labels, F.col("id") != 8)
     assert kept.columns == odd.columns and 0 < kept.count() <= len(odd_rows)
@@ -252,6 +255,68 @@ def test_scores_do_not_see_labels_of_the_fold(spark, odd, none, odd_rows):
     assert Q.filter_by_quality(odd, labels.limit(0), F.lit(True)).count() == len(odd_rows)
 
 
+def plain_statistics(text):
+    """The thirteen statistics, counted one by one."""
+    words = re.findall("[^\x20\x09-\x0D]+", text)
+    size = max(1, sum(len(w.encode()) for w in words))
+    n = len(words)
+    threes = [tuple(words[i : i + 3]) for i in range(n - 2)]
+    lines = [x.strip(" \t\n\x0b\x0c\r") for x in text.split("\n")]
+    lines = [x for x in lines if x]
+
+    def rate(count, of):
+        return math.log((count + 0.5) / (of + 1))
+
+    def found(chars):
+        return sum(text.count(c) for c in chars)
+
+    return [math.log(1 + n), math.log(size / max(1, n)), rate(found("#*$%&|<>{}[]^~=+@_\\/"), size), rate(found("!?"), size),
+            rate(sum("A" <= c <= "Z" or "À" <= c <= "Þ" for c in text), size), rate(found("0123456789"), size), rate(found(".,;:"), n),
+            rate(sum(len(w) == 1 and w.isascii() and not w.isalnum() for w in words), n), rate(sum(a == b for a, b in zip(words, words[1:], strict=False)), n),
+            rate(len(threes) - len(set(threes)), n), rate(len(set(words)), n), rate(len(lines), n), rate(len(lines) - len(set(lines)), max(1, len(lines)))]
+
+
+def test_statistics_like_plain_ones():
+    rng = random.Random(16)
+    texts = ["", " \n", "a", "a a a a a", "Ärger & Öl!\nÄrger & Öl!\n- 3.5 %", "É\u00a0x \x85y", "x\x1cy \x0b z"]
+    texts += ["".join(rng.choices("abAB 01.,!?#&\n\tÀéß-", k=rng.randrange(200))) for _ in range(60)]
+    for t in texts:
+        assert np.allclose(Q.statistics(t.encode()), plain_statistics(t), rtol=1e-12, atol=1e-12), t
+
+
+def test_scores_like_a_plain_discriminant(spark, sf_small):
+    """Fitted and scored step by step: covariances shrunk, inverted and log-densities compared without a factor."""
+    docs, labels = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+    marks = [(r["doc_id"], r["quality"]) for r in labels.collect() if r["quality"] in (0, 1) and r["doc_id"] in texts and zlib.crc32(str(r["doc_id"]).encode()) % 5]
+    x = {i: np.array(plain_statistics(t)) for i, t in texts.items()}
+    means, spreads, counts = [], [], []
+    for k in (0, 1):
+        mine = np.array([x[i] for i, q in marks if q == k])
+        means.append(mine.mean(axis=0))
+        spreads.append(np.mean([np.outer(v - means[k], v - means[k]) for v in mine], axis=0))
+        counts.append(len(mine))
+    common = sum(c * s for c, s in zip(counts, spreads, strict=True)) / sum(counts)
+    shrunk = [(1 - Q.POOLED) * s + Q.POOLED * common for s in spreads]
+    shrunk = [(1 - Q.ROUND) * s + Q.ROUND * np.trace(s) / len(s) * np.eye(len(s)) for s in shrunk]
+
+    def density(v, k):
+        return -0.5 * (np.linalg.slogdet(shrunk[k])[1] + (v - means[k]) @ np.linalg.inv(shrunk[k]) @ (v - means[k])) + math.log(counts[k] + 1)
+
+    got = {r["doc_id"]: r["score"] for r in R.op1_quality_classifier(spark, sf_small).collect()}
+    assert len(got) == len(texts)
+    for i, v in x.items():
+        assert math.isclose(got[i], 1 / (1 + math.exp(min(700, density(v, 0) - density(v, 1)))), rel_tol=1e-6, abs_tol=1e-9)
+
+
+def test_more_labels_than_the_bound(spark):
+    docs = make(spark, [(i, ("good words here. " if i % 2 else "## $$ !! ") * (1 + i % 7)) for i in range(400)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    model = Q.learn(docs, labels, F.lit(True), "doc_id", "text", "quality", max_labels=100)
+    assert 40 <= sum(model.counts) <= 180
+    assert sum((r["score"] > 0.5) == (r["row"]["doc_id"] % 2 == 1) for r in Q.score_documents(docs, model).collect()) == 400
+
+
 def test_digest_of_items(spark, sf_small):
     r = R.op6_decontamination(spark, sf_small).where("n_items = 0").first()
     assert r["items_sha256"] == hashlib.sha256(b"").hexdigest()
