@@ -146,12 +146,19 @@ def _distance() -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
-def _estimate(rows: DataFrame, scale: float | None, name: str, keys: list[str] = _KEYS, added: bool = True) -> DataFrame:
+_SUMS = [f"s{i}" for i in range(_D)] + [f"p{i}_{j}" for i in range(_D) for j in range(i, _D)]
+
+
+def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n, sums, sums of products) of the vectors."""
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(_D)],
+        *[F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}_{j}") for i in range(_D) for j in range(i, _D)])
+
+
+def _estimated(made: DataFrame, scale: float | None, keys: list[str] = _KEYS, added: bool = True) -> DataFrame:
     """Group keys, ``mean``, ``inverse`` and ``log_det`` of the covariance times ``scale`` (None: what its share of the
     group, ``all``, calls for), with the squares of the least deviations added, or else as lower bounds of the variances."""
-    made = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), *([F.max("all").alias("all")] if scale is None else []), *[F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(_D)],
-        *[F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}_{j}") for i in range(_D) for j in range(i, _D)])
     mean = [F.col(f"s{i}") / F.col("n") for i in range(_D)]
     factor = _scale_of(F.col("n"), F.col("all")) if scale is None else F.lit(scale)
 
@@ -163,26 +170,27 @@ def _estimate(rows: DataFrame, scale: float | None, name: str, keys: list[str] =
 
     matrix = F.array(*[entry(i, j) for i in range(_D) for j in range(_D)])
     done = made.select(*keys, F.array(*mean).alias("mean"), let(matrix, _eliminated).alias("e"))
-    return staged(done.select(*keys, "mean", F.col("e.a").alias("inverse"), F.col("e.log_det").alias("log_det")), name)
+    return done.select(*keys, "mean", F.col("e.a").alias("inverse"), F.col("e.log_det").alias("log_det"))
 
 
-def _bin_quantile(rows: DataFrame, keys: list[str], place: str, share: float, more: int = 0) -> DataFrame:
-    """(keys, upto, all): the least bin so that ``share`` of the rows lie in it or below, and at least half of them and of
-    ``more``; and how many rows there are."""
+def _bin_quantile(rows: DataFrame, keys: list[str], place: str, share: float) -> DataFrame:
+    """(keys, upto): the least bin so that ``share`` of the rows lie in it or below."""
     counts = rows.groupBy(*keys, place).agg(F.count(F.lit(1)).alias("n"))
     within = Window.partitionBy(*keys)
     counts = counts.withColumn("below", F.sum("n").over(within.orderBy(place))).withColumn("all", F.sum("n").over(within))
-    need = F.col("all") * share
-    if more:
-        need = F.least(F.col("all"), F.greatest(need, F.floor((F.col("all") + more) / 2)))
-    return counts.where(F.col("below") >= need).groupBy(*keys).agg(F.min(place).alias("upto"), F.max("all").alias("all"))
+    return counts.where(F.col("below") >= F.col("all") * share).groupBy(*keys).agg(F.min(place).alias("upto"))
 
 
 def _closest(rows: DataFrame, estimate: DataFrame, share: float, keys: list[str] = _KEYS) -> DataFrame:
-    """The rows of the smallest distances, ``share`` of each group, half at least (and all that share the last bin)."""
+    """The moments of the rows of the smallest distances, ``share`` of each group, (n + d + 1) / 2 at least (and all that share the last
+    bin), and ``all``, how many rows there are: moments are summed by bins of the distance, so the rows are read once."""
     placed = rows.join(estimate, _KEYS).withColumn("place", F.floor(F.ln(_distance() + 1e-9) * 64))
-    upto = _bin_quantile(placed, keys, "place", share, _D + 1)
-    return placed.join(upto, keys).where(F.col("place") <= F.col("upto")).select(*keys, "x", "all")
+    within = Window.partitionBy(*keys)
+    bins = _moments(placed, [*keys, "place"]).withColumn("all", F.sum("n").over(within)).withColumn(
+        "below", F.coalesce(F.sum("n").over(within.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    need = F.least(F.col("all"), F.greatest(F.col("all") * share, F.floor((F.col("all") + _D + 1) / 2)))
+    return bins.where(F.col("below") < need).groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.max("all").alias("all"), *[F.sum(c).alias(c) for c in _SUMS])
 
 
 def _start(rows: DataFrame) -> DataFrame:
@@ -231,10 +239,10 @@ def _least_determinant(rows: DataFrame, support: float, steps: int) -> DataFrame
     keys = [*_KEYS, "start"]
     estimate, before, done = _starts(rows), None, []
     for k in range(steps):
-        made = _estimate(_closest(rows, estimate, support, keys), 1.0, f"step-{k}", keys)
+        made = _estimated(_closest(rows, estimate, support, keys), 1.0, keys)
         # starts that met go on as one
-        met = made.groupBy(*_KEYS, F.round("log_det", 9).alias("same")).agg(F.min("start").alias("start")).drop("same")
-        now = made.join(met, keys)
+        met = Window.partitionBy(*_KEYS, F.round("log_det", 9)).orderBy("start")
+        now = made.withColumn("place", F.row_number().over(met)).where(F.col("place") == 1)
         if before is not None:
             now = now.join(before, keys, "left").withColumn("falls", F.col("log_det") < F.col("before") - FALL)
         else:
@@ -295,10 +303,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     vector = F.when(~F.col("base_failed"), F.array(*[F.expr(e) for _, e, _ in COORDINATES]))
     rows = staged(_grouped(staged(base.withColumn("x", vector), "counts"), min_rows), "vectors")
     vectors = staged(_vectors(rows), "judging")
-    estimate = _estimate(_closest(vectors, _least_determinant(vectors, support, steps), support), None, "scaled")
+    estimate = staged(_estimated(_closest(vectors, _least_determinant(vectors, support, steps), support), None), "scaled")
     near = chi2_quantile(0.975, _D)
     inner = vectors.join(estimate, _KEYS).where(_distance() <= near)
-    estimate = _estimate(inner, 0.975 / chi2_share(near, _D + 2), "reweighted", added=False)
+    estimate = staged(_estimated(_moments(inner, _KEYS), 0.975 / chi2_share(near, _D + 2), added=False), "reweighted")
     judged = rows.join(estimate, _KEYS, "left").withColumn("distance", F.when(F.col("x").isNotNull(), _distance()))
     far = F.coalesce(F.col("distance") > chi2_quantile(cutoff, _D), F.lit(False))
     return judged.select("id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -96,7 +96,7 @@ def test_estimate_like_numpy(spark):
         place = np.floor(np.log(d + 1e-9) * 64)
         inner = x[place <= np.sort(place)[math.ceil(0.75 * len(x)) - 1]]
         mean, inverse = inner.mean(axis=0), np.linalg.inv(np.cov(inner.T, bias=True) + least)
-        estimate = B._estimate(B._closest(rows, estimate, 0.75), 1.0, "t")
+        estimate = B.staged(B._estimated(B._closest(rows, estimate, 0.75), 1.0), "t")
         got = estimate.first()
         assert np.allclose(got["mean"], mean) and np.allclose(np.array(got["inverse"]).reshape(B._D, B._D), inverse)
 
