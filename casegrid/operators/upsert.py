@@ -7,20 +7,24 @@ key (it combines before the shuffle), "absent" is a null-safe ``left_anti``
 against the part of the target that has the batch's keys, and name->id lookups
 are left joins. What a case's judge strings were matched to is kept in
 ``judge_match``, so a batch that is loaded again finds its first matches and
-yields no new rows, whatever judges have come since. ``Warehouse`` persists the
-result as parquet tables under a shared folder, dimensions first.
+yields no new rows, whatever judges have come since. ``Warehouse`` keeps the
+tables as Parquet under a shared folder; a load is one commit over all of them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from casegrid import schemas as S
 from casegrid.functions import text as TX
+from casegrid.operators import maintain as MT
 from casegrid.operators import reply as RP
 from casegrid.operators import resolve as RS
 from casegrid.session import stage_table
@@ -216,66 +220,138 @@ def load_batch(cases: DataFrame, tables: Tables, synonyms: DataFrame | None = No
 
 
 class Warehouse:
-    """Parquet star tables under one shared root (e.g. below spark.checkpoint.dir)."""
+    """Parquet tables under one shared root, changed by commits that readers see whole or not at all.
+
+    A commit writes the rows of all its tables into folders of its own. Nothing reads
+    them until its manifest is there: one file, which the output committer moves
+    into place in a single rename. ``read`` takes the folders that manifests name and no others,
+    so a run that dies on the way leaves no trace, and its load is done anew under the same
+    id; a load whose id is committed isn't done again. One writer at a time is assumed.
+    """
+
+    MANIFEST = "load_id string, seq long, name string, folder string, rows long, whole boolean"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def exists(self, name: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return p.getFileSystem(conf).exists(p)
-
-    def read(self, name: str, schema: str | None = None) -> DataFrame:
-        if self.exists(name):
-            return self.spark.read.parquet(self.path(name))
-        return self.spark.createDataFrame([], schema or SCHEMAS[name])
+    def manifests(self) -> list[Row]:
+        """What commits wrote, in order: a row for each commit and table."""
+        try:
+            rows = self.spark.read.schema(self.MANIFEST).json(f"{self.root}/manifest").distinct().collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        return sorted(rows, key=lambda r: (r["seq"], r["name"]))
+
+    def committed(self, load_id: str) -> dict[str, int] | None:
+        """Rows by table of a load that is committed."""
+        mine = [r for r in self.manifests() if r["load_id"] == load_id]
+        return {r["name"]: r["rows"] for r in mine} if mine else None
+
+    def read(self, name: str, schema: str | StructType | None = None, manifests: list[Row] | None = None) -> DataFrame:
+        """The committed rows, as of now or of the given ``manifests``; of a table that was rewritten whole, those since."""
+        entries = [r for r in (self.manifests() if manifests is None else manifests) if r["name"] == name]
+        last = max((r["seq"] for r in entries if r["whole"]), default=-1)
+        folders = [f"{self.root}/data/{name}/commit={r['folder']}" for r in entries if r["seq"] >= last and r["rows"]]
+        reader = self.spark.read.option("basePath", f"{self.root}/data/{name}")
+        known = schema or SCHEMAS.get(name)
+        if not folders:
+            return self.spark.createDataFrame([], known)
+        found = (reader.schema(known) if known else reader).parquet(*folders)
+        return found.drop("commit")
 
     def tables(self) -> Tables:
-        seeds = empty_tables(self.spark)
-        out = {}
-        for name in SCHEMAS:
-            out[name] = self.read(name) if self.exists(name) else seeds[name]
-        return Tables(out)
+        """All star tables as of one moment."""
+        now = self.manifests()
+        return Tables({name: self.read(name, manifests=now) for name in SCHEMAS})
 
     def initialise(self) -> None:
-        """Write the seed rows once."""
-        seeds = empty_tables(self.spark)
-        for name in ("court", "verdict"):
-            if not self.exists(name):
-                seeds[name].write.mode("append").parquet(self.path(name))
+        """Commit the seed rows once."""
+        if self.committed("seeds") is None:
+            seeds = empty_tables(self.spark)
+            commit = Commit(self, "seeds")
+            for name in ("court", "verdict"):
+                commit.write(name, seeds[name])
+            commit.publish()
+
+    def append(self, name: str, rows: DataFrame, load_id: str | None = None) -> None:
+        """A commit of one table."""
+        commit = Commit(self, load_id or uuid.uuid4().hex)
+        commit.write(name, rows)
+        commit.publish()
 
-    def append(self, new_rows: dict[str, DataFrame]) -> None:
-        """Write new rows, dimensions first, bridges last."""
-        for name in LOAD_ORDER:
-            if name in new_rows:
-                new_rows[name].write.mode("append").parquet(self.path(name))
+    def compact(self, name: str, fold: Callable[[DataFrame], DataFrame] = lambda df: df, partition_by: str | None = None) -> None:
+        """Rewrite the committed rows of a table, folded, in one folder that takes the place of all others."""
+        commit = Commit(self, f"compact-{uuid.uuid4().hex}")
+        commit.write(name, fold(self.read(name)), partition_by=partition_by, whole=True)
+        commit.publish()
 
 
-def load_into(warehouse: Warehouse, cases: DataFrame, synonyms: DataFrame | None = None) -> dict[str, int]:
-    """Compute and append one batch; returns the number of rows each table gained.
+class Crash(Exception):
+    """A failure that a test injects."""
 
-    New rows are computed from a snapshot read before any write; appends are
-    idempotent by key on replay. Hashed ids that fall on another key's are an error
-    before anything is written.
+
+@dataclass
+class Commit:
+    """One load: the tables that it has written, not seen before ``publish``. ``fail_after`` names a table after whose
+    rows the load breaks off, for tests of recovery."""
+
+    warehouse: Warehouse
+    load_id: str
+    fail_after: str | None = None
+    written: dict[str, tuple[str, int, bool]] = field(default_factory=dict)
+
+    def write(self, name: str, rows: DataFrame, partition_by: str | None = None, whole: bool = False) -> DataFrame:
+        """Writes the rows of a table and returns them as written."""
+        folder = uuid.uuid4().hex
+        path = f"{self.warehouse.root}/data/{name}/commit={folder}"
+        writer = rows.repartition(partition_by).write.partitionBy(partition_by) if partition_by else rows.write
+        writer.parquet(path)
+        made = self.warehouse.spark.read.schema(rows.schema).parquet(path)
+        self.written[name] = (folder, made.count(), whole)
+        if name == self.fail_after:
+            raise Crash(name)
+        return made
+
+    def publish(self) -> dict[str, int]:
+        seq = max((r["seq"] for r in self.warehouse.manifests()), default=-1) + 1
+        rows = [(self.load_id, seq, name, folder, n, whole) for name, (folder, n, whole) in self.written.items()]
+        manifest = self.warehouse.spark.createDataFrame(rows, Warehouse.MANIFEST).coalesce(1)
+        manifest.write.mode("append").json(f"{self.warehouse.root}/manifest")
+        return {name: n for name, (_, n, _) in self.written.items()}
+
+
+def load_into(warehouse: Warehouse, cases: DataFrame, synonyms: DataFrame | None = None, commit: Commit | None = None) -> dict[str, int]:
+    """Compute one batch and commit it; returns the number of rows each table gained.
+
+    New rows are computed from a snapshot of the committed tables, and written before
+    the commit is published, with what they change in the pair counts (``maintain``). Hashed ids that fall on another key's are an
+    error before that. With a ``commit`` of the caller's, that one is left to the caller to publish.
     """
     warehouse.initialise()
+    own = commit or Commit(warehouse, uuid.uuid4().hex)
     snapshot = warehouse.tables()
     staged = stage_table(cases, "load-cases")
     new = load_batch(staged, snapshot, synonyms, materialize=lambda df: stage_table(df, "load-part"))
-    # materialise every delta before the first append, so no delta is
-    # recomputed against a table that already holds part of the batch
-    new = {k: stage_table(v, f"load-{k}") for k, v in new.items()}
+    new = {name: own.write(name, new[name]) for name in LOAD_ORDER}
+    if collided := id_collisions(*[_ids(t) for t in (new, snapshot)], "id", ["key"]).select(F.substring_index("id", " ", 1).alias("name")).distinct().collect():
+        raise ValueError(f"hashed ids collide: {', '.join(sorted(r['name'] for r in collided))}")  # names of tables
+    MT.write_changes(own, new)
+    gained = {name: own.written[name][1] for name in LOAD_ORDER}
+    if commit is None:
+        own.publish()
+    return gained
+
+
+def _ids(tables: dict[str, DataFrame] | Tables) -> DataFrame:
+    """(id, key) of all dimensions, the id with its table's name."""
+    out = None
     for name, (id_col, keys) in DIMENSIONS.items():
-        if not id_collisions(new[name], snapshot[name], id_col, keys).isEmpty():
-            raise ValueError(f"hashed ids of {name} collide")
-    warehouse.append(new)
-    return {k: v.count() for k, v in new.items()}
+        part = tables[name].select(F.concat(F.lit(f"{name} "), F.col(id_col).cast("string")).alias("id"), F.to_json(F.struct(*keys)).alias("key"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def id_collisions(new: DataFrame, existing: DataFrame, id_col: str, keys: Sequence[str]) -> DataFrame:

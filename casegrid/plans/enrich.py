@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid import schemas as S
+from casegrid.functions import subword as SW
 from casegrid.functions import text as TX
 
 # Request framing of our own wording; the hook decides the actual prompt.
@@ -23,9 +24,15 @@ USER_PREAMBLE = "Court transcript:\n"
 
 def build_requests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    head: int = S.TRUNCATE_HEAD_TOKENS, tail: int = S.TRUNCATE_TAIL_TOKENS,
-                   system: str = SYSTEM_INSTRUCTIONS, preamble: str = USER_PREAMBLE) -> DataFrame:
+                   system: str = SYSTEM_INSTRUCTIONS, preamble: str = USER_PREAMBLE, ranks_path: str | None = None) -> DataFrame:
     """F1 + F2: one request row per transcript: system text and user text
-    (preamble + middle-truncated transcript), with the token counts."""
+    (preamble + middle-truncated transcript), with the token counts. Tokens are
+    those of the vocabulary in ``ranks_path``, or else runs of non-spaces."""
+    if ranks_path is not None:
+        short = SW.truncate_middle(docs.sparkSession, F.col(text_col), ranks_path, head, tail)
+        made = docs.select(F.col(id_col), short.alias("short"))
+        return made.select(id_col, F.lit(system).alias("system"), F.concat(F.lit(preamble), "short.text").alias("user"), "short.n_tokens",
+                           (F.col("short.n_tokens") > head + tail).alias("truncated"))
     toks = F.size(TX.tokens(text_col))
     return docs.select(
         F.col(id_col),

@@ -4,14 +4,16 @@ and the Structured Streaming form of the scheduled run.
 Batch operators are pure DataFrame functions; ``run_incremental`` wires them
 into ``readStream`` -> ``foreachBatch`` with ``trigger(availableNow=True)``
 and a checkpoint, so each scheduled invocation processes exactly the new
-files and a failed micro-batch is retried without duplicates (every write is
-keyed: anti join on the target before appending).
+files. A micro-batch is one commit over all tables that it changes, under its
+batch id, so a failed one is retried without duplicates or gaps.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,6 +108,87 @@ def dedup_stream(stream: DataFrame, key: str, event_time: str, delay: str = "1 d
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def admit_daily(stream: DataFrame, delay: str) -> DataFrame:
+    """T4 as keyed state: (citation, day, event_id) of the first sighting of a citation on each day.
+
+    ``stream`` has (citation, ts, event_id). A citation's state is the days on which it
+    was admitted, as long as rows of those days can still come; when the watermark
+    (``delay`` behind the latest row) has passed the last of them, a timer removes it, so state is held for the citations
+    of the last days only. Of a batch's rows of one day the first by time, then id, is admitted.
+    """
+
+    def admit(key, frames, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        known = set(state.get[0]) if state.exists else set()
+        rows = pd.concat(list(frames)).sort_values(["ts", "event_id"])
+        rows["day"] = rows["ts"].dt.floor("D")
+        rows = rows.drop_duplicates("day")
+        rows["number"] = (rows["day"] - pd.Timestamp(0)).dt.days
+        fresh = rows[~rows["number"].isin(known)]
+        passed = state.getCurrentWatermarkMs() // 86_400_000
+        days = sorted(d for d in known | set(rows["number"].tolist()) if d >= passed)
+        if days:
+            state.update((days,))
+            state.setTimeoutTimestamp((days[-1] + 1) * 86_400_000)  # when the watermark has passed that day
+        yield pd.DataFrame({"citation": key[0], "day": fresh["day"].dt.date, "event_id": fresh["event_id"]})
+
+    return stream.withWatermark("ts", delay).groupBy("citation").applyInPandasWithState(
+        admit, "citation string, day date, event_id long", "days array<int>", "append", "EventTimeTimeout")
+
+
+def subscribed_cases(cases: DataFrame, subscriptions: DataFrame, lasts: str, delay: str) -> DataFrame:
+    """T7, T8 as a join of two streams: the cases (topic, ts) for which a subscription (topic, sub_ts) was in force.
+
+    A subscription holds for ``lasts`` from its time on. The interval and both watermarks bound the state: a subscription is
+    dropped when no case can come any more that it fits, a case when no subscription can.
+    """
+    subs = subscriptions.select(F.col("topic").alias("sub_topic"), "sub_ts").withWatermark("sub_ts", delay)
+    return cases.withWatermark("ts", delay).join(
+        subs, F.expr(f"topic = sub_topic AND ts >= sub_ts AND ts < sub_ts + INTERVAL {lasts}"), "leftSemi")
+
+
+def notify_run(cases: DataFrame, subscriptions: DataFrame, warehouse: UP.Warehouse, checkpoint: str, lasts: str, delay: str) -> None:
+    """Messages to the outbox, one for each topic and day, whatever micro-batches they come in."""
+
+    def send(found: DataFrame, batch_id: int) -> None:
+        load_id = f"notify-{batch_id}"
+        if warehouse.committed(load_id) is None:
+            new = found.select("topic", F.to_date("ts").alias("day")).distinct()
+            there = warehouse.read("day_message", "topic string, day date, message string")
+            display = TX.topic_display("topic")
+            rows = UP.insert_if_absent(new, there, ["topic", "day"]).withColumn("message", F.format_string(MESSAGE_TEMPLATE, display))
+            warehouse.append("day_message", rows, load_id)
+
+    query = (subscribed_cases(cases, subscriptions, lasts, delay).writeStream.foreachBatch(send)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+
+
+def count_days_run(stream: DataFrame, warehouse: UP.Warehouse, checkpoint: str, delay: str) -> None:
+    """A9 as a windowed aggregate: the count of each day (of ``ts``) goes to ``day_count`` whenever it changes, with its batch.
+
+    Rows that come after the watermark has passed their day aren't counted; with them goes the state of days gone by.
+    """
+
+    def keep_counts(changed: DataFrame, batch_id: int) -> None:
+        load_id = f"days-{batch_id}"
+        if warehouse.committed(load_id) is None:
+            warehouse.append("day_count", changed.select(F.to_date("window.start").alias("day"), F.col("count").alias("n"),
+                                                         F.lit(batch_id).cast("long").alias("batch_id")), load_id)
+
+    counts = stream.withWatermark("ts", delay).groupBy(F.window("ts", "1 day")).count()
+    query = (counts.writeStream.outputMode("update").foreachBatch(keep_counts).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+
+
+def day_counts(warehouse: UP.Warehouse) -> DataFrame:
+    """(day, n): the last count of each day."""
+    return warehouse.read("day_count", "day date, n long, batch_id long").groupBy("day").agg(F.max_by("n", "batch_id").alias("n"))
+
+
 def enrich_cached(rows: DataFrame, cache: DataFrame, enrich: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(citation, raw, hit) for each row: the cached reply, failures (null) included; misses go to ``enrich``."""
     asked = rows.select("citation").distinct()
@@ -124,31 +207,37 @@ def backfill(warehouse: UP.Warehouse, listing: DataFrame, enrich: Callable[[Data
     """
     cache = warehouse.read("reply_cache", "citation string, raw string")
     replies = stage_table(enrich_cached(listing, cache, enrich), "replies")
-    replies.where(~F.col("hit")).select("citation", "raw").write.mode("append").parquet(warehouse.path("reply_cache"))
+    warehouse.append("reply_cache", replies.where(~F.col("hit")).select("citation", "raw"))
     good, bad = RP.split(stage_table(RP.assemble(listing, replies.select("citation", "raw")), "assembled"))
-    UP.load_into(warehouse, good, synonyms)
-    keep(warehouse, bad)
+    commit = UP.Commit(warehouse, uuid.uuid4().hex)
+    UP.load_into(warehouse, good, synonyms, commit)
+    keep(commit, bad)
+    commit.publish()
     return replies
 
 
-def keep(warehouse: UP.Warehouse, bad: DataFrame) -> None:
-    """Append rejected rows that the quarantine doesn't have yet."""
-    there = warehouse.read("quarantine", "citation string, raw string, reason string, scope_id string")
-    UP.insert_if_absent(bad, there, ["citation", "reason"]).write.mode("append").parquet(warehouse.path("quarantine"))
+def keep(commit: UP.Commit, bad: DataFrame) -> None:
+    """Rejected rows that the quarantine doesn't have yet, with the load they belong to."""
+    there = commit.warehouse.read("quarantine", "citation string, raw string, reason string, scope_id string")
+    commit.write("quarantine", UP.insert_if_absent(bad, there, ["citation", "reason"]))
 
 
 def process_batch(spark: SparkSession, listing: DataFrame, batch_id: int, warehouse: UP.Warehouse,
                   replies_for: Callable[[DataFrame], DataFrame], today,
-                  synonyms: DataFrame | None = None, expire_seen: bool = False) -> None:
+                  synonyms: DataFrame | None = None, expire_seen: bool = False, fail_after: str | None = None) -> None:
     """One micro-batch of T1: unseen rows -> validate -> enrich -> assemble ->
-    load -> quarantine -> outbox -> remember. Safe to re-run for a batch id.
+    load -> quarantine -> outbox -> remember, all of it one commit under the
+    batch's id: a batch that broke off leaves nothing and is done again, one that
+    is committed isn't.
 
     With ``expire_seen`` only citations logged ``today`` count as seen (T4). The
     counts of the run (A22) are observed while the rows are written and go to
     ``run_log``.
     """
-    if listing.isEmpty():  # T9: nothing new (also the trailing empty batch)
+    load_id = f"batch-{batch_id}"
+    if warehouse.committed(load_id) is not None or listing.isEmpty():  # T6: done before; T9: nothing new
         return
+    commit = UP.Commit(warehouse, load_id, fail_after)
     remembered = warehouse.read("seen", "citation string, log_date date")
     seen = roll_seen(remembered, today) if expire_seen else remembered
     counted, judged = Observation("listing"), Observation("cases")
@@ -162,29 +251,24 @@ def process_batch(spark: SparkSession, listing: DataFrame, batch_id: int, wareho
         judged, F.count(F.lit(1)).alias("cases"), F.sum(F.col("reason").isNotNull().cast("long")).alias("rejected"))
     assembled = stage_table(assembled, "assembled")
     good, bad = RP.split(assembled)
-    gained = UP.load_into(warehouse, good, synonyms)
+    gained = UP.load_into(warehouse, good, synonyms, commit)
     rejected = checked.where(F.col("reason").isNotNull()).select(
         "citation", F.lit(None).cast("string").alias("raw"), "reason",
         F.col("scope_id").cast("string").alias("scope_id"))
-    keep(warehouse, bad.unionByName(rejected))
+    keep(commit, bad.unionByName(rejected))
     topics = warehouse.read("subscription", "topic string, email string")
-    outbox = notify_outbox(good.select(F.col("court_name").alias("court")), topics, batch_id)
-    existing_o = warehouse.read("outbox", "topic string, court_display string, batch_id long, "
-                                          "subject string, message string")
-    UP.insert_if_absent(outbox, existing_o, ["topic", "batch_id"]) \
-        .write.mode("append").parquet(warehouse.path("outbox"))
-    new_seen = UP.insert_if_absent(remember(valid, today), seen, ["citation"])
-    new_seen.write.mode("append").parquet(warehouse.path("seen"))
+    commit.write("outbox", notify_outbox(good.select(F.col("court_name").alias("court")), topics, batch_id))
+    commit.write("seen", UP.insert_if_absent(remember(valid, today), seen, ["citation"]))
     counts = {"batch_id": batch_id, **counted.get, **judged.get, "loaded": gained["court_case"]}
     log = spark.createDataFrame([tuple(int(v or 0) for v in counts.values())], ", ".join(f"{k} long" for k in counts))
-    there = warehouse.read("run_log", log.schema)
-    UP.insert_if_absent(log, there, ["batch_id"]).write.mode("append").parquet(warehouse.path("run_log"))
+    commit.write("run_log", log)
+    commit.publish()
 
 
 def run_incremental(spark: SparkSession, listing_dir: str, listing_schema, warehouse_root: str,
                     checkpoint: str, replies_for: Callable[[DataFrame], DataFrame], today,
                     synonyms: DataFrame | None = None, max_files_per_trigger: int | None = None,
-                    expire_seen: bool = False):
+                    expire_seen: bool = False, fail_after: str | None = None):
     """Process every new listing file once (availableNow) and stop."""
     wh = UP.Warehouse(spark, warehouse_root)
     reader = spark.readStream.schema(listing_schema)
@@ -192,7 +276,7 @@ def run_incremental(spark: SparkSession, listing_dir: str, listing_schema, wareh
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(listing_dir)
     query = (stream.writeStream
-             .foreachBatch(lambda df, bid: process_batch(spark, df, bid, wh, replies_for, today, synonyms, expire_seen))
+             .foreachBatch(lambda df, bid: process_batch(spark, df, bid, wh, replies_for, today, synonyms, expire_seen, fail_after))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())

@@ -79,3 +79,32 @@ def test_stream_equals_batch(spark, sf_small, tmp_path):
     INC.run_incremental(spark, str(tmp_path / "listing"), SCHEMA, str(tmp_path / "wh"),
                         str(tmp_path / "ckpt"), hook, dt.date(2024, 1, 1))
     assert wh.read("court_case").count() == len(streamed)
+
+
+def _sightings(spark, path, rows):
+    frame = spark.createDataFrame(rows, "citation string, ts string, event_id long").withColumn("ts", F.to_timestamp("ts"))
+    frame.coalesce(1).write.mode("append").parquet(path)
+
+
+def _admit(spark, tmp_path):
+    stream = spark.readStream.schema("citation string, ts timestamp, event_id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = (INC.admit_daily(stream, "1 day").writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+
+def test_a_citation_is_admitted_once_a_day(spark, tmp_path):
+    """Day 1, again on day 1 (dropped), day 3 (admitted); the state of citations gone by expires, in runs of their own, too."""
+    place = str(tmp_path / "in")
+    _sightings(spark, place, [("a", "2024-01-01 10:00:00", 2), ("a", "2024-01-01 09:00:00", 1), ("b", "2024-01-01 10:00:00", 3)])
+    _sightings(spark, place, [("a", "2024-01-01 12:00:00", 4), ("c", "2024-01-02 10:00:00", 5), ("a", "2024-01-01 13:00:00", 6)])
+    assert _admit(spark, tmp_path) == 3
+    _sightings(spark, place, [("a", "2024-01-03 01:00:00", 7), ("a", "2024-01-03 02:00:00", 8), ("c", "2024-01-02 11:00:00", 9)])
+    _admit(spark, tmp_path)
+    _sightings(spark, place, [("d", "2024-01-09 01:00:00", 10)])
+    _sightings(spark, place, [("d", "2024-01-09 02:00:00", 11), ("b", "2024-01-09 02:00:00", 12)])
+    assert _admit(spark, tmp_path) == 2
+    got = spark.read.schema("citation string, day date, event_id long").parquet(str(tmp_path / "out")).collect()
+    assert sorted((r["citation"], str(r["day"]), r["event_id"]) for r in got) == [
+        ("a", "2024-01-01", 1), ("a", "2024-01-03", 7), ("b", "2024-01-01", 3), ("b", "2024-01-09", 12), ("c", "2024-01-02", 5), ("d", "2024-01-09", 10)]
