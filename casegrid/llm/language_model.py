@@ -1,7 +1,7 @@
 """Log-bilinear language model with noise-contrastive estimation.
 
 Tokens are the words of a text (A-Z in lower case) and one end. The most frequent
-words - about as many as the root of the number of training tokens, so their number grows
+words - half as many as the root of the number of training tokens, so their number grows
 with the corpus - have vectors of their own as context and as output; all other
 words share ``TAILS`` vectors by their last two bytes. All words have a
 probability, by two levels of classes:
@@ -45,16 +45,16 @@ from casegrid.llm.common import as_bytes, staged, with_results
 HEAD = 1 << 17
 LONGEST_WORD = 64  # bytes of a word in the head
 MOST_WORDS = 1 << 15  # with vectors of their own
-TAILS = 32
+TAILS = 16
 END = 0
 WIDTH = 16
-CONTEXT = 4
-NOISE, WORD_NOISE = 24, 4
-BATCH = 4096
-RATE = 0.02
+CONTEXT = 3
+NOISE, WORD_NOISE = 16, 2
+BATCH = 8192
+RATE = 0.03
 ROUNDS = 4
 SHARD_TOKENS = 1 << 20
-_BLOCK = 1 << 19
+_BLOCK = 1 << 18
 _ROWS = 1 << 11
 _FLUSH = 1 << 19
 _CHUNK = 512  # parameter rows that travel together
@@ -151,7 +151,7 @@ class Counts:
             top = [(bytes(r[0]), r[1]) for r in short.where((grade >= least) & (F.pmod(F.xxhash64("word"), F.lit(parts)) == 0)).collect()]
             top.sort(key=lambda x: (-x[1], x[0]))
         total = (sums[0] or 0) + documents
-        layout = Layout(min(len(top), most_words, max(64, math.isqrt(total))))
+        layout = Layout(min(len(top), most_words, max(64, math.isqrt(total) // 2)))
         by_tail = vocabulary.groupBy(F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(TAILS)).alias("k")).agg(
             F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()
         count, kinds = np.zeros(TAILS), np.zeros(TAILS)
@@ -270,6 +270,8 @@ class LogBilinear:
         return LogBilinear(self.layout, *[getattr(self, k).copy() for k in self.TABLES], self.class_noise, self.word_count)
 
     def predicted(self, context: np.ndarray) -> np.ndarray:
+        if context.shape[1] < len(self.tokens):
+            return sum(self.tokens.take(context[i], axis=0) * self.places[i] for i in range(CONTEXT))
         total = (self.tokens * self.places[0]).take(context[0], axis=0)
         for i in range(1, CONTEXT):
             total += (self.tokens * self.places[i]).take(context[i], axis=0)
@@ -278,7 +280,7 @@ class LogBilinear:
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log10 of the normalised probability of each target output."""
         layout, predicted = self.layout, self.predicted(context)
-        kind = layout.class_of(target)
+        kind = layout.class_of(target).astype(np.uint16)
         out = _own_log(predicted, self.classes, self.class_bias, kind)
         order = np.argsort(kind, kind="stable")
         edges = np.searchsorted(kind[order], np.arange(1, 2 + layout.word_classes))
