@@ -33,19 +33,21 @@ MAX_KEYS = 4096
 # shared helpers
 # ---------------------------------------------------------------------------
 
-def _char_bag(text: Column) -> Column:
+def char_bag(text: Column) -> Column:
     """Characters of a string with their occurrence number, as an array made within the row."""
     chars = F.filter(F.split(text, ""), lambda c: c != "")
     return F.transform(chars, lambda c, i: F.concat(
         c, F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c)).cast("string")))
 
 
-def _rarest(elements: DataFrame, owner: list[str], keep: Column) -> DataFrame:
+def rarest(elements: DataFrame, owner: list[str], keep: Column, freq: DataFrame | None = None) -> DataFrame:
     """Rows of ``elements`` (owner, el, weight, total) in the owner's rarest-first prefix. ``keep`` may use
-    ``before`` (the weight of rarer elements), ``rank`` and ``total``."""
-    freq = elements.groupBy("el").agg(F.count(F.lit(1)).alias("freq"))
-    order = Window.partitionBy(*owner).orderBy("freq", "el")
-    ranked = elements.join(freq, "el").select(
+    ``before`` (the weight of rarer elements), ``rank`` and ``total``. ``freq`` (el, freq) gives the order if it isn't
+    that of the elements themselves; those it lacks come first."""
+    if freq is None:
+        freq = elements.groupBy("el").agg(F.count(F.lit(1)).alias("freq"))
+    order = Window.partitionBy(*owner).orderBy(F.coalesce("freq", F.lit(0)), "el")
+    ranked = elements.join(freq, "el", "left").select(
         "*", F.row_number().over(order).alias("rank"),
         F.coalesce(F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     return ranked.where(keep).select(*owner, "el")
@@ -55,7 +57,7 @@ def _rarest(elements: DataFrame, owner: list[str], keep: Column) -> DataFrame:
 # Fuzzy judge matching
 # ---------------------------------------------------------------------------
 
-def _deletion_keys(tokens: list[str], needs: list[dict]) -> dict:
+def deletion_keys(tokens: list[str], needs: list[dict]) -> dict:
     """Keys under which one string meets others: for every split of its tokens into shared ones and a rest, and for
     every other length, the shared tokens with the rest after ``n`` deletions. ``keys`` is None beyond MAX_KEYS."""
     splits = []
@@ -79,25 +81,60 @@ _KEYS = pa.struct([("keys", pa.list_(pa.struct([("other", pa.int32()), ("key", p
 
 @F.arrow_udf(from_arrow_type(_KEYS))
 def _key_udf(tokens: pa.Array, needs: pa.Array) -> pa.Array:
-    return pa.array([_deletion_keys(t, n or []) for t, n in zip(tokens.to_pylist(), needs.to_pylist(), strict=True)], _KEYS)
+    return pa.array([deletion_keys(t, n or []) for t, n in zip(tokens.to_pylist(), needs.to_pylist(), strict=True)], _KEYS)
 
 
 _deletion_key_udf = _key_udf.asNondeterministic()
 
 
+def other_lengths(slack: float) -> Column:
+    """The lengths that a string of ``length`` may match by its rest."""
+    low, high = F.ceil(F.col("length") * (1 - slack) / (1 + slack) - 1e-9), F.floor(F.col("length") * (1 + slack) / (1 - slack) + 1e-9)
+    return F.sequence(low.cast("int"), high.cast("int"))
+
+
+def deletions(slack: float) -> Column:
+    """The deletions that a match of ``length`` with ``other`` takes at most on the side of ``length``: at most
+    ``slack * (sum of lengths)`` insertions and deletions are allowed in all."""
+    allowed = F.floor((F.col("length") + F.col("other")) * slack + 1e-9)
+    return F.floor((allowed + F.col("length") - F.col("other")) / 2).cast("int")
+
+
 def _needs(sides: DataFrame, slack: float) -> DataFrame:
     """(side, length, needs): the lengths on the other side that may match one of ``length``, with the deletions it
-    takes on this side. At most ``slack * (sum of lengths)`` insertions and deletions are allowed in all."""
+    takes on this side."""
     lengths = sides.select("side", "length").distinct()
-    low, high = F.ceil(F.col("length") * (1 - slack) / (1 + slack) - 1e-9), F.floor(F.col("length") * (1 + slack) / (1 - slack) + 1e-9)
-    wanted = lengths.select("side", "length", F.explode(F.sequence(low, high)).alias("other"))
+    wanted = lengths.select("side", "length", F.explode(other_lengths(slack)).alias("other"))
     there = lengths.select(F.when(F.col("side") == "n", "j").otherwise("n").alias("side"), F.col("length").alias("other"))
-    allowed = F.floor((F.col("length") + F.col("other")) * slack + 1e-9)
-    n = F.floor((allowed + F.col("length") - F.col("other")) / 2).cast("int")
+    n = deletions(slack)
     return (wanted.join(there, ["side", "other"]).where(n >= 0).groupBy("side", "length")
             .agg(F.collect_list(F.struct(F.col("other").cast("int").alias("other"), n.alias("n"))).alias("needs")))
 
 
+def with_tokens(strings: DataFrame) -> DataFrame:
+    """Strings (``s``) with their distinct sorted tokens, the length of these joined by spaces, and without spaces (``mass``); none without a token."""
+    tokens = F.array_sort(F.filter(F.array_distinct(F.split(F.col("s"), _WS)), lambda t: t != ""))
+    return strings.withColumn("tokens", tokens).where(F.size("tokens") > 0).withColumn(
+        "length", F.length(F.array_join("tokens", " "))).withColumn("mass", F.length(F.array_join("tokens", "")))
+
+
+def token_share(slack: float) -> float:
+    """The share of a side's characters that its rest has at most, where that rest is all that differs."""
+    part = 2 * slack / (1 - slack)
+    return 2 * part / (1 + 2 * part)
+
+
+def char_overlap(slack: float) -> Column:
+    """The characters that a string of ``total`` has in common with any that it matches by its rest."""
+    return F.greatest(F.lit(0), F.ceil((F.col("total") - F.col("length") * slack) / (1 + 2 * slack) - 1e-9))
+
+
+def slack_of(threshold: float) -> float:
+    if not 50 <= threshold <= 100:
+        raise ValueError(f"a threshold between 50 and 100 is needed, not {threshold}")
+    return 1 - threshold / 100
+
+
 def judge_candidates(names: DataFrame, judges: DataFrame, threshold: float) -> DataFrame:
     """(name, judge_name) pairs that may reach ``threshold`` on token-set similarity.
 
@@ -113,16 +150,11 @@ def judge_candidates(names: DataFrame, judges: DataFrame, threshold: float) -> D
       (m - d * length) / (1 + 2d) of a string's m characters are in both, so the rarest
       m - that + 1 of each side have one in common.
     """
-    if not 50 <= threshold <= 100:
-        raise ValueError(f"a threshold between 50 and 100 is needed, not {threshold}")
-    slack = 1 - threshold / 100
-    part = 2 * slack / (1 - slack)
-    share = 2 * part / (1 + 2 * part)
-    tokens = F.array_sort(F.filter(F.array_distinct(F.split(F.col("s"), _WS)), lambda t: t != ""))
+    slack = slack_of(threshold)
+    share = token_share(slack)
     sides = names.select(F.lit("n").alias("side"), F.col("name").alias("s")).unionByName(
         judges.select(F.lit("j").alias("side"), F.col("judge_name").alias("s")))
-    sides = sides.withColumn("tokens", tokens).where(F.size("tokens") > 0).withColumn("length", F.length(F.array_join("tokens", " ")))
-    sides = sides.withColumn("mass", F.length(F.array_join("tokens", "")))
+    sides = with_tokens(sides)
     needs = _needs(sides, slack)
     sides = stage_table(sides.join(needs, ["side", "length"], "left").withColumn("keys", _deletion_key_udf("tokens", "needs")["keys"]), "judge-strings")
 
@@ -130,7 +162,7 @@ def judge_candidates(names: DataFrame, judges: DataFrame, threshold: float) -> D
         return df.where(F.col("side") == which).select(F.col("s").alias(name), *more)
 
     single = sides.select("side", "s", F.col("mass").alias("total"), F.explode("tokens").alias("el")).withColumn("weight", F.length("el"))
-    probe = _rarest(single, ["side", "s"], F.col("before") <= F.col("total") * share + 1e-9)
+    probe = rarest(single, ["side", "s"], F.col("before") <= F.col("total") * share + 1e-9)
     by_token = side(probe, "n", "name", "el").join(side(single, "j", "judge_name", "el"), "el").select("name", "judge_name").unionByName(
         side(single, "n", "name", "el").join(side(probe, "j", "judge_name", "el"), "el").select("name", "judge_name"))
     keyed = sides.select("side", "s", "length", F.explode("keys").alias("k")).select("side", "s", "length", "k.other", "k.key")
@@ -140,10 +172,9 @@ def judge_candidates(names: DataFrame, judges: DataFrame, threshold: float) -> D
     found = by_token.unionByName(by_key)
     crowded = F.col("keys").isNull() & F.col("needs").isNotNull()
     if not sides.where(crowded).isEmpty():
-        overlap = F.greatest(F.lit(0), F.ceil((F.col("total") - F.col("length") * slack) / (1 + 2 * slack) - 1e-9))
         bags = sides.select("side", "s", "length", F.col("mass").alias("total"), crowded.alias("crowded"),
-                            F.explode(_char_bag(F.array_join("tokens", ""))).alias("el")).withColumn("weight", F.lit(1))
-        rare = _rarest(bags, ["side", "s", "length", "crowded"], F.col("rank") <= F.col("total") - overlap + 1)
+                            F.explode(char_bag(F.array_join("tokens", ""))).alias("el")).withColumn("weight", F.lit(1))
+        rare = rarest(bags, ["side", "s", "length", "crowded"], F.col("rank") <= F.col("total") - char_overlap(slack) + 1)
         a = side(rare, "n", "name", "el", F.col("length").alias("la"), F.col("crowded").alias("ca"))
         b = side(rare, "j", "judge_name", "el", F.col("length").alias("lb"), F.col("crowded").alias("cb"))
         close = F.abs(F.col("la") - F.col("lb")) <= (F.col("la") + F.col("lb")) * slack + 1e-9
@@ -162,7 +193,12 @@ def match_judges(raw_names: DataFrame, judges: DataFrame, name_col: str = "name"
     """
     names = raw_names.select(F.col(name_col).alias("name")).where(F.col("name").isNotNull()).distinct()
     known = judges.select("judge_name").where(F.col("judge_name").isNotNull()).distinct()
-    scored = judge_candidates(names, known, threshold).withColumn(
+    return best_matches(names, judge_candidates(names, known, threshold), threshold)
+
+
+def best_matches(names: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
+    """What ``match_judges`` says of distinct names, given (name, judge_name) pairs that hold all matches."""
+    scored = candidates.withColumn(
         "score", SIM.token_set_ratio_udf("name", "judge_name")).where(F.col("score") >= threshold)
     order = F.struct(F.col("name") != F.col("judge_name"), -F.col("score"), F.col("judge_name"))
     best = scored.groupBy("name").agg(F.min_by(F.struct("judge_name", "score"), order).alias("b"))
@@ -210,10 +246,10 @@ def _similar_pairs(there: DataFrame, threshold: float) -> DataFrame:
     """``there``: a written table of distinct (scope_id, tag), which is read several times."""
     least = max(0.7, (threshold - 0.4) / 0.6) if threshold >= 0.7 else threshold
     share = max(0.0, 3 * least - 2)
-    tags = there.select("tag").distinct().withColumn("bag", _char_bag(F.col("tag"))).withColumn("n", F.size("bag"))
+    tags = there.select("tag").distinct().withColumn("bag", char_bag(F.col("tag"))).withColumn("n", F.size("bag"))
     tags = tags.where("n > 0")
     elements = tags.select("tag", F.col("n").alias("total"), F.explode("bag").alias("el"), F.lit(1).alias("weight"))
-    rare = _rarest(elements, ["tag"], F.col("rank") <= F.col("total") - F.ceil(F.col("total") * share - 1e-9) + 1)
+    rare = rarest(elements, ["tag"], F.col("rank") <= F.col("total") - F.ceil(F.col("total") * share - 1e-9) + 1)
     placed = there.join(rare, "tag")
     met = placed.join(placed.select("scope_id", "el", F.col("tag").alias("other")), ["scope_id", "el"])
     pairs = met.where(F.col("tag") < F.col("other")).select("tag", "other").distinct()

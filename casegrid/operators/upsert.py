@@ -27,6 +27,7 @@ from casegrid.functions import text as TX
 from casegrid.operators import maintain as MT
 from casegrid.operators import reply as RP
 from casegrid.operators import resolve as RS
+from casegrid.operators.judge_index import JudgeIndex
 from casegrid.session import stage_table
 
 # table -> (id column, natural key columns)
@@ -139,7 +140,8 @@ def empty_tables(spark: SparkSession, seeded: bool = True) -> Tables:
 
 def load_batch(cases: DataFrame, tables: Tables, synonyms: DataFrame | None = None,
                order_col: str = "court_case_id",
-               materialize: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
+               materialize: Callable[[DataFrame], DataFrame] = lambda df: df,
+               match: Callable[[DataFrame, DataFrame], DataFrame] = RS.match_judges) -> dict[str, DataFrame]:
     """New rows per table for one batch of validated case rows.
 
     ``cases`` has the columns produced by ``operators.reply.assemble`` (valid
@@ -147,7 +149,8 @@ def load_batch(cases: DataFrame, tables: Tables, synonyms: DataFrame | None = No
     are merged within each ``scope_id`` (R5); lawyers resolve by the null-safe
     (name, firm) pair. ``materialize`` is applied to intermediates that feed
     several tables (judge matches, merged tags, party rows); pass a
-    checkpointing function when the deltas are written one by one.
+    checkpointing function when the deltas are written one by one. ``match`` finds the
+    judges of names among those known.
     """
     new: dict[str, DataFrame] = {}
     cases = cases.withColumn("_ord", F.col(order_col))
@@ -162,7 +165,7 @@ def load_batch(cases: DataFrame, tables: Tables, synonyms: DataFrame | None = No
     judge_rows = cases.select("court_case_id", F.posexplode("judges").alias("pos", "name"))
     earlier = tables["judge_match"].join(cases.select("court_case_id").distinct(), "court_case_id", "left_semi")
     fresh = judge_rows.join(earlier, MATCHES, "left_anti")
-    matched = RS.match_judges(fresh, tables["judge"]).select("name", "matched_name")
+    matched = match(fresh, tables["judge"]).select("name", "matched_name")
     judge_rows = materialize(fresh.join(matched, "name", "left").select("court_case_id", "name", "matched_name").unionByName(
         judge_rows.select(*MATCHES).distinct().join(earlier, MATCHES).select("court_case_id", "name", "matched_name")))
     new["judge_match"] = insert_if_absent(judge_rows.distinct(), earlier, MATCHES)
@@ -276,9 +279,13 @@ class Warehouse:
                 commit.write(name, seeds[name])
             commit.publish()
 
+    def start(self, load_id: str | None = None) -> Commit:
+        """A commit to write to and to publish."""
+        return Commit(self, load_id or uuid.uuid4().hex)
+
     def append(self, name: str, rows: DataFrame, load_id: str | None = None) -> None:
         """A commit of one table."""
-        commit = Commit(self, load_id or uuid.uuid4().hex)
+        commit = self.start(load_id)
         commit.write(name, rows)
         commit.publish()
 
@@ -303,11 +310,12 @@ class Commit:
     fail_after: str | None = None
     written: dict[str, tuple[str, int, bool]] = field(default_factory=dict)
 
-    def write(self, name: str, rows: DataFrame, partition_by: str | None = None, whole: bool = False) -> DataFrame:
-        """Writes the rows of a table and returns them as written."""
+    def write(self, name: str, rows: DataFrame, partition_by: str | None = None, whole: bool = False, spread: Column | None = None) -> DataFrame:
+        """Writes the rows of a table and returns them as written. ``spread`` deals the rows of one partition out to as many tasks as it has values."""
         folder = uuid.uuid4().hex
         path = f"{self.warehouse.root}/data/{name}/commit={folder}"
-        writer = rows.repartition(partition_by).write.partitionBy(partition_by) if partition_by else rows.write
+        dealt = [partition_by] if spread is None else [partition_by, spread]
+        writer = rows.repartition(*dealt).write.partitionBy(partition_by) if partition_by else rows.write
         writer.parquet(path)
         made = self.warehouse.spark.read.schema(rows.schema).parquet(path)
         self.written[name] = (folder, made.count(), whole)
@@ -323,22 +331,27 @@ class Commit:
         return {name: n for name, (_, n, _) in self.written.items()}
 
 
-def load_into(warehouse: Warehouse, cases: DataFrame, synonyms: DataFrame | None = None, commit: Commit | None = None) -> dict[str, int]:
+def load_into(warehouse: Warehouse, cases: DataFrame, synonyms: DataFrame | None = None, commit: Commit | None = None,
+              judge_index: JudgeIndex | None = None) -> dict[str, int]:
     """Compute one batch and commit it; returns the number of rows each table gained.
 
     New rows are computed from a snapshot of the committed tables, and written before
     the commit is published, with what they change in the pair counts (``maintain``). Hashed ids that fall on another key's are an
-    error before that. With a ``commit`` of the caller's, that one is left to the caller to publish.
+    error before that. With a ``commit`` of the caller's, that one is left to the caller to publish. With a ``judge_index``
+    of this warehouse, names are matched by it, and new judges entered; it must have all judges of earlier loads.
     """
     warehouse.initialise()
     own = commit or Commit(warehouse, uuid.uuid4().hex)
     snapshot = warehouse.tables()
     staged = stage_table(cases, "load-cases")
-    new = load_batch(staged, snapshot, synonyms, materialize=lambda df: stage_table(df, "load-part"))
+    match = (lambda names, _: judge_index.match(names)) if judge_index else RS.match_judges
+    new = load_batch(staged, snapshot, synonyms, materialize=lambda df: stage_table(df, "load-part"), match=match)
     new = {name: own.write(name, new[name]) for name in LOAD_ORDER}
     if collided := id_collisions(*[_ids(t) for t in (new, snapshot)], "id", ["key"]).select(F.substring_index("id", " ", 1).alias("name")).distinct().collect():
         raise ValueError(f"hashed ids collide: {', '.join(sorted(r['name'] for r in collided))}")  # names of tables
     MT.write_changes(own, new)
+    if judge_index:
+        judge_index.add(own, new["judge"])
     gained = {name: own.written[name][1] for name in LOAD_ORDER}
     if commit is None:
         own.publish()
