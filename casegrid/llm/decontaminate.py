@@ -5,7 +5,9 @@ none, is one window. The windows travel as a broadcast set of proven size: they
 are counted first, and a benchmark of more than ``max_windows`` windows is dealt
 into as many shards as keep each within that bound. Documents are then scanned
 shard by shard, and written in between. Each task hashes its token windows with
-numpy, looks them up, and verifies every hit word by word.
+numpy, looks them up, and verifies every hit word by word. A window that more
+than ``max_shared`` items have travels once, with a number in place of its items;
+these are joined afterwards, once for each set of such windows that a document has.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from casegrid.llm.common import as_bytes, staged, with_results
 
 WINDOW = 10
 MAX_WINDOWS = 1 << 18
+MAX_SHARED = 1 << 10
 _BLOCK_WORDS = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -58,13 +61,16 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, n: int
 class WindowSet:
     """Windows of one shard, ready for look-ups within one process."""
 
-    def __init__(self, windows: list[tuple[str | None, int, bytes]]):
+    def __init__(self, windows: list[tuple[str | None, int, bytes, int | None]]):
         self.items: dict[bytes, list[str]] = {}
+        self.numbers: dict[bytes, int] = {}  # of the windows whose items are joined afterwards
         sizes: dict[int, set[bytes]] = {}
-        for item, size, words in windows:
+        for item, size, words, number in windows:
             self.items.setdefault(words, [])
             if item is not None:
                 self.items[words].append(item)
+            if number is not None:
+                self.numbers[words] = number
             sizes.setdefault(size, set()).add(words)
         self.bits = max(20, math.ceil(math.log2(len(windows) + 1)) + 6)
         self.marks: dict[int, np.ndarray] = {}
@@ -81,8 +87,8 @@ class WindowSet:
     def _slot(self, code: np.ndarray) -> np.ndarray:
         return (code * _ODD) >> np.uint64(64 - self.bits)
 
-    def search(self, words: list[bytes], doc_of: np.ndarray) -> Iterator[tuple[int, int, list[str]]]:
-        """(first word, size, items) of every occurrence that lies within one document."""
+    def search(self, words: list[bytes], doc_of: np.ndarray) -> Iterator[tuple[int, int, list[str], int | None]]:
+        """(first word, size, items, number) of every occurrence that lies within one document."""
         h = np.array(list(map(hash, words)), dtype=np.int64).view(np.uint64)
         code = h
         for size in range(1, max(self.marks, default=0) + 1):
@@ -93,9 +99,10 @@ class WindowSet:
             if size in self.marks:
                 for i in np.flatnonzero(self.marks[size][self._slot(code)]).tolist():
                     if doc_of[i] == doc_of[i + size - 1]:
-                        found = self.items.get(b" ".join(words[i : i + size]))
+                        window = b" ".join(words[i : i + size])
+                        found = self.items.get(window)
                         if found is not None:
-                            yield i, size, found
+                            yield i, size, found, self.numbers.get(window)
 
 
 _last: list = [None, None]
@@ -120,8 +127,8 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 _FOUND = pa.struct([("n_words", pa.int64()),
                     ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                    ("items", pa.list_(pa.string()))])
-_FOUND_DDL = "found struct<n_words:long,spans:array<struct<start:long,stop:long>>,items:array<string>>"
+                    ("items", pa.list_(pa.string())), ("shared", pa.list_(pa.int64()))])
+_FOUND_DDL = "found struct<n_words:long,spans:array<struct<start:long,stop:long>>,items:array<string>,shared:array<long>>"
 
 
 def _scan(shard):
@@ -136,17 +143,22 @@ def _scan(shard):
             start = np.concatenate([[0], np.cumsum(sizes)]).tolist()
             spans: dict[int, list] = {}
             items: dict[int, set] = {}
-            for i, size, found in windows.search(words, doc_of):
+            shared: dict[int, set] = {}
+            for i, size, found, number in windows.search(words, doc_of):
                 d = int(doc_of[i])
                 spans.setdefault(d, []).append((i - start[d], i - start[d] + size))
                 items.setdefault(d, set()).update(found)
+                if number is not None:
+                    shared.setdefault(d, set()).add(number)
             for d, size in enumerate(sizes):
-                mine, names = spans.get(d, []), items.get(d, set())
+                mine, names, numbers = spans.get(d, []), items.get(d, set()), shared.get(d, set())
                 if old is not None:
                     was = old[len(out)]
                     mine = mine + [(s["start"], s["stop"]) for s in was["spans"]]
                     names = names | set(was["items"])
-                out.append({"n_words": size, "spans": [{"start": a, "stop": b} for a, b in _merged(mine)], "items": sorted(names)})
+                    numbers = numbers | set(was["shared"])
+                out.append({"n_words": size, "spans": [{"start": a, "stop": b} for a, b in _merged(mine)], "items": sorted(names),
+                            "shared": sorted(numbers)})
             words.clear()
             sizes.clear()
 
@@ -163,7 +175,8 @@ def _scan(shard):
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                       item_text_col: str = "text", n: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+                       item_text_col: str = "text", n: int = WINDOW, max_windows: int = MAX_WINDOWS,
+                       max_shared: int = MAX_SHARED) -> DataFrame:
     """Columns ``row`` (the document), ``n_words``, ``spans`` (hit words, merged: start, stop) and ``items``.
 
     Null and empty texts have no words and no hits; items without words have no
@@ -171,7 +184,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     repeat count once. Works on empty tables on either side.
     """
     spark = docs.sparkSession
-    windows = staged(benchmark_windows(benchmark, item_col, item_text_col, n), "windows")
+    there = staged(benchmark_windows(benchmark, item_col, item_text_col, n), "windows")
+    common = there.groupBy("words").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size")).where(F.col("n") > max_shared)
+    common = staged(common.select("size", "words", F.monotonically_increasing_id().alias("number")), "shared-windows")
+    windows, by_number = there.withColumn("number", F.lit(None).cast("long")), not common.isEmpty()
+    if by_number:
+        numbered = common.select(F.lit(None).cast("string").alias("item"), "size", "words", "number")
+        windows = staged(windows.join(common.select("words"), "words", "left_anti").unionByName(numbered), "windows")
     shards = max(1, math.ceil(windows.count() / max_windows))
     while True:  # the largest shard is measured, too
         dealt = windows.withColumn("shard", F.pmod(F.xxhash64("words"), F.lit(shards)))
@@ -182,7 +201,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     rows = docs
     for k in range(shards):
         part = dealt.where(F.col("shard") == k).drop("shard")
-        known = spark.sparkContext.broadcast([(r[0], r[1], bytes(r[2])) for r in part.toLocalIterator()])
+        known = spark.sparkContext.broadcast([(r["item"], r["size"], bytes(r["words"]), r["number"]) for r in part.toLocalIterator()])
         if k == 0:
             rows = with_results(docs, [text_col], _FOUND_DDL, _scan(known))
         else:
@@ -191,7 +210,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
             rows = rows.select("row.row", F.col("after").alias("found"))
         if k + 1 < shards:
             rows = staged(rows, "scanned")
-    return rows.select("row", "found.*")
+    rows = rows.select("row", "found.*")
+    return _with_shared(staged(rows, "scanned"), there, common) if by_number else rows.drop("shared")
+
+
+def _with_shared(rows: DataFrame, windows: DataFrame, common: DataFrame) -> DataFrame:
+    """Adds the items of the windows that go by number. Documents without any aren't shuffled."""
+    hit = F.size("shared") > 0
+    named = windows.where(F.col("item").isNotNull()).join(common.select("words", "number"), "words").select("number", "item")
+    sets = rows.where(hit).select("shared").distinct().select("shared", F.explode("shared").alias("number"))
+    more = sets.join(named, "number").groupBy("shared").agg(F.collect_set("item").alias("more"))
+    items = F.array_sort(F.array_union("items", F.coalesce("more", F.array().cast("array<string>"))))
+    found = rows.where(hit).join(more, "shared", "left").select("row", "n_words", "spans", items.alias("items"))
+    return rows.where(~hit).drop("shared").unionByName(found)
 
 
 def remove_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:

@@ -88,23 +88,39 @@ def brute_hits(text, items, n):
     return len(w), hit, sorted(names)
 
 
-@pytest.mark.parametrize("most", [D.MAX_WINDOWS, 7])
-def test_windows_like_brute_force(spark, most):
+@pytest.mark.parametrize("most, shared", [(D.MAX_WINDOWS, D.MAX_SHARED), (7, D.MAX_SHARED), (D.MAX_WINDOWS, 1), (7, 2)])
+def test_windows_like_brute_force(spark, most, shared):
     rng = random.Random(2)
     items = [(str(i), words(rng, rng.choice([3, 10, 14]), 400)) for i in range(8)] + [("8", None), ("9", ""), (None, words(rng, 12))]
+    items += [(f"copy {i}", items[0][1]) for i in range(3)] + [("part", " ".join(items[1][1].split()[:10])), (None, items[2][1]), ("last", items[10][1])]
     docs = [(i, words(rng, rng.randrange(30), 400)) for i in range(30)]
     docs += [(100 + i, f"{words(rng, 5)}, {items[i % 8][1].upper()}! {words(rng, i)}") for i in range(16)] + [(200, None), (201, items[10][1])]
     bench = spark.createDataFrame([(a, b) for a, b in items], "item_id string, text string")
-    got = D.find_contamination(make(spark, docs).repartition(3), bench, max_windows=most).select("row.doc_id", "n_words", "spans", "items").collect()
+    got = D.find_contamination(make(spark, docs).repartition(3), bench, max_windows=most, max_shared=shared).select(
+        "row.doc_id", "n_words", "spans", "items").collect()
     assert len(got) == len(docs)
     by_id = dict(docs)
     for r in got:
         n, hit, names = brute_hits(by_id[r["doc_id"]], items, 10)
         assert (r["n_words"], {i for s in r["spans"] for i in range(s["start"], s["stop"])}, r["items"]) == (n, hit, names)
-    kept = {r["doc_id"] for r in D.decontaminate(make(spark, docs), bench, max_windows=most).collect()}
+    kept = {r["doc_id"] for r in D.decontaminate(make(spark, docs), bench, max_windows=most, max_shared=shared).collect()}
     assert kept == {i for i, t in docs if not brute_hits(t, items, 10)[1]}
 
 
+def test_a_window_of_very_many_items_is_scanned_for_once(spark, monkeypatch):
+    scans = []
+    scan = D._scan
+    monkeypatch.setattr(D, "_scan", lambda shard: (scans.append(len(shard.value)), scan(shard))[1])
+    shared = "one two three four five six seven eight nine ten"
+    bench = spark.range(300_000).select(F.col("id").cast("string").alias("item_id"), F.lit(shared).alias("text")).unionByName(
+        spark.createDataFrame([("own", "a b c d e f g h i j")], "item_id string, text string"))
+    docs = make(spark, [(1, f"x {shared} y"), (2, f"{shared.upper()} a b c d e f g h i j"), (3, "a b c d e f g h i j"), (4, "one two"), (2, f"x {shared} y")])
+    got = D.find_contamination(docs, bench).select("row.doc_id", F.size("items").alias("n"), F.array_contains("items", "own").alias("own"),
+                                                   (F.col("items") == F.array_sort("items")).alias("sorted"))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 300_000, False, True), (2, 300_000, False, True), (2, 300_001, True, True), (3, 1, True, True), (4, 0, False, True)]
+    assert scans == [2]
+
+
 def test_spans_are_cut(spark):
     bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     docs = make(spark, [(1, "a. One, two -- THREE! b one two three"), (2, "plain one two"), (3, None)])
