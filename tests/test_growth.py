@@ -3,6 +3,7 @@
 import datetime as dt
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from casegrid.operators import reply as RP
 from casegrid.operators import upsert as UP
@@ -77,3 +78,17 @@ def test_cases_meet_subscriptions_of_both_orders(spark, tmp_path):
         c[0] == t and s <= c[1] < s + dt.timedelta(hours=30) for t, s in held))
     assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == wanted
     assert 0 < len(wanted) < sum(map(len, cases))
+
+
+def test_parts_of_the_bridges_follow_the_rows(spark, sf_small, monkeypatch):
+    """What a task holds of a bridge is bounded by rows, and not by the size that they have when they are compressed."""
+    from casegrid.sources import tables as TB
+
+    whole = {tuple(r) for r in star(spark, sf_small).judge_assignment.collect()}
+    rows = star(spark, sf_small).raw("lineitem").count()
+    monkeypatch.setattr(TB, "ROWS_A_TASK", rows // 10)
+    st = star(spark, sf_small)
+    for bridge in (st.judge_assignment, st.tag_assignment):
+        sizes = [r["count"] for r in bridge.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+        assert len(sizes) >= 10 and max(sizes) < rows / 5
+    assert {tuple(r) for r in st.judge_assignment.collect()} == whole
