@@ -70,3 +70,17 @@ def test_endpoints_like_scans(indexed, endpoint, params):
 def test_cases_like_scans(indexed, filters):
     st, index = indexed
     assert sorted(SR.court_case_ids(st, **filters).collect()) == sorted(SR.court_case_ids(st, **filters, index=index).collect())
+
+
+def test_postings_are_dealt_out_once_and_by_their_number(spark, monkeypatch):
+    """No aggregate before the shuffle, one shuffle, parts and salts that follow the rows; repeated ids count once."""
+    monkeypatch.setattr(G, "_ROWS_A_TASK", 100)
+    rows = [("title", str(i % 1000), f"Case Customer {i % 7}{i}") for i in range(1200)] + [("judge", "1", "ab"), ("judge", "2", "abc")]
+    texts = spark.createDataFrame(rows, "field string, id string, text string")
+    got = G._postings(texts)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") > plan.rindex("HashAggregate")
+    assert got.rdd.getNumPartitions() > 100
+    want = {(f, i, t.lower()[k : k + 3]) for f, i, t in rows for k in range(len(t) - 2)}
+    found = [(r["field"], r["id"], r["gram"]) for r in got.collect()]
+    assert len(found) == len(set(found)) and set(found) == want
