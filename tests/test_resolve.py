@@ -73,3 +73,25 @@ def test_tag_merge_synonym_and_similarity(spark):
 def test_replace_in_array(spark):
     df = spark.createDataFrame([(["a", "b", "a"],)], "x array<string>")
     assert df.select(RS.replace_in_array(F.col("x"), "a", "c")).first()[0] == ["c", "b", "c"]
+
+
+def test_no_candidates_where_no_judge_or_no_name_is(spark, monkeypatch):
+    def never(*args):
+        raise AssertionError("candidates were asked for")
+
+    monkeypatch.setattr(RS, "judge_candidates", never)
+    assert _match(spark, ["Judge James CBE", None], []) == {"Judge James CBE": ("James", None)}
+    assert _match(spark, [None], ["James"]) == {}
+    with pytest.raises(ValueError, match="threshold"):
+        _match(spark, [], [], threshold=20)
+
+
+def test_merge_of_tags_goes_on_through_replaced_ones(spark):
+    """A tag that others have become gives way itself, and a tag without edges stays."""
+    nodes = [("a", ["c"], []), ("b", [], ["a", "c"]), ("c", [], ["d", "e"]), ("d", ["zz"], ["e"]), ("e", [], []), ("f", ["a"], ["e", "d"])]
+    df = spark.createDataFrame([(nodes,)], "nodes array<struct<tag:string,syn:array<string>,sim:array<string>>>")
+    now = [n[0] for n in nodes]
+    for tag, syn, sim in nodes:
+        to = next((t for t in now if t in syn), None) or next((t for t in now if t in sim), None) or tag
+        now = [to if t == tag else t for t in now]
+    assert df.select(RS._merged(F.col("nodes")).alias("m")).first()["m"] == now
