@@ -54,9 +54,16 @@ def with_results(df: DataFrame, inputs: list[str], fields: str,
     return rows.mapInArrow(run, schema)
 
 
-def as_bytes(texts: pa.Array) -> list[bytes]:
+#: Texts that exist as Python objects at a time, besides those in the batch.
+TEXTS_AT_ONCE = 256
+
+
+def as_bytes(texts: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of each text; null counts as empty."""
-    return [b"" if x is None else x for x in texts.cast(pa.binary()).to_pylist()]
+    binary = texts.cast(pa.binary())
+    for i in range(0, len(binary), TEXTS_AT_ONCE):
+        for x in binary.slice(i, TEXTS_AT_ONCE).to_pylist():
+            yield b"" if x is None else x
 
 
 def ascii_lower(text: Column) -> Column:

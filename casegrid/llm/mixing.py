@@ -55,7 +55,6 @@ def _deal(nodes: DataFrame, parents: list[str]) -> DataFrame:
 
 def leaf_budgets(leaves: DataFrame, levels: list[str], weights: Weights, budget_share: float, max_epochs: int) -> DataFrame:
     """``leaves``: the level columns (strings) and ``tokens``. Adds ``share``, the tokens that each leaf may give."""
-    spark = leaves.sparkSession
     leaves = staged(leaves, "leaves")
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
     rows = leaves.withColumn("room", F.col("tokens") * max_epochs).withColumn("everything", F.lit(0))
@@ -64,12 +63,9 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], weights: Weights, budget_
     for level in levels:
         nodes = rows.groupBy(*path, level).agg(F.sum("room").alias("room"), F.max("share").alias("budget"))
         nodes = nodes.withColumn("name", F.col(level))
-        named = weights.get(level) or {}
-        if named:
-            given = spark.createDataFrame(list(named.items()), "name string, weight long")
-            nodes = nodes.join(given, "name", "left").withColumn("weight", F.coalesce("weight", F.lit(1)))
-        else:
-            nodes = nodes.withColumn("weight", F.lit(1))
+        # as a map in the plan, since a table made from Python rows would need Python workers of its own
+        named = F.create_map(*[F.lit(x) for pair in (weights.get(level) or {}).items() for x in pair]).cast("map<string,bigint>")
+        nodes = nodes.withColumn("weight", F.coalesce(F.element_at(named, F.col("name")), F.lit(1)))
         dealt = _deal(nodes, path).select(*path, level, "share")
         path = [*path, level]
         rows = rows.drop("share").join(dealt, path)

@@ -101,23 +101,22 @@ class Discriminant:
         return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
 
 
-def document_statistics(docs: DataFrame, text_col: str) -> DataFrame:
-    """Columns ``row`` and ``x``, the vector of the document's text (null: that of an empty text)."""
+def vectors(texts: pa.Array) -> np.ndarray:
+    """The statistics of each text (null: those of an empty text)."""
+    return np.array([statistics(t) for t in as_bytes(texts)], dtype=float).reshape(-1, len(STATISTICS))
 
-    def fn(texts: pa.Array) -> list[pa.Array]:
-        return [pa.array([statistics(t) for t in as_bytes(texts)], pa.list_(pa.float64()))]
-
-    return with_results(docs, [text_col], "x array<double>", fn)
 
+def moments(labelled: DataFrame) -> DataFrame:
+    """``labelled``: (label 0 or 1, text). The flat (n, sum, sum of products) of each label's vectors, by place.
 
-def fit(labelled: DataFrame, pooled: float = POOLED, to_round: float = ROUND) -> Discriminant:
-    """``labelled``: (label 0 or 1, x). Rows without a label, or with another, take no part."""
+    Statistics and sums are one step in Python: two in a row would keep two workers for each core, which
+    stay, with what they hold, for as long as other Python steps follow.
+    """
 
     def sums(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            labels = batch.column(0).to_numpy(zero_copy_only=False)
-            x = np.array(batch.column(1).to_pylist(), dtype=float)
+            labels, x = batch.column(0).to_numpy(zero_copy_only=False), vectors(batch.column(1))
             for k in np.unique(labels):
                 mine = x[labels == k]
                 made = np.concatenate([[len(mine)], mine.sum(axis=0), (mine.T @ mine).ravel()])
@@ -126,14 +125,19 @@ def fit(labelled: DataFrame, pooled: float = POOLED, to_round: float = ROUND) ->
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(made), pa.int32()), pa.array(range(len(made)), pa.int32()),
                                               pa.array(made)], names=["label", "place", "value"])
 
-    rows = (labelled.where(F.col("label").isin(0, 1)).select(F.col("label").cast("int").alias("label"), "x")
+    return (labelled.where(F.col("label").isin(0, 1)).select(F.col("label").cast("int").alias("label"), "text")
             .mapInArrow(sums, "label int, place int, value double")
-            .groupBy("label", "place").agg(F.sum("value").alias("value")).collect())
-    moments: dict[int, np.ndarray] = {}
+            .groupBy("label", "place").agg(F.sum("value").alias("value")))
+
+
+def fit(labelled: DataFrame, pooled: float = POOLED, to_round: float = ROUND) -> Discriminant:
+    """``labelled``: (label 0 or 1, text). Rows without a label, or with another, take no part."""
+    rows = moments(labelled).collect()
+    found: dict[int, np.ndarray] = {}
     for label in {r["label"] for r in rows}:
         mine = sorted((r["place"], r["value"]) for r in rows if r["label"] == label)
-        moments[label] = np.array([v for _, v in mine])
-    return Discriminant.fit(moments, pooled, to_round)
+        found[label] = np.array([v for _, v in mine])
+    return Discriminant.fit(found, pooled, to_round)
 
 
 def learn(docs: DataFrame, labels: DataFrame, learning, id_col: str, text_col: str, label_col: str,
@@ -149,15 +153,14 @@ def learn(docs: DataFrame, labels: DataFrame, learning, id_col: str, text_col: s
     if n > max_labels:
         marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < (max_labels << 30) // n)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(marks), "id")  # max_labels pairs of numbers
-    return fit(document_statistics(rows, "text").select("row.label", "x"), pooled, to_round)
+    return fit(rows.select("label", "text"), pooled, to_round)
 
 
 def score_documents(docs: DataFrame, model: Discriminant, text_col: str = "text") -> DataFrame:
     """Columns ``row`` (the document) and ``score``; a null text counts as empty."""
 
     def fn(texts: pa.Array) -> list[pa.Array]:
-        x = np.array([statistics(t) for t in as_bytes(texts)], dtype=float).reshape(-1, len(STATISTICS))
-        return [pa.array(model.score(x), pa.float64())]
+        return [pa.array(model.score(vectors(texts)), pa.float64())]
 
     return with_results(docs, [text_col], "score double", fn)
 

@@ -1,11 +1,13 @@
 """The pipeline against brute force, stage by stage, and on odd rows."""
 
 import duckdb
+import pyarrow as pa
 import pytest
 from llm_rows import make
 from test_llm_text_operators import brute_groups, brute_hits, brute_lines
 
 import corpus_pipeline as P
+from casegrid.llm import common, mixing, quality
 from casegrid.llm import registry as R
 from casegrid.llm.oracles import OP10
 
@@ -71,3 +73,20 @@ def test_columns_of_the_mix_replace_clashing_ones(spark, tables):
     docs = make(spark, [(1, "a b c", "en", "src1")])
     got = P.STAGES[-1][1](spark, docs, tables)
     assert got.columns.count("domain") == 1 and "epoch" in got.columns
+
+
+def test_a_core_needs_one_python_worker(spark, odd, monkeypatch):
+    """Workers outlive their stage, so two Python steps in a row, or tables made from Python rows, add to all later stages."""
+    labelled = odd.selectExpr("doc_id % 2 AS label", "text")
+    assert quality.moments(labelled)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    plans = []
+    monkeypatch.setattr(mixing, "staged", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or common.staged(df, name))
+    assert R.mixed(common.staged(odd, "odd")).count() > 0
+    assert plans and not any("ExistingRDD" in p or "RDDScan" in p for p in plans)
+
+
+def test_texts_come_in_slices_as_in_one(monkeypatch):
+    texts = pa.array([None, "a", "", "\u00e9 b", None])
+    monkeypatch.setattr(common, "TEXTS_AT_ONCE", 2)
+    found = common.as_bytes(texts)
+    assert iter(found) is found and list(found) == [b"", b"a", b"", "\u00e9 b".encode(), b""]
