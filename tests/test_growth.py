@@ -1,11 +1,15 @@
 """Work that must not grow faster than its input: what a load works out once, and how two streams meet."""
 
 import datetime as dt
+import threading
+from pathlib import Path
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from casegrid.operators import reply as RP
+from casegrid.operators import resolve as RS
 from casegrid.operators import upsert as UP
 from casegrid.session import stage_table
 from casegrid.sources import fixtures as FX
@@ -35,6 +39,54 @@ def test_a_load_works_out_each_table_once(spark, sf_small):
     assert "Join" not in _plan(UP.insert_if_absent(new["judge"], empty, ["judge_name"]))
 
 
+def _few_cases(spark):
+    st = star(spark, "/root/testdata/sf0.001")
+    return stage_table(RP.split(RP.assemble(FX.listing_rows(st), FX.synthetic_replies(st)))[0].where("court_case_id < 20"), "t")
+
+
+def test_parts_of_a_load_run_at_the_same_time(spark):
+    """Each of the four waits for the others at its first table; a failure of one is the load's, after all have ended."""
+    meet, kept = threading.Barrier(4), []
+
+    def keep(name, rows):
+        if name in ("court", "judge_match", "tag", "law_firm"):
+            meet.wait(timeout=120)
+        kept.append(name)
+        if name == "tag":
+            raise UP.Crash(name)
+        return stage_table(rows, f"kept-{name}")
+
+    with pytest.raises(UP.Crash, match="tag"):
+        UP.load_batch(_few_cases(spark), UP.empty_tables(spark), materialize=lambda df: stage_table(df, "m"), keep=keep)
+    assert sorted(kept) == sorted(set(UP.LOAD_ORDER) - {"tag_assignment"})
+
+
+def test_keys_are_compared_only_of_repeated_ids(spark, tmp_path, monkeypatch):
+    with monkeypatch.context() as m:
+        m.setattr(UP, "id_collisions", None)
+        assert UP.load_into(UP.Warehouse(spark, str(tmp_path / "a")), _few_cases(spark))["judge"] > 1
+    one = UP.surrogate_id
+    monkeypatch.setattr(UP, "surrogate_id", lambda table, *cols: F.lit(7).cast("long") if table in ("judge", "tag") else one(table, *cols))
+    with pytest.raises(ValueError, match="hashed ids collide: judge, tag"):
+        UP.load_into(UP.Warehouse(spark, str(tmp_path / "b")), _few_cases(spark))
+
+
+def test_deletion_keys_are_made_in_all_tasks(spark, monkeypatch):
+    """However few bytes the strings have that they are made of."""
+    files = []
+
+    def staged(df, name):
+        out = stage_table(df, name)
+        files.extend(Path(out.inputFiles()[0]).parts[-2:-1] * len(out.inputFiles()) if name == "judge-strings" else [])
+        return out
+
+    monkeypatch.setattr(RS, "stage_table", staged)
+    names = spark.range(100).selectExpr("concat('Judge Ann', id) AS name")
+    judges = spark.range(100).selectExpr("concat('Ann', id) AS judge_name")
+    assert RS.match_judges(names, judges).count() == 100
+    assert len(files) == spark.sparkContext.defaultParallelism  # it was 1
+
+
 def test_replies_are_shuffled_once(spark, sf_small):
     st = star(spark, sf_small)
     with_replies = _plan(RP.assemble(FX.listing_rows(st), FX.synthetic_replies(st)))
