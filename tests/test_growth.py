@@ -144,3 +144,17 @@ def test_parts_of_the_bridges_follow_the_rows(spark, sf_small, monkeypatch):
         sizes = [r["count"] for r in bridge.groupBy(F.spark_partition_id().alias("part")).count().collect()]
         assert len(sizes) >= 10 and max(sizes) < rows / 5
     assert {tuple(r) for r in st.judge_assignment.collect()} == whole
+
+
+def test_what_a_task_holds_of_a_bridge_is_the_same_at_two_sizes():
+    """Rows of a part at 6 and 60 times sf0.1, on three executors of four cores; it grew by two thirds."""
+    from types import SimpleNamespace
+
+    from casegrid.sources.tables import Star
+
+    def rows_of_a_part(rows):
+        st = Star(SimpleNamespace(sparkContext=SimpleNamespace(defaultParallelism=12)), "")
+        st.raw = lambda name: SimpleNamespace(count=lambda: rows)
+        return rows / st._parts
+
+    assert rows_of_a_part(36_000_000) < 1.1 * rows_of_a_part(3_600_000)
