@@ -158,3 +158,23 @@ def test_what_a_task_holds_of_a_bridge_is_the_same_at_two_sizes():
         return rows / st._parts
 
     assert rows_of_a_part(36_000_000) < 1.1 * rows_of_a_part(3_600_000)
+
+
+def test_a_batch_makes_a_call_for_a_group_of_citations(spark, tmp_path):
+    """However many citations it has; each had a state, and a call, of its own. The first of each day is admitted, over two batches."""
+    rng = np.random.default_rng(3)
+    rows = [(f"c{int(c)}", dt.datetime(2024, 1, 1 + int(d)) + dt.timedelta(seconds=int(s)), i)
+            for i, (c, d, s) in enumerate(zip(rng.integers(0, 6000, 9000), rng.integers(0, 2, 9000), rng.integers(0, 86400, 9000)))]
+    days = [[r for r in rows if r[1].day == d] for d in (1, 2)]
+    for part in (days[0], days[1] + days[0][:50]):
+        spark.createDataFrame(part, "citation string, ts timestamp, event_id long").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("citation string, ts timestamp, event_id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = (INC.admit_daily(stream, "1 day").writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= INC.STATE_GROUPS  # it was over 4,000
+    wanted = {}
+    for c, ts, i in sorted(rows, key=lambda r: (r[1], r[2])):
+        wanted.setdefault((c, ts.date()), i)
+    found = spark.read.schema("citation string, day date, event_id long").parquet(str(tmp_path / "out")).collect()
+    assert len(found) == len(wanted) and {(r["citation"], r["day"]): r["event_id"] for r in found} == wanted
