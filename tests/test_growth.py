@@ -178,3 +178,37 @@ def test_a_batch_makes_a_call_for_a_group_of_citations(spark, tmp_path):
         wanted.setdefault((c, ts.date()), i)
     found = spark.read.schema("citation string, day date, event_id long").parquet(str(tmp_path / "out")).collect()
     assert len(found) == len(wanted) and {(r["citation"], r["day"]): r["event_id"] for r in found} == wanted
+
+
+def test_a_first_load_deals_no_whole_rows_out(spark):
+    """Ids tell that no case is known or comes twice; whole rows were sorted and dealt out to find that."""
+    plans = {}
+
+    def keep(name, rows):
+        plans[name] = _plan(rows)
+        return stage_table(rows, f"kept-{name}")
+
+    UP.load_batch(_few_cases(spark), UP.empty_tables(spark), materialize=lambda df: stage_table(df, "m"), keep=keep)
+    assert "Aggregate" not in plans["court_case"] and "hashpartitioning(court_case_id" not in plans["court_case"]
+    assert "SortAggregate" not in plans["participant_assignment"]
+    assert all(plans[t].count("hashpartitioning(court_case_id") <= 1 for t in ("judge_assignment", "tag_assignment", "participant_assignment"))
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_cases_that_come_twice_or_are_known(spark, monkeypatch, few):
+    """Whether the batch's ids are sent to the stored tables or not."""
+    monkeypatch.setattr(UP, "FEW_CASES", few)
+    row = _few_cases(spark).limit(1).drop("court_case_id", "summary")
+    cases = stage_table(row.crossJoin(spark.createDataFrame([("a", "late", 2), ("a", "early", 1), ("b", "x", 5), (None, "n", 3)], "court_case_id string, summary string, place int")), "t")
+
+    def load(tables, rows):
+        return UP.load_batch(rows, tables, order_col="place", materialize=lambda df: stage_table(df, "m"), keep=lambda n, r: stage_table(r, n))
+
+    empty = UP.empty_tables(spark)
+    first = load(empty, cases.where("court_case_id = 'b'"))
+    then = load(empty.union(first), cases)
+    assert {(r["court_case_id"], r["summary"]) for r in then["court_case"].collect()} == {("a", "early"), (None, "n")}
+    for bridge in UP.BRIDGES:
+        assert {r["court_case_id"] for r in then[bridge].collect()} == {"a", None}
+        assert then[bridge].distinct().count() == then[bridge].count() == (2 if bridge == "judge_assignment" else 4)  # both names of a judge that is known are one
+    assert load(empty.union(first).union(then), cases)["court_case"].count() == 0
