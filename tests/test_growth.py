@@ -212,3 +212,37 @@ def test_cases_that_come_twice_or_are_known(spark, monkeypatch, few):
         assert {r["court_case_id"] for r in then[bridge].collect()} == {"a", None}
         assert then[bridge].distinct().count() == then[bridge].count() == (2 if bridge == "judge_assignment" else 4)  # both names of a judge that is known are one
     assert load(empty.union(first).union(then), cases)["court_case"].count() == 0
+
+
+def test_loads_that_break_off_are_whole_loads(spark, sf_small, tmp_path, monkeypatch):
+    """The query's attempts go through ``load_into``, and one that broke off leaves nothing behind when it is done anew."""
+    from casegrid.plans import catalog
+
+    tried, load = [], UP.load_into
+
+    def spied(wh, cases, commit=None, staged=False):
+        tried.append(commit and commit.fail_after)
+        if commit is None:
+            load(wh, cases, staged=True)
+        elif commit.fail_after:
+            raise UP.Crash(commit.fail_after)
+
+    with monkeypatch.context() as m:
+        m.setattr(UP, "load_into", spied)
+        catalog._load_after_failures(spark, sf_small)
+    assert tried[:13] == [None, *catalog._COUNTED_TABLES, None]  # they wrote rows that had been worked out before
+    wh, cases = UP.Warehouse(spark, str(tmp_path / "wh")), _few_cases(spark)
+    for fail_after in ("tag", None):
+        commit = UP.Commit(wh, "second", fail_after)
+        commit.clear()
+        if fail_after:
+            with pytest.raises(UP.Crash, match="tag"):
+                load(wh, cases, commit=commit)
+            with pytest.raises(UP.Crash):
+                commit.publish()
+            assert wh.committed("second") is None and wh.read("court_case").count() == 0
+        else:
+            load(wh, cases, commit=commit)
+            commit.publish()
+    assert wh.read("court_case").count() == cases.count() and "pair_change" in wh.committed("second")
+    assert len(list((tmp_path / "wh/data/tag").iterdir())) == 1
