@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from casegrid.operators import reply as RP
 from casegrid.operators import resolve as RS
 from casegrid.operators import upsert as UP
-from casegrid.session import stage_table
+from casegrid.session import shared_dir, stage_table
 from casegrid.sources import fixtures as FX
 from casegrid.sources.tables import star
 from casegrid.streaming import incremental as INC
@@ -214,6 +214,23 @@ def test_cases_that_come_twice_or_are_known(spark, monkeypatch, few):
     assert load(empty.union(first).union(then), cases)["court_case"].count() == 0
 
 
+def _staged(spark):
+    return {p.name for p in Path(shared_dir(spark, "x")).parent.iterdir()}
+
+
+def test_what_a_load_stages_is_deleted(spark, sf_small, tmp_path):
+    st = star(spark, sf_small)
+    listing, replies = stage_table(FX.listing_rows(st).where("citation < 40"), "l"), stage_table(FX.synthetic_replies(st), "r")
+    there = _staged(spark)
+    wh = UP.Warehouse(spark, str(tmp_path / "wh"))
+    found = INC.backfill(wh, listing, lambda misses: replies.join(misses, "citation", "left_semi"))
+    assert _staged(spark) == there  # replies, parsed cases and the parts of the load were there for good
+    assert found.where("raw IS NOT NULL").count() == listing.count() == wh.read("reply_cache", "citation string, raw string").count()
+    with pytest.raises(UP.Crash):
+        UP.load_into(wh, _few_cases(spark), commit=UP.Commit(wh, "x", "tag"))
+    assert not {name for name in _staged(spark) if name.startswith("scratch")}
+
+
 def test_loads_that_break_off_are_whole_loads(spark, sf_small, tmp_path, monkeypatch):
     """The query's attempts go through ``load_into``, and one that broke off leaves nothing behind when it is done anew."""
     from casegrid.plans import catalog
